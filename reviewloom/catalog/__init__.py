@@ -4,7 +4,7 @@ import importlib
 
 from reviewloom.catalog.registry import ORACLE, QUERIES
 
-for _area in ("cleaning", "features", "profiling", "insights", "recommendations", "reports"):
+for _area in ("cleaning", "features", "profiling", "insights", "recommendations", "reports", "vectors", "labeling"):
     importlib.import_module(f"reviewloom.catalog.{_area}")
 
 __all__ = ["ORACLE", "QUERIES"]
