@@ -37,8 +37,8 @@ def classical_clean(x: str) -> str:
 
 
 def tokens(cleaned: str) -> str:
-    for whole, parts in S.TOKEN_SPLITS.items():
-        cleaned = replace_all(cleaned, rf"\b{whole}\b", parts)
+    for head, tail in S.TOKEN_SPLITS:
+        cleaned = replace_all(cleaned, rf"\b{head}{tail}\b", f"{head} {tail}")
     return f"list_filter(regexp_split_to_array({cleaned}, '\\s+'), lambda t: t <> '')"
 
 

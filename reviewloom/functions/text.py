@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -74,16 +74,14 @@ def normalise_text(text: Column) -> Column:
 
 def classical_clean(text: Column) -> Column:
     """Lowercase a-z words of two letters or more, single spaces."""
-    letters = F.regexp_replace(F.lower(text), r"[^a-z\s]", " ")
-    words = F.regexp_replace(letters, r"\b[a-z]\b", " ")
-    return F.trim(F.regexp_replace(words, r"\s+", " "))
+    return F.array_join(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{2,}"), F.lit(0)), " ")
 
 
-def tokens(cleaned: Column, splits: Mapping[str, str] = S.TOKEN_SPLITS) -> Column:
+def tokens(cleaned: Column, splits=S.TOKEN_SPLITS) -> Column:
     """Whitespace tokens after the word tokeniser's contraction splits."""
-    for whole, parts in splits.items():
-        cleaned = F.regexp_replace(cleaned, rf"\b{whole}\b", parts)
-    return F.filter(F.split(cleaned, r"\s+"), lambda t: t != "")
+    heads = "|".join(rf"{head}(?={tail}\b)" for head, tail in splits)
+    parted = F.regexp_replace(cleaned, rf"\b({heads})", "$1 ")
+    return F.filter(F.split(parted, " "), lambda t: t != "")
 
 
 def sentiment_stop_words() -> list[str]:
@@ -107,11 +105,9 @@ def drop_words(tokens_: Column, stop_words: Iterable[str], min_length: int = 1)
 
 def lemmatise(words: Column, rules=S.NOUN_SUFFIX_RULES) -> Column:
     """Noun suffix rules over a space-joined text, one regular expression each."""
-    (ies, y), (es, _), (men, man), (plural, _) = rules
-    words = F.regexp_replace(words, ies, f"$1{y}")
-    words = F.regexp_replace(words, es, "$1$2")
-    words = F.regexp_replace(words, men, f"$1{man}")
-    return F.regexp_replace(words, plural, "$1")
+    for ending, replacement in rules:
+        words = F.regexp_replace(words, ending, replacement)
+    return words
 
 
 def classical_text(text: Column, stop_words: Iterable[str] | None = None) -> Column:
@@ -126,8 +122,17 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def with_bigrams(words: Column) -> Column:
     """The words followed by all pairs of neighbours joined with a space."""
+    return bind(words, _and_pairs)
+
+
+def _and_pairs(words: Column) -> Column:
     pairs = F.when(
         F.size(words) > 1,
         F.zip_with(

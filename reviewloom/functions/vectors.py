@@ -1,9 +1,7 @@
-"""Vector helpers: JVM expressions for short arrays, numpy for blocks of rows."""
+"""Vector expressions evaluated in the JVM."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -30,39 +28,6 @@ def argmax(values: Column) -> Column:
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
 
 
-def stack(arrays: pd.Series) -> np.ndarray:
-    """A Series of equal-length arrays as one matrix."""
-    if len(arrays) == 0:
-        return np.empty((0, 0))
-    return np.vstack(arrays.to_numpy()).astype(np.float64, copy=False)
-
-
-def flatten_sparse(indices: pd.Series, values: pd.Series):
-    """(row number, column, value) of all entries of a batch of sparse rows."""
-    sizes = indices.map(len).to_numpy()
-    if sizes.sum() == 0:
-        none = np.empty(0, dtype=np.int64)
-        return none, none, np.empty(0), sizes
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    return (
-        rows,
-        np.concatenate(indices.to_numpy()).astype(np.int64),
-        np.concatenate(values.to_numpy()).astype(np.float64),
-        sizes,
-    )
-
-
-def sum_by(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sum rows of ``values`` that share a key into an (n, width) matrix."""
-    out = np.zeros((n, values.shape[1]))
-    if len(keys):
-        order = np.argsort(keys, kind="stable")
-        sorted_keys = keys[order]
-        starts = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
-        out[sorted_keys[starts]] = np.add.reduceat(values[order], starts, axis=0)
-    return out
-
-
 def sum_vectors(df: DataFrame, key: str, values: str) -> DataFrame:
     """Element-wise sum of array columns per key, combined on the map side in the JVM."""
     vectors = df.select(key, array_to_vector(F.col(values)).alias("__v"))

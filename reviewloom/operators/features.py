@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.functions import text as X
-from reviewloom.plans.shapes import checked_broadcast, keep_first, require_columns
+from reviewloom.plans.shapes import checked_broadcast, keep_first, located_by, require_columns
 
 
 def combine_review_text(
@@ -55,8 +55,7 @@ def lemmatise_with_dictionary(
     """
     require_columns(dictionary, ["token", "lemma"], "lemma dictionary")
     words = (
-        df.select(key, column)
-        .repartition(key)
+        located_by(df.select(key, column), key)
         .select(key, F.posexplode(F.split(column, " ")).alias("pos", "token"))
     )
     looked_up = words.join(checked_broadcast(dictionary, 500_000), "token", "left").groupBy(key).agg(

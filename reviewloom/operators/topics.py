@@ -12,11 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
-from reviewloom.functions.vectors import flatten_sparse, stack, sum_by, sum_vectors
+from reviewloom.functions.blocks import add_matrices, flatten_sparse, size_of, stack, sum_by
+from reviewloom.functions.vectors import sum_vectors
 from reviewloom.operators.vectorize import TermWeights, fit_terms, vectorise
-from reviewloom.plans.shapes import checked_broadcast, require_columns
-
-BLOCK = 128  # vocabulary columns per shuffled partial
+from reviewloom.plans.shapes import checked_broadcast, located_by, require_columns
 
 
 # --- truncated SVD -------------------------------------------------------------
@@ -30,35 +29,26 @@ def valid_components(n_rows: int, n_terms: int, requested: int) -> int:
 
 
 def _sparse_parts(df: DataFrame, features: str) -> DataFrame:
-    parts = F.unwrap_udt(features)
-    return df.select(parts.getField("indices").alias("indices"), parts.getField("values").alias("values"))
+    return df.select(f"{features}.indices", f"{features}.values")
 
 
-def _gram_times(df: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """AᵀA·Q in one pass: partial sums per partition, added per vocabulary block."""
-    n, width = basis.shape
+def _gram_times(df: DataFrame, basis: np.ndarray, parts: int) -> np.ndarray:
+    """AᵀA·Q in one pass over the rows of A."""
     shared = df.sparkSession.sparkContext.broadcast(basis)
 
-    def partials(batches):
-        q, total, touched = shared.value, np.zeros((n, width)), np.zeros(n, dtype=bool)
+    def work(batches):
+        q = shared.value
+        total = np.zeros(q.shape)
         for batch in batches:
             rows, cols, values, sizes = flatten_sparse(batch["indices"], batch["values"])
-            if len(rows) == 0:
-                continue
-            projected = sum_by(rows, values[:, None] * q[cols], len(sizes))
-            total += sum_by(cols, values[:, None] * projected[rows], n)
-            touched[cols] = True
-        for block in np.unique(np.flatnonzero(touched) // BLOCK):
-            part = total[block * BLOCK : (block + 1) * BLOCK]
-            yield pd.DataFrame({"block": [int(block)], "sums": [part.ravel()]})
-
-    summed = sum_vectors(df.mapInPandas(partials, "block int, sums array<double>"), "block", "sums")
-    out = np.zeros((n, width))
-    for row in summed.collect():  # the n x width matrix, bounded by vocabulary and rank
-        part = np.asarray(row["sums"]).reshape(-1, width)
-        out[row["block"] * BLOCK : row["block"] * BLOCK + len(part)] = part
+            if len(rows):
+                projected = sum_by(rows, values[:, None] * q[cols], len(sizes))
+                total += sum_by(cols, values[:, None] * projected[rows], len(q))
+        return total
+
+    image = add_matrices(df, work, *basis.shape, parts)
     shared.destroy()
-    return out
+    return image
 
 
 def _fix_signs(v: np.ndarray) -> np.ndarray:
@@ -81,15 +71,15 @@ def truncated_svd(
     Block power iteration on AᵀA: each pass over the data is one Spark job, and
     the driver only holds n_terms x (k + oversample) blocks.
     """
-    n_rows = df.count()
+    n_rows, n_parts = size_of(df)
     k = valid_components(n_rows, n_terms, components)
     width = min(k + oversample, n_terms)
     q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))
     parts = _sparse_parts(df, features)
-    image = _gram_times(parts, q)
+    image = _gram_times(parts, q, n_parts)
     for _ in range(passes - 1):
         q, _ = np.linalg.qr(image)
-        image = _gram_times(parts, q)
+        image = _gram_times(parts, q, n_parts)
     values, vectors = np.linalg.eigh((q.T @ image + image.T @ q) / 2)
     return _fix_signs(q @ vectors[:, np.argsort(values)[::-1][:k]])
 
@@ -113,44 +103,47 @@ def project(
             out = np.divide(out, norms, out=out, where=norms > 0)
         return pd.Series(list(out))
 
-    parts = F.unwrap_udt(features)
-    return df.withColumn(output, apply(parts.getField("indices"), parts.getField("values")))
+    return df.withColumn(output, apply(f"{features}.indices", f"{features}.values"))
 
 
 def explained_variance_ratio(df: DataFrame, basis: np.ndarray, features: str = "features") -> float:
-    """Variance of the projected columns over variance of the TF-IDF columns."""
-    n = df.count()
-    parts = _sparse_parts(df, features)
-    entries = parts.select(F.explode(F.arrays_zip("indices", "values")).alias("e")).select("e.*")
-    columns = entries.groupBy("indices").agg(
-        F.sum("values").alias("s"), F.sum(F.col("values") * F.col("values")).alias("q")
-    )
-    total = columns.agg(F.sum(F.col("q") / n - (F.col("s") / n) * (F.col("s") / n))).first()[0]
-    axes = (
-        project(df, basis, features, "__p", normalise=False)
-        .select(F.posexplode("__p").alias("axis", "v"))
-        .groupBy("axis")
-        .agg(F.var_pop("v").alias("var"))
-    )
-    kept = axes.agg(F.sum("var")).first()[0]
-    return float(kept / total) if total else 0.0
+    """Variance of the projected columns over variance of the TF-IDF columns, in one pass."""
+    n, n_parts = size_of(df)
+    terms, k = basis.shape
+    shared = df.sparkSession.sparkContext.broadcast(basis)
+
+    def work(batches):
+        q = shared.value
+        total = np.zeros((terms + k, 2))
+        for batch in batches:
+            rows, cols, values, sizes = flatten_sparse(batch["indices"], batch["values"])
+            if len(rows):
+                total[:terms] += sum_by(cols, np.column_stack([values, values * values]), terms)
+                projected = sum_by(rows, values[:, None] * q[cols], len(sizes))
+                total[terms:] += np.column_stack([projected.sum(axis=0), (projected**2).sum(axis=0)])
+        return total
+
+    sums = add_matrices(_sparse_parts(df, features), work, terms + k, 2, n_parts)
+    variance = sums[:, 1] / n - (sums[:, 0] / n) ** 2
+    whole = variance[:terms].sum()
+    return float(variance[terms:].sum() / whole) if whole > 0 else 0.0
 
 
 def plane_coordinates(df: DataFrame, vector: str = "lsa", keep: Iterable[str] = ("review_id", "cluster_id")) -> DataFrame:
     """Two SVD coordinates of dense rows, from the exact d x d Gram matrix."""
 
-    def partials(batches):
-        total = None
+    width = len(df.select(vector).first()[0])
+    _, n_parts = size_of(df)
+
+    def work(batches):
+        total = np.zeros((width, width))
         for batch in batches:
             x = stack(batch[vector])
-            gram = x.T @ x
-            total = gram if total is None else total + gram
-        if total is not None:
-            yield pd.DataFrame({"row": range(len(total)), "sums": list(total)})
-
-    rows = df.select(vector).mapInPandas(partials, "row int, sums array<double>")
-    collected = sorted(sum_vectors(rows, "row", "sums").collect(), key=lambda r: r["row"])
-    _, vectors = np.linalg.eigh(np.array([r["sums"] for r in collected]))
+            if len(x):
+                total += x.T @ x
+        return total
+
+    _, vectors = np.linalg.eigh(add_matrices(df.select(vector), work, width, width, n_parts))
     axes = _fix_signs(vectors[:, ::-1][:, :2])
 
     def dot(i: int) -> Column:
@@ -184,36 +177,33 @@ def _spread_start(points: np.ndarray, k: int, rng) -> np.ndarray:
     return np.array(chosen)
 
 
-def _lloyd_pass(df: DataFrame, vector: str, models: list[np.ndarray]) -> list[np.ndarray]:
+def _lloyd_pass(df: DataFrame, vector: str, models: list[np.ndarray], parts: int) -> list[np.ndarray]:
     """One pass for all models at once: per centroid [count, squared distance, sums...]."""
     shared = df.sparkSession.sparkContext.broadcast(models)
+    edges = np.cumsum([0] + [len(m) for m in models])
+    width = models[0].shape[1] + 2
 
-    def partials(batches):
-        groups = shared.value
-        edges = np.cumsum([0] + [len(m) for m in groups])
-        centres = np.vstack(groups)
+    def work(batches):
+        centres = np.vstack(shared.value)
         lengths = (centres**2).sum(axis=1)
-        total = np.zeros((len(centres), centres.shape[1] + 2))
+        total = np.zeros((len(centres), width))
         for batch in batches:
             x = stack(batch[vector])
             if len(x) == 0:
                 continue
             squares = (x**2).sum(axis=1)
             gaps = lengths - 2.0 * (x @ centres.T)
-            ones_sq_x = np.hstack([np.ones((len(x), 1)), np.zeros((len(x), 1)), x])
+            at = np.arange(len(x))
+            facts = np.hstack([np.ones((len(x), 1)), np.zeros((len(x), 1)), x])
             for start, end in zip(edges[:-1], edges[1:]):
                 nearest = gaps[:, start:end].argmin(axis=1)
-                ones_sq_x[:, 1] = np.maximum(gaps[np.arange(len(x)), start + nearest] + squares, 0.0)
+                facts[:, 1] = np.maximum(gaps[at, start + nearest] + squares, 0.0)
                 member = np.zeros((len(x), end - start))
-                member[np.arange(len(x)), nearest] = 1.0
-                total[start:end] += member.T @ ones_sq_x
-        yield pd.DataFrame({"slot": range(len(total)), "sums": list(total)})
+                member[at, nearest] = 1.0
+                total[start:end] += member.T @ facts
+        return total
 
-    rows = df.select(vector).mapInPandas(partials, "slot int, sums array<double>")
-    edges = np.cumsum([0] + [len(m) for m in models])
-    flat = np.zeros((edges[-1], models[0].shape[1] + 2))
-    for row in sum_vectors(rows, "slot", "sums").collect():  # one row per centroid
-        flat[row["slot"]] = row["sums"]
+    flat = add_matrices(df.select(vector), work, int(edges[-1]), width, parts)
     shared.destroy()
     return [flat[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
@@ -235,13 +225,14 @@ def kmeans(
     many jobs as its slowest member, not the sum.  ``df`` should be cached.
     """
     sample = _seed_rows(df, vector, key, seed, seed_rows)
+    _, n_parts = size_of(df)
     spread = float(sample.var(axis=0).mean()) * tol
     plan = [(int(k), r) for k in cluster_counts for r in range(restarts)]
     models = [_spread_start(sample, k, np.random.default_rng([seed, k, r])) for k, r in plan]
     live = list(range(len(plan)))
     for _ in range(max_iter):
         moved = []
-        for i, stats in zip(live, _lloyd_pass(df, vector, [models[i] for i in live])):
+        for i, stats in zip(live, _lloyd_pass(df, vector, [models[i] for i in live], n_parts)):
             counts = stats[:, :1]
             updated = np.where(counts > 0, stats[:, 2:] / np.maximum(counts, 1), models[i])
             if ((updated - models[i]) ** 2).sum() > spread:
@@ -251,7 +242,7 @@ def kmeans(
         if not live:
             break
     best: dict[int, tuple[np.ndarray, float]] = {}
-    for (k, _), centres, stats in zip(plan, models, _lloyd_pass(df, vector, models)):
+    for (k, _), centres, stats in zip(plan, models, _lloyd_pass(df, vector, models, n_parts)):
         inertia = float(stats[:, 1].sum())
         if k not in best or inertia < best[k][1]:
             best[k] = (centres, inertia)
@@ -389,10 +380,11 @@ def represent(
 ):
     """TF-IDF vectors and their normalised projection, cached, with the fitted parts."""
     require_columns(df, [key, text], "clustering input")
-    usable = df.where(F.length(F.trim(text)) > 0)
-    terms = fit_terms(usable, text, stop_words, key=key, **bounds)
-    spread = usable.select(key, text).repartition(key)
-    vectors = vectorise(spread, terms, text).persist(StorageLevel.MEMORY_AND_DISK)
+    # Partitioned once; the fit, the vectors and all later passes reuse it.
+    texts = located_by(df.select(key, text).where(F.length(F.trim(text)) > 0), key)
+    texts = texts.persist(StorageLevel.MEMORY_AND_DISK)
+    terms = fit_terms(texts, text, stop_words, key=key, located=True, **bounds)
+    vectors = vectorise(texts, terms, text).persist(StorageLevel.MEMORY_AND_DISK)
     basis = truncated_svd(vectors, len(terms.terms), components, seed=seed)
     projected = project(vectors, basis).persist(StorageLevel.MEMORY_AND_DISK)
     return terms, basis, projected
@@ -498,14 +490,12 @@ def top_terms_of_weights(
 
 def top_terms(assigned: DataFrame, terms: TermWeights, top_n: int = S.TOP_TERMS) -> DataFrame:
     """Top terms from rows that carry their sparse vector and cluster."""
-    parts = F.unwrap_udt("features")
     entries = assigned.select(
-        "cluster_id",
-        F.explode(F.arrays_zip(parts.getField("indices").alias("i"), parts.getField("values").alias("v"))).alias("e"),
+        "cluster_id", F.explode(F.arrays_zip("features.indices", "features.values")).alias("e")
     )
     named = terms.table(assigned.sparkSession).select(F.col("idx"), "term")
     weights = (
-        entries.select("cluster_id", F.col("e.i").alias("idx"), F.col("e.v").alias("weight"))
+        entries.select("cluster_id", F.col("e.indices").alias("idx"), F.col("e.values").alias("weight"))
         .groupBy("cluster_id", "idx")
         .agg(F.sum("weight").alias("weight"))
         .join(F.broadcast(named), "idx")  # one row per vocabulary entry, capped when fitted

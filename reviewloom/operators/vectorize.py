@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.functions import text as X
-from reviewloom.functions.vectors import flatten_sparse
-from reviewloom.plans.shapes import checked_broadcast
+from reviewloom.functions.blocks import flatten_sparse
+from reviewloom.plans.shapes import checked_broadcast, located_by
 
 
 def term_list(text, stop_words: Iterable[str] = (), bigrams: bool = True):
@@ -33,12 +33,15 @@ def term_counts(
     stop_words: Iterable[str] | None = None,
     bigrams: bool = True,
     key: str = "review_id",
+    located: bool = False,
 ) -> DataFrame:
-    """(key, term, tf).  Texts are partitioned by key once; counting, and any later
-    per-review window, stay inside those partitions."""
+    """(key, term, tf).  Texts are partitioned by key once (not again when the input
+    is already ``located``); counting, and any later per-review window, stay inside
+    those partitions."""
     stops = X.topic_stop_words() if stop_words is None else stop_words
-    located = df.select(key, text).repartition(key)
-    terms = located.select(key, F.explode(term_list(F.col(text), stops, bigrams)).alias("term"))
+    texts = df.select(key, text)
+    texts = texts if located else located_by(texts, key)
+    terms = texts.select(key, F.explode(term_list(F.col(text), stops, bigrams)).alias("term"))
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -93,6 +96,7 @@ def fit_terms(
     stop_words: Iterable[str] | None = None,
     bigrams: bool = True,
     key: str = "review_id",
+    located: bool = False,
     **bounds,
 ) -> TermWeights:
     """Fit the vocabulary; at most ``max_features`` rows come to the driver."""
@@ -100,7 +104,7 @@ def fit_terms(
     n_docs = df.count()
     if n_docs == 0:
         raise ValueError("no texts to fit a vocabulary on")
-    rows = vocabulary(term_counts(df, text, stops, bigrams, key), n_docs, **bounds).collect()
+    rows = vocabulary(term_counts(df, text, stops, bigrams, key, located), n_docs, **bounds).collect()
     if not rows:
         raise ValueError("no term is within the document-frequency bounds")
     counts = np.array([r["doc_count"] for r in rows], dtype=float)
@@ -109,10 +113,13 @@ def fit_terms(
     )
 
 
+SPARSE = "indices array<int>, values array<double>"
+
+
 def vectorise(
     df: DataFrame, weights: TermWeights, text: str = "classical_text", output: str = "features"
 ) -> DataFrame:
-    """Sparse TF-IDF vector per row, without a shuffle.
+    """Sparse TF-IDF per row as struct(indices, values), without a shuffle.
 
     Counting against the vocabulary is a JVM transformer; one Arrow UDF applies
     the weights.  Terms outside the vocabulary drop out.
@@ -125,16 +132,25 @@ def vectorise(
     )
     counted = counter.transform(listed).withColumn("__s", F.unwrap_udt("__tf"))
     idf = df.sparkSession.sparkContext.broadcast(weights.idf)
-    size = len(weights.terms)
 
-    @F.pandas_udf(VectorUDT())
+    @F.pandas_udf(SPARSE)
     def weigh(indices: pd.Series, counts: pd.Series) -> pd.DataFrame:
         rows, cols, tf, sizes = flatten_sparse(indices, counts)
         raw = (1.0 + np.log(tf)) * idf.value[cols]
         norms = np.sqrt(np.bincount(rows, weights=raw * raw, minlength=len(sizes)))
         unit = np.split(raw / norms[rows], np.cumsum(sizes)[:-1]) if len(sizes) else []
+        return pd.DataFrame({"indices": indices, "values": pd.Series(unit, dtype=object)})
+
+    return counted.withColumn(output, weigh("__s.indices", "__s.values")).drop("__terms", "__tf", "__s")
+
+
+def as_vector(df: DataFrame, size: int, features: str = "features") -> DataFrame:
+    """The same column as an ML vector, for estimators."""
+
+    @F.pandas_udf(VectorUDT())
+    def wrap(indices: pd.Series, values: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(
-            {"type": np.int8(0), "size": np.int32(size), "indices": indices, "values": pd.Series(unit, dtype=object)}
+            {"type": np.int8(0), "size": np.int32(size), "indices": indices, "values": values}
         )
 
-    return counted.withColumn(output, weigh("__s.indices", "__s.values")).drop("__terms", "__tf", "__s")
+    return df.withColumn(features, wrap(f"{features}.indices", f"{features}.values"))

@@ -84,6 +84,16 @@ def small_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return checked_broadcast(materialise(df), limit)
 
 
+def located_by(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by key into exactly spark.sql.shuffle.partitions parts.
+
+    The explicit number keeps adaptive execution from merging the parts, whose
+    work (text rules, vectors) is far heavier than their bytes suggest.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key)
+
+
 def literal_rows(spark, rows, schema: str) -> DataFrame:
     """A fixed table from program constants, planned as a local relation."""
     return spark.createDataFrame(list(rows), schema)

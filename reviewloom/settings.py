@@ -120,23 +120,23 @@ TOPIC_TAXONOMY = (
     ("Ease of Use", "setup install installation instructions simple intuitive"),
 )
 
-# One token that the word tokeniser splits in two.
-TOKEN_SPLITS = {
-    "cannot": "can not",
-    "gimme": "gim me",
-    "gonna": "gon na",
-    "gotta": "got ta",
-    "lemme": "lem me",
-    "wanna": "wan na",
-}
+# Words that the word tokeniser splits in two, as (first part, second part).
+TOKEN_SPLITS = (
+    ("can", "not"),
+    ("gim", "me"),
+    ("gon", "na"),
+    ("got", "ta"),
+    ("lem", "me"),
+    ("wan", "na"),
+)
 
-# Noun suffix rules applied in this order when no lemma dictionary is given.
-# Each entry is (pattern, replacement) on whole lowercase words.
+# Noun suffix rules, applied in this order to lowercase words when no lemma
+# dictionary is given: (ending with its left context, replacement).
 NOUN_SUFFIX_RULES = (
-    (r"\b([a-z]{2,})ies\b", "y"),
-    (r"\b([a-z]+)(ch|sh|x|z|ss)es\b", ""),
-    (r"\b([a-z]*)men\b", "man"),
-    (r"\b([a-z]+[a-hj-rtv-z])s\b", ""),
+    (r"(?<=[a-z]{2})ies\b", "y"),
+    (r"(?<=[a-z](?:ch|sh|ss|x|z))es\b", ""),
+    (r"men\b", "man"),
+    (r"(?<=[a-z][a-hj-rtv-z])s\b", ""),
 )
 
 CONTRAST_WORDS = ("but", "however", "although", "though", "yet", "except")
