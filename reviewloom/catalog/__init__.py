@@ -4,7 +4,20 @@ import importlib
 
 from reviewloom.catalog.registry import ORACLE, QUERIES
 
-for _area in ("cleaning", "features", "profiling", "insights", "recommendations", "reports", "vectors", "labeling"):
+for _area in (
+    "sources",
+    "cleaning",
+    "features",
+    "profiling",
+    "vectors",
+    "topic_models",
+    "labeling",
+    "sentiment",
+    "evaluation",
+    "insights",
+    "recommendations",
+    "reports",
+):
     importlib.import_module(f"reviewloom.catalog.{_area}")
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -217,16 +217,6 @@ def coordinates(spark, sf_dir):
     return plane.withColumns({c: F.round(c, 6) for c in ("component_1", "component_2")})
 
 
-@query("v14_predict_topics")
-def predict(spark, sf_dir):
-    """Training assignment next to the prediction for the same texts."""
-    texts = classical(spark, sf_dir)
-    model, assigned = P.fit_topic_model(texts)
-    predicted = P.predict_topics(texts, model).select("review_id", F.col("cluster_id").alias("predicted_cluster"))
-    both = assigned.select("review_id", F.col("cluster_id").alias("fitted_cluster")).join(predicted, "review_id")
-    return both.withColumn("same", F.col("fitted_cluster") == F.col("predicted_cluster"))
-
-
 @query(
     "v15_centroid_distances",
     f"""with {CENTROIDS[0]} as ({CENTROIDS[1]})

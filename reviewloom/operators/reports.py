@@ -79,7 +79,7 @@ def report_metrics(facts: DataFrame, recommendations: DataFrame, generated_at: s
         F.count(F.lit(1)).alias("recommendations"),
         F.count_if(F.col("priority") == "High").alias("high_priority"),
     )
-    return _side_by_side(
+    return side_by_side(
         base_overview.select(
             F.lit(generated_at).alias("generated_at"),
             F.col("total_reviews").alias("reviews"),
@@ -90,7 +90,7 @@ def report_metrics(facts: DataFrame, recommendations: DataFrame, generated_at: s
     )
 
 
-def _side_by_side(*one_row_tables: DataFrame) -> DataFrame:
+def side_by_side(*one_row_tables: DataFrame) -> DataFrame:
     """Columns of several one-row tables in one row, by union and a global aggregate."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row_tables)
     return stacked.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in stacked.columns])
@@ -114,7 +114,7 @@ def report_payload(
         F.struct(-F.col("review_count"), F.col("topic_id")).alias("__k"), F.struct(*summaries.columns).alias("__v")
     )
     recs = F.struct(*recommendations.columns)
-    return _side_by_side(
+    return side_by_side(
         overview.select(executive_sentence(brand).alias("executive_summary"), F.struct("*").alias("overview")),
         metrics.select("generated_at", F.struct("*").alias("metrics")),
         listed(key_findings(facts), "position", F.col("finding"), "key_findings"),
@@ -175,7 +175,7 @@ def report_lines(
 ) -> DataFrame:
     """The Markdown report as (line_no, line); every input has one row per topic or fewer."""
     metrics = report_metrics(facts, recommendations, generated_at, overview)
-    labelled = _side_by_side(
+    labelled = side_by_side(
         metrics,
         overview.select("overall_sentiment", executive_sentence(brand).alias("sentence")),
     )
