@@ -1,3 +1,11 @@
 """Customer-review analytics expressed as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to the executors by value, so a cluster needs
+# no copy of the package on its workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

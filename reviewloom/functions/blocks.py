@@ -86,8 +86,21 @@ def add_matrices(df: DataFrame, work, rows: int, width: int, parts: int) -> np.n
     return out
 
 
-def size_of(df: DataFrame) -> tuple[int, int]:
-    """(rows, partitions) of a cached table, in one job."""
-    parts = df.select(F.spark_partition_id().alias("part"))
-    row = parts.agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("last")).first()
-    return row["n"], (row["last"] or 0) + 1
+def size_of(df: DataFrame, weight=None) -> tuple[int, int, int]:
+    """(rows, partitions, summed weight) of a cached table, in one job."""
+    weight = F.lit(1) if weight is None else weight
+    parts = df.select(F.spark_partition_id().alias("part"), weight.cast("bigint").alias("weight"))
+    row = parts.agg(
+        F.count(F.lit(1)).alias("n"), F.max("part").alias("last"), F.sum("weight").alias("w")
+    ).first()
+    return row["n"], (row["last"] or 0) + 1, row["w"] or 0
+
+
+def fit_partitions(df: DataFrame, parts: int, work: float, per_task: float) -> tuple[DataFrame, int]:
+    """Merge partitions when there is less work than would keep them all busy.
+
+    Small inputs stop paying per-task overhead in every pass; large ones keep
+    their partitions.
+    """
+    wanted = max(1, min(parts, int(work / per_task) + 1))
+    return (df.coalesce(wanted) if wanted < parts else df), wanted

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
+from reviewloom.functions.blocks import fit_partitions, flatten_sparse, size_of, sum_by
 from reviewloom.functions.vectors import argmax, softmax
 from reviewloom.operators.vectorize import TermWeights, as_vector, fit_terms, vectorise
 from reviewloom.plans.shapes import literal_rows, located_by, require_columns, split_by_hash
@@ -97,8 +98,13 @@ def train_classifier(
     rows = vectorise(located, terms, text).select(
         "features", position[F.col(label)].alias("label"), weight[F.col(label)].alias("weight")
     )
-    rows = as_vector(rows, len(terms.terms)).persist(StorageLevel.MEMORY_AND_DISK)
+    entries = F.size("features.indices")
+    rows = rows.withColumn("entries", entries).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.agg(F.sum("weight")).first()[0]
+    _, n_parts, n_entries = size_of(rows, F.col("entries"))
+    # Every iteration returns a gradient per partition, so small data uses few.
+    sized, _ = fit_partitions(rows, n_parts, n_entries, 1e6)
+    sized = as_vector(sized, len(terms.terms)).select("label", "weight", "features").persist()
     classifier = LogisticRegression(
         family="multinomial",
         weightCol="weight",
@@ -107,7 +113,8 @@ def train_classifier(
         standardization=False,
         maxIter=max_iter,
         tol=tol,
-    ).fit(rows)
+    ).fit(sized)
+    sized.unpersist()
     rows.unpersist()
     located.unpersist()
     return SentimentModel(terms, classifier, labels)
@@ -151,7 +158,6 @@ def predict(df: DataFrame, model: SentimentModel, text: str = "classical_text")
     """
     matrix = model.classifier.coefficientMatrix.toArray()
     shared = df.sparkSession.sparkContext.broadcast((matrix, np.asarray(model.classifier.interceptVector)))
-    from reviewloom.functions.blocks import flatten_sparse, sum_by
 
     @F.pandas_udf("array<double>")
     def logits(indices: pd.Series, values: pd.Series) -> pd.Series:

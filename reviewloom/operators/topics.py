@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
-from reviewloom.functions.blocks import add_matrices, flatten_sparse, size_of, stack, sum_by
+from reviewloom.functions.blocks import (
+    add_matrices,
+    fit_partitions,
+    flatten_sparse,
+    size_of,
+    stack,
+    sum_by,
+)
 from reviewloom.functions.vectors import sum_vectors
 from reviewloom.operators.vectorize import TermWeights, fit_terms, vectorise
 from reviewloom.plans.shapes import checked_broadcast, located_by, require_columns
@@ -71,11 +78,11 @@ def truncated_svd(
     Block power iteration on AᵀA: each pass over the data is one Spark job, and
     the driver only holds n_terms x (k + oversample) blocks.
     """
-    n_rows, n_parts = size_of(df)
+    n_rows, n_parts, entries = size_of(df, F.size(f"{features}.indices"))
     k = valid_components(n_rows, n_terms, components)
     width = min(k + oversample, n_terms)
     q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))
-    parts = _sparse_parts(df, features)
+    parts, n_parts = fit_partitions(_sparse_parts(df, features), n_parts, entries * width, 2e7)
     image = _gram_times(parts, q, n_parts)
     for _ in range(passes - 1):
         q, _ = np.linalg.qr(image)
@@ -108,7 +115,7 @@ def project(
 
 def explained_variance_ratio(df: DataFrame, basis: np.ndarray, features: str = "features") -> float:
     """Variance of the projected columns over variance of the TF-IDF columns, in one pass."""
-    n, n_parts = size_of(df)
+    n, n_parts, _ = size_of(df)
     terms, k = basis.shape
     shared = df.sparkSession.sparkContext.broadcast(basis)
 
@@ -133,7 +140,7 @@ def plane_coordinates(df: DataFrame, vector: str = "lsa", keep: Iterable[str] =
     """Two SVD coordinates of dense rows, from the exact d x d Gram matrix."""
 
     width = len(df.select(vector).first()[0])
-    _, n_parts = size_of(df)
+    _, n_parts, _ = size_of(df)
 
     def work(batches):
         total = np.zeros((width, width))
@@ -225,14 +232,16 @@ def kmeans(
     many jobs as its slowest member, not the sum.  ``df`` should be cached.
     """
     sample = _seed_rows(df, vector, key, seed, seed_rows)
-    _, n_parts = size_of(df)
+    n_rows, n_parts, _ = size_of(df)
     spread = float(sample.var(axis=0).mean()) * tol
     plan = [(int(k), r) for k in cluster_counts for r in range(restarts)]
     models = [_spread_start(sample, k, np.random.default_rng([seed, k, r])) for k, r in plan]
     live = list(range(len(plan)))
+    flops = n_rows * sample.shape[1] * sum(len(m) for m in models)
+    rows, n_parts = fit_partitions(df.select(vector), n_parts, flops, 4e8)
     for _ in range(max_iter):
         moved = []
-        for i, stats in zip(live, _lloyd_pass(df, vector, [models[i] for i in live], n_parts)):
+        for i, stats in zip(live, _lloyd_pass(rows, vector, [models[i] for i in live], n_parts)):
             counts = stats[:, :1]
             updated = np.where(counts > 0, stats[:, 2:] / np.maximum(counts, 1), models[i])
             if ((updated - models[i]) ** 2).sum() > spread:
@@ -242,7 +251,7 @@ def kmeans(
         if not live:
             break
     best: dict[int, tuple[np.ndarray, float]] = {}
-    for (k, _), centres, stats in zip(plan, models, _lloyd_pass(df, vector, models, n_parts)):
+    for (k, _), centres, stats in zip(plan, models, _lloyd_pass(rows, vector, models, n_parts)):
         inertia = float(stats[:, 1].sum())
         if k not in best or inertia < best[k][1]:
             best[k] = (centres, inertia)

@@ -113,6 +113,19 @@ def fit_terms(
     )
 
 
+def _counter(spark, terms: list[str]) -> CountVectorizerModel:
+    """CountVectorizerModel over a given vocabulary.
+
+    ``from_vocabulary`` copies the terms to the JVM one call each; splitting one
+    joined string there takes a single call.  Terms never contain line breaks.
+    """
+    line_break = spark.sparkContext._jvm.java.util.regex.Pattern.compile("\n")
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", line_break.split("\n".join(terms))
+    )
+    return model._set(inputCol="__terms", outputCol="__tf", vocabSize=len(terms))
+
+
 SPARSE = "indices array<int>, values array<double>"
 
 
@@ -124,9 +137,7 @@ def vectorise(
     Counting against the vocabulary is a JVM transformer; one Arrow UDF applies
     the weights.  Terms outside the vocabulary drop out.
     """
-    counter = CountVectorizerModel.from_vocabulary(
-        weights.terms, inputCol="__terms", outputCol="__tf"
-    )
+    counter = _counter(df.sparkSession, weights.terms)
     listed = df.withColumn(
         "__terms", term_list(F.coalesce(text, F.lit("")), weights.stop_words, weights.bigrams)
     )

@@ -161,12 +161,16 @@ def split_by_hash(
         holds_cut = holds_cut | ((end > F.col("__start")) & (end < F.col("__end")))
     same = (F.col(group) == F.col("__g")) & (F.col("__b") == F.col("__gb"))
     keep = [col(n) for n in df.columns]
-    whole = hashed.join(checked_broadcast(offsets.where(~holds_cut), 1_000_000), same).select(
+    # At most 65,536 narrow rows per label; checked, since labels are data.
+    limit = 1_000_000
+    small = offsets.limit(limit + 1).count() <= limit
+    side = F.broadcast if small else (lambda table: table)
+    whole = hashed.join(side(offsets.where(~holds_cut)), same).select(
         *keep, named(F.col("__end")).alias(output)
     )
     inside = Window.partitionBy(group, "__b").orderBy("__h", col(order))
     mixed = (
-        hashed.join(checked_broadcast(offsets.where(holds_cut)), same)
+        hashed.join(side(offsets.where(holds_cut)), same)
         .withColumn("__p", F.row_number().over(inside) + F.col("__start"))
         .select(*keep, named(F.col("__p")).alias(output))
     )
