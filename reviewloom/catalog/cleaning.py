@@ -278,5 +278,5 @@ def unexpected_labels(spark, sf_dir):
 )
 def quality_summary(spark, sf_dir):
     raw = raw_file(spark, sf_dir)
-    cleaned = C.clean_dataset(raw)
+    cleaned = C.clean_dataset(raw).persist()
     return C.quality_summary(raw, cleaned, features.model_text_features(cleaned))

@@ -58,9 +58,22 @@ def risks(spark, sf_dir):
     return P.business_risks(ranked(spark, sf_dir))
 
 
-@query("q04_opportunities", over_clustered(*CTES, body=OPPORTUNITIES_SQL))
+@query(
+    "q04_opportunities",
+    over_clustered(
+        *CTES,
+        body=f"""select 0.7::double as minimum, * from ({OPPORTUNITIES_SQL}) a
+        union all select 0.3, * from ({OPPORTUNITIES_SQL.replace('>= 0.7', '>= 0.3')}) b""",
+    ),
+)
 def opportunities(spark, sf_dir):
-    return P.business_opportunities(facts(spark, sf_dir))
+    """At the default bar and at a lower one that some topics reach."""
+    rated = facts(spark, sf_dir)
+    parts = [
+        P.business_opportunities(rated, bar).withColumn("minimum", F.lit(bar))
+        for bar in (S.OPPORTUNITY_POSITIVE, 0.3)
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 METRICS_SQL = f"""select '{GENERATED_AT}' as generated_at, total_reviews as reviews, total_topics as topics,
@@ -106,7 +119,6 @@ def report(spark, sf_dir):
     ),
 )
 def percent_text(spark, sf_dir):
-    rated = facts(spark, sf_dir)
     counted = IQ.base(spark, sf_dir)
     rated = I.topic_sentiment(counted).join(I.topics(counted).select("cluster_id", "review_share"), "cluster_id")
     return rated.select(

@@ -11,6 +11,7 @@ from reviewloom.operators import evaluation as E
 from reviewloom.operators import sentiment as M
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
+from reviewloom.plans.shapes import located_by
 from reviewloom.session import scratch_path
 
 SPLIT = (
@@ -25,8 +26,8 @@ SPLIT = (
 
 
 def classical(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir)
-    return reviews.select(
+    reviews = fx.reviews_labelled(spark, sf_dir).select("review_id", "review_text", "sentiment_label")
+    return located_by(reviews, "review_id").select(
         "review_id", X.classical_text(F.col("review_text")).alias("classical_text"), "sentiment_label"
     )
 

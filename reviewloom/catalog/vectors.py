@@ -11,6 +11,7 @@ from reviewloom.operators import topics as P
 from reviewloom.operators import vectorize as V
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
+from reviewloom.plans.shapes import located_by
 
 CLASSICAL = (
     "classical",
@@ -46,21 +47,21 @@ def over_labelled(*parts, body):
 
 
 def classical(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir)
+    reviews = located_by(fx.reviews_labelled(spark, sf_dir).select("review_id", "review_text"), "review_id")
     return reviews.select("review_id", X.classical_text(F.col("review_text")).alias("classical_text"))
 
 
 def fitted(spark, sf_dir):
     """Classical texts, their term counts, the vocabulary table and the text count."""
-    texts = classical(spark, sf_dir)
-    counts = V.term_counts(texts)
+    texts = classical(spark, sf_dir).persist()
+    counts = V.term_counts(texts, located=True)
     n = fx.reviews_labelled(spark, sf_dir).count()
     return texts, counts, V.vocabulary(counts, n), n
 
 
 @query("v01_ngrams", over_labelled(*CTES[:3], body="select review_id, term, tf from grams"))
 def ngrams(spark, sf_dir):
-    return V.term_counts(classical(spark, sf_dir))
+    return V.term_counts(classical(spark, sf_dir), located=True)
 
 
 @query("v02_vocabulary", over_labelled(*CTES[:4], body="select term, doc_count, total_count from vocab"))

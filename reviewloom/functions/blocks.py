@@ -49,6 +49,41 @@ def sum_by(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+CHUNK = 256  # sparse rows multiplied at a time
+
+
+def sparse_chunks(indices: pd.Series, values: pd.Series, n: int):
+    """(row count, forward, backward) per chunk of sparse rows.
+
+    ``forward(q)`` is rows·q and ``backward(y)`` is rowsᵀ·y.  Rows filled above one
+    percent go through a dense block, thinner ones through their entries.
+    """
+    for start in range(0, len(indices), CHUNK):
+        rows, cols, entries, sizes = flatten_sparse(
+            indices.iloc[start : start + CHUNK], values.iloc[start : start + CHUNK]
+        )
+        m = len(sizes)
+        if len(rows) > 0.01 * m * n:
+            dense = np.zeros((m, n))
+            dense[rows, cols] = entries
+            yield m, dense.__matmul__, dense.T.__matmul__
+        else:
+            weights = entries[:, None]
+            yield (
+                m,
+                lambda q, w=weights, r=rows, c=cols, k=m: sum_by(r, w * q[c], k),
+                lambda y, w=weights, r=rows, c=cols: sum_by(c, w * y[r], n),
+            )
+
+
+def matrix_of(df: DataFrame, vector: str) -> np.ndarray:
+    """An array column of a bounded table as one matrix."""
+    column = df.select(vector).toArrow()[vector].combine_chunks()
+    width = len(column[0]) if len(column) else 0
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), width)
+
+
 def add_matrices(df: DataFrame, work, rows: int, width: int, parts: int) -> np.ndarray:
     """Sum over partitions of the (rows x width) matrix that ``work(batches)`` returns.
 

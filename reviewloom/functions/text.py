@@ -18,7 +18,6 @@ from pyspark.sql.types import StringType
 
 from reviewloom import settings as S
 
-SPACE = r"(?U)[\s\x1c-\x1f]+"
 # Letters, digits and underscore, two or more: a word token.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -30,6 +29,8 @@ def _decode_entities(values: pd.Series) -> pd.Series:
 
 def _compose(value: str) -> str:
     folded = unicodedata.normalize("NFKC", value)
+    if "".join(folded.split()).isprintable():
+        return folded
     return "".join(c for c in folded if c.isprintable() or c.isspace())
 
 
@@ -39,20 +40,28 @@ def _fold_unicode(values: pd.Series) -> pd.Series:
 
 
 def strip_markup(text: Column) -> Column:
-    """Script and style blocks, comments, tags and URLs become spaces."""
+    """Script and style blocks, comments, tags and URLs become spaces.
+
+    Each group of patterns only runs on texts that hold its first characters.
+    """
+    bare = text
     for pattern in (
-        r"(?isU)<script\b[^>]*>.*?</script>",
-        r"(?isU)<style\b[^>]*>.*?</style>",
+        r"(?is)<script\b[^>]*>.*?</script>",
+        r"(?is)<style\b[^>]*>.*?</style>",
         r"(?s)<!--.*?-->",
         r"<[^>]+>",
-        r"(?iU)https?://\S+|www\.\S+",
     ):
-        text = F.regexp_replace(text, pattern, " ")
-    return text
+        bare = F.regexp_replace(bare, pattern, " ")
+    bare = F.when(F.contains(text, F.lit("<")), bare).otherwise(text)
+    has_url = F.contains(bare, F.lit("://")) | F.rlike(bare, F.lit(r"(?i)www\."))
+    url = r"(?i)https?://[^\s\x1c-\x1f\x85\p{Z}]+|www\.[^\s\x1c-\x1f\x85\p{Z}]+"
+    return F.when(has_url, F.regexp_replace(bare, url, " ")).otherwise(bare)
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, SPACE, " "))
+    """Any run of Unicode white space becomes one space; ends are trimmed."""
+    plain = F.regexp_replace(text, r"[\x09-\x0d\x1c-\x1f\x85\p{Z}&&[^ ]]", " ")
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def normalise_text(text: Column) -> Column:

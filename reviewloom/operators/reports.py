@@ -58,10 +58,10 @@ def business_risks(recommendations: DataFrame) -> DataFrame:
     )
 
 
-def business_opportunities(facts: DataFrame) -> DataFrame:
+def business_opportunities(facts: DataFrame, minimum: float = S.OPPORTUNITY_POSITIVE) -> DataFrame:
     return (
         facts.select(volume_rank(), "topic_name", "positive_rate")
-        .where(F.col("positive_rate") >= S.OPPORTUNITY_POSITIVE)
+        .where(F.col("positive_rate") >= minimum)
         .select(
             "position",
             F.format_string(

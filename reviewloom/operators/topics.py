@@ -16,9 +16,10 @@ from reviewloom.functions.blocks import (
     add_matrices,
     fit_partitions,
     flatten_sparse,
+    matrix_of,
     size_of,
+    sparse_chunks,
     stack,
-    sum_by,
 )
 from reviewloom.functions.vectors import sum_vectors
 from reviewloom.operators.vectorize import TermWeights, fit_terms, vectorise
@@ -47,10 +48,8 @@ def _gram_times(df: DataFrame, basis: np.ndarray, parts: int) -> np.ndarray:
         q = shared.value
         total = np.zeros(q.shape)
         for batch in batches:
-            rows, cols, values, sizes = flatten_sparse(batch["indices"], batch["values"])
-            if len(rows):
-                projected = sum_by(rows, values[:, None] * q[cols], len(sizes))
-                total += sum_by(cols, values[:, None] * projected[rows], len(q))
+            for _, forward, backward in sparse_chunks(batch["indices"], batch["values"], len(q)):
+                total += backward(forward(q))
         return total
 
     image = add_matrices(df, work, *basis.shape, parts)
@@ -103,8 +102,9 @@ def project(
 
     @F.pandas_udf("array<double>")
     def apply(indices: pd.Series, values: pd.Series) -> pd.Series:
-        rows, cols, weights, sizes = flatten_sparse(indices, values)
-        out = sum_by(rows, weights[:, None] * shared.value[cols], len(sizes))
+        q = shared.value
+        chunks = [forward(q) for _, forward, _ in sparse_chunks(indices, values, len(q))]
+        out = np.vstack(chunks) if chunks else np.zeros((0, q.shape[1]))
         if normalise:
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             out = np.divide(out, norms, out=out, where=norms > 0)
@@ -123,11 +123,13 @@ def explained_variance_ratio(df: DataFrame, basis: np.ndarray, features: str = "
         q = shared.value
         total = np.zeros((terms + k, 2))
         for batch in batches:
-            rows, cols, values, sizes = flatten_sparse(batch["indices"], batch["values"])
-            if len(rows):
-                total[:terms] += sum_by(cols, np.column_stack([values, values * values]), terms)
-                projected = sum_by(rows, values[:, None] * q[cols], len(sizes))
-                total[terms:] += np.column_stack([projected.sum(axis=0), (projected**2).sum(axis=0)])
+            _, cols, values, _ = flatten_sparse(batch["indices"], batch["values"])
+            total[:terms, 0] += np.bincount(cols, weights=values, minlength=terms)
+            total[:terms, 1] += np.bincount(cols, weights=values * values, minlength=terms)
+            for _, forward, _ in sparse_chunks(batch["indices"], batch["values"], terms):
+                projected = forward(q)
+                total[terms:, 0] += projected.sum(axis=0)
+                total[terms:, 1] += (projected**2).sum(axis=0)
         return total
 
     sums = add_matrices(_sparse_parts(df, features), work, terms + k, 2, n_parts)
@@ -168,8 +170,7 @@ def plane_coordinates(df: DataFrame, vector: str = "lsa", keep: Iterable[str] =
 def _seed_rows(df: DataFrame, vector: str, key: str, seed: int, limit: int) -> np.ndarray:
     """A bounded, seeded sample of vectors for choosing start centroids only."""
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    rows = df.select(vector, order.alias("h"), key).orderBy("h", key).limit(limit).collect()
-    return np.array([r[vector] for r in rows], dtype=float)
+    return matrix_of(df.select(vector, order.alias("h"), key).orderBy("h", key).limit(limit), vector)
 
 
 def _spread_start(points: np.ndarray, k: int, rng) -> np.ndarray:
@@ -258,6 +259,11 @@ def kmeans(
     return best
 
 
+def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    gaps = (centres**2).sum(axis=1) - 2.0 * (points @ centres.T)
+    return gaps.argmin(axis=1)
+
+
 def centroid_distances(vector: Column, centres: np.ndarray) -> Column:
     """Array of Euclidean distances of a row to every centroid."""
 
@@ -312,49 +318,68 @@ def silhouette(
 ) -> DataFrame:
     """Mean Euclidean silhouette over a seeded sample, as one row.
 
-    The sample, at most ``sample_size`` rows, is shared with the tasks; each task
-    measures its rows against it in blocks.  NULL when fewer than two labels, or
-    when every row is its own cluster.
+    NULL when fewer than two labels, or when every row is its own cluster.
     """
+    picked = _sampled(df.select(key, vector, label), key, sample_size, seed).persist()
+    labels = np.array([r[0] for r in picked.select(label).collect()])
+    points = matrix_of(picked, vector)
+    picked.unpersist()
+    return _silhouette_rows(df.sparkSession, points, {0: labels}).drop("k")
+
+
+def _sampled(df: DataFrame, key: str, sample_size: int, seed: int) -> DataFrame:
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    picked = df.select(key, vector, label, order.alias("h")).orderBy("h", key).limit(sample_size)
-    rows = picked.collect()
-    labels = np.array([r[label] for r in rows])
-    names, codes = np.unique(labels, return_inverse=True)
-    spark = df.sparkSession
-    schema = "sampled_rows bigint, clusters bigint, silhouette double"
-    if len(names) < 2 or len(names) >= len(labels):
-        return spark.createDataFrame([(len(labels), len(names), None)], schema)
-    points = np.array([r[vector] for r in rows], dtype=float)
-    shared = spark.sparkContext.broadcast((points, codes, np.bincount(codes)))
+    return df.withColumn("h", order).orderBy("h", key).limit(sample_size)
+
+
+def _silhouette_rows(spark, points: np.ndarray, labelings: Mapping[int, np.ndarray]) -> DataFrame:
+    """(k, sampled_rows, clusters, silhouette) for several labelings of one sample.
+
+    The sample is shared with the tasks; each task measures a range of its rows
+    against all of it, in blocks.
+    """
+    schema = "k int, sampled_rows bigint, clusters bigint, silhouette double"
+    codes, undefined = {}, []
+    for k, labels in labelings.items():
+        names, code = np.unique(labels, return_inverse=True)
+        if 2 <= len(names) < len(labels):
+            codes[k] = code
+        else:
+            undefined.append((k, len(labels), len(names), None))
+    missing = spark.createDataFrame(undefined, schema)
+    if not codes:
+        return missing
+    shared = spark.sparkContext.broadcast((points, codes))
 
     def score(batches):
-        x, code, sizes = shared.value
-        member = np.zeros((len(x), len(sizes)))
-        member[np.arange(len(x)), code] = 1.0
+        x, labelled = shared.value
         lengths = (x**2).sum(axis=1)
+        members = {k: np.eye(c.max() + 1)[c] for k, c in labelled.items()}
         for batch in batches:
             at = batch["id"].to_numpy()
-            for rows_ in np.array_split(at, max(1, len(at) // 256)):
-                gaps = lengths[rows_, None] + lengths[None, :] - 2.0 * (x[rows_] @ x.T)
+            for rows in np.array_split(at, max(1, len(at) // 256)):
+                here = np.arange(len(rows))
+                gaps = lengths[rows, None] + lengths[None, :] - 2.0 * (x[rows] @ x.T)
                 gaps = np.sqrt(np.maximum(gaps, 0.0))
-                gaps[np.arange(len(rows_)), rows_] = 0.0
-                sums = gaps @ member
-                own, size = code[rows_], sizes[code[rows_]]
-                a = sums[np.arange(len(rows_)), own] / np.maximum(size - 1, 1)
-                means = sums / sizes
-                means[np.arange(len(rows_)), own] = np.inf
-                b = means.min(axis=1)
-                peak = np.maximum(a, b)
-                value = np.where((size > 1) & (peak > 0), (b - a) / np.where(peak > 0, peak, 1), 0.0)
-                yield pd.DataFrame({"s": value})
-
-    ids = spark.range(len(points))
-    return ids.mapInPandas(score, "s double").agg(
-        F.count(F.lit(1)).alias("sampled_rows"),
-        F.lit(len(names)).cast("bigint").alias("clusters"),
-        F.avg("s").alias("silhouette"),
-    )
+                gaps[here, rows] = 0.0
+                for k, code in labelled.items():
+                    sizes = members[k].sum(axis=0)
+                    sums, own = gaps @ members[k], code[rows]
+                    a = sums[here, own] / np.maximum(sizes[own] - 1, 1)
+                    means = sums / sizes
+                    means[here, own] = np.inf
+                    b = means.min(axis=1)
+                    peak = np.maximum(a, b)
+                    value = np.where(
+                        (sizes[own] > 1) & (peak > 0), (b - a) / np.where(peak > 0, peak, 1), 0.0
+                    )
+                    yield pd.DataFrame({"k": np.int32(k), "s": value})
+
+    scored = spark.range(len(points)).mapInPandas(score, "k int, s double")
+    clusters = F.create_map(*[F.lit(v) for k, c in codes.items() for v in (int(k), int(c.max()) + 1)])
+    return scored.groupBy("k").agg(
+        F.count(F.lit(1)).alias("sampled_rows"), F.avg("s").alias("silhouette")
+    ).select("k", "sampled_rows", clusters[F.col("k")].cast("bigint").alias("clusters"), "silhouette").unionByName(missing)
 
 
 # --- the topic model ---------------------------------------------------------------
@@ -414,10 +439,11 @@ def sweep_cluster_counts(
     if not valid:
         raise ValueError("no valid cluster counts")
     ratio = explained_variance_ratio(projected, basis)
-    rows = []
-    for k, (centres, inertia) in sorted(kmeans(projected, valid, restarts=restarts, seed=seed, key=key).items()):
-        score = silhouette(assign(projected, centres), key=key, sample_size=sample_size, seed=seed)
-        rows.append((k, inertia, score.first()["silhouette"], basis.shape[1], ratio))
+    models = kmeans(projected, valid, restarts=restarts, seed=seed, key=key)
+    points = matrix_of(_sampled(projected.select(key, "lsa"), key, sample_size, seed), "lsa")
+    labelings = {k: _nearest(points, centres) for k, (centres, _) in models.items()}
+    scores = {r["k"]: r["silhouette"] for r in _silhouette_rows(projected.sparkSession, points, labelings).collect()}
+    rows = [(k, models[k][1], scores[k], basis.shape[1], ratio) for k in sorted(models)]
     return projected.sparkSession.createDataFrame(
         rows,
         "n_clusters int, inertia double, silhouette_score double, svd_components int, "

@@ -79,9 +79,20 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def small_table(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a reduced table once, then broadcast it if it is really small."""
-    return checked_broadcast(materialise(df), limit)
+LOCAL_ROWS = 10_000
+
+
+def small_table(df: DataFrame, limit: int = LOCAL_ROWS) -> DataFrame:
+    """A reduced table (per topic, label or model) computed once.
+
+    Up to ``limit`` rows it becomes a local relation, so whatever is built on it
+    needs no further scan or shuffle and is safe to broadcast.  A larger one is
+    checkpointed instead and left to the planner.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return materialise(df)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1))
 
 
 def located_by(df: DataFrame, key: str) -> DataFrame:
