@@ -9,6 +9,7 @@ from reviewloom.operators import cleaning as C
 from reviewloom.operators import features
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
+from reviewloom.plans.shapes import spread_small
 
 # Column names of a raw review file over the derived review table.
 RAW_FILE = {
@@ -26,8 +27,8 @@ RAW_FILE = {
 }
 
 
-def raw_file(spark, sf_dir):
-    raw = fx.reviews_raw(spark, sf_dir)
+def raw_file(spark, sf_dir, spread=False):
+    raw = fx.reviews_raw(spark, sf_dir, spread)
     return raw.select(*[F.col(source).alias(name) for name, source in RAW_FILE.items()])
 
 
@@ -73,7 +74,7 @@ def drop_missing(spark, sf_dir):
 
 @query("c04_normalize_text")
 def normalize_text(spark, sf_dir):
-    pages = fx.table(spark, sf_dir, "pages")
+    pages = spread_small(fx.table(spark, sf_dir, "pages"), "page_id")
     return pages.select("page_id", X.normalise_text(F.col("html")).alias("text"))
 
 
@@ -91,7 +92,7 @@ def strip_markup(spark, sf_dir):
     sql_over("reviews_raw", body=f"select review_id, {T.normalise('review_text')} as review_text from reviews_raw"),
 )
 def clean_text(spark, sf_dir):
-    return C.clean_review_text(fx.reviews_raw(spark, sf_dir)).select("review_id", "review_text")
+    return C.clean_review_text(fx.reviews_raw(spark, sf_dir, spread=True)).select("review_id", "review_text")
 
 
 @query(
@@ -224,7 +225,7 @@ CLEAN_SQL = f"""select review_id, product_name, brand, primary_categories, revie
 
 @query("c13_clean_dataset", sql_over("reviews_raw", body=CLEAN_SQL))
 def clean_dataset(spark, sf_dir):
-    cleaned = C.clean_dataset(raw_file(spark, sf_dir))
+    cleaned = C.clean_dataset(raw_file(spark, sf_dir, spread=True))
     return cleaned.withColumn("rating", F.col("rating").cast("int")).withColumn(
         "review_date", date_text("review_date")
     )
@@ -277,6 +278,6 @@ def unexpected_labels(spark, sf_dir):
     ),
 )
 def quality_summary(spark, sf_dir):
-    raw = raw_file(spark, sf_dir)
+    raw = raw_file(spark, sf_dir, spread=True)
     cleaned = C.clean_dataset(raw).persist()
     return C.quality_summary(raw, cleaned, features.model_text_features(cleaned))

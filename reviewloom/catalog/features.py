@@ -20,7 +20,7 @@ COMBINED = T.normalise("concat_ws(' ', review_title, review_text)")
     ),
 )
 def combine(spark, sf_dir):
-    return P.combine_review_text(fx.reviews_labelled(spark, sf_dir)).select(
+    return P.combine_review_text(fx.reviews_labelled(spark, sf_dir, spread=True)).select(
         "review_id", "normalized_combined_text"
     )
 
@@ -57,7 +57,7 @@ def normalized_dedup(spark, sf_dir):
     ),
 )
 def classical_clean(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir)
+    reviews = fx.reviews_labelled(spark, sf_dir, spread=True)
     return reviews.select("review_id", X.classical_clean(F.col("review_text")).alias("cleaned"))
 
 
@@ -72,7 +72,7 @@ def classical_clean(spark, sf_dir):
 )
 def tokens(spark, sf_dir):
     words = X.tokens(X.classical_clean(F.col("review_text")))
-    exploded = fx.reviews_labelled(spark, sf_dir).select(F.explode(words).alias("token"))
+    exploded = fx.reviews_labelled(spark, sf_dir, spread=True).select(F.explode(words).alias("token"))
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
@@ -87,7 +87,7 @@ def tokens(spark, sf_dir):
 def stopwords(spark, sf_dir):
     words = X.tokens(X.classical_clean(F.col("review_text")))
     kept = X.drop_words(words, X.sentiment_stop_words(), min_length=2)
-    return fx.reviews_labelled(spark, sf_dir).select("review_id", F.array_join(kept, " ").alias("kept"))
+    return fx.reviews_labelled(spark, sf_dir, spread=True).select("review_id", F.array_join(kept, " ").alias("kept"))
 
 
 @query(
@@ -98,7 +98,7 @@ def stopwords(spark, sf_dir):
     ),
 )
 def lemmas(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir)
+    reviews = fx.reviews_labelled(spark, sf_dir, spread=True)
     return reviews.select("review_id", X.classical_text(F.col("review_text")).alias("classical_text"))
 
 
@@ -112,7 +112,7 @@ FEATURES_SQL = f"""select review_id, rating, normalized_combined_text,
 
 @query("t07_text_features", sql_over("reviews_labelled", body=FEATURES_SQL))
 def text_features(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir).select("review_id", "review_title", "review_text", "rating")
+    reviews = fx.reviews_labelled(spark, sf_dir, spread=True).select("review_id", "review_title", "review_text", "rating")
     return P.model_text_features(reviews).select(
         "review_id", "rating", "normalized_combined_text", "transformer_text", "classical_text"
     )

@@ -69,7 +69,7 @@ def over_lists(n, body):
 
 
 def lists(spark, sf_dir):
-    reviews = fx.clustered(spark, sf_dir)
+    reviews = fx.clustered(spark, sf_dir, spread=True)
     words = reviews.select(
         "cluster_id", F.explode(X.tokens(X.classical_clean(F.col("review_text")))).alias("token")
     )

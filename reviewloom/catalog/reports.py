@@ -97,9 +97,9 @@ def report_inputs(spark, sf_dir):
     counted = small_table(I.topic_base(reviews))
     return (
         small_table(I.topic_summaries(reviews, base=counted)),
-        I.topic_facts(counted),
-        R.ranked(R.metrics_from_base(counted)),
-        I.overview_summary(counted),
+        small_table(I.topic_facts(counted)),
+        small_table(R.ranked(R.metrics_from_base(counted))),
+        small_table(I.overview_summary(counted)),
     )
 
 

@@ -39,11 +39,20 @@ def _fold_unicode(values: pd.Series) -> pd.Series:
     return values.map(_compose, na_action="ignore")
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip_markup(text: Column) -> Column:
     """Script and style blocks, comments, tags and URLs become spaces.
 
     Each group of patterns only runs on texts that hold its first characters.
     """
+    return bind(bind(text, _without_tags), _without_urls)
+
+
+def _without_tags(text: Column) -> Column:
     bare = text
     for pattern in (
         r"(?is)<script\b[^>]*>.*?</script>",
@@ -52,10 +61,13 @@ def strip_markup(text: Column) -> Column:
         r"<[^>]+>",
     ):
         bare = F.regexp_replace(bare, pattern, " ")
-    bare = F.when(F.contains(text, F.lit("<")), bare).otherwise(text)
-    has_url = F.contains(bare, F.lit("://")) | F.rlike(bare, F.lit(r"(?i)www\."))
+    return F.when(F.contains(text, F.lit("<")), bare).otherwise(text)
+
+
+def _without_urls(text: Column) -> Column:
+    has_url = F.contains(text, F.lit("://")) | F.rlike(text, F.lit(r"[wW]{3}\."))
     url = r"(?i)https?://[^\s\x1c-\x1f\x85\p{Z}]+|www\.[^\s\x1c-\x1f\x85\p{Z}]+"
-    return F.when(has_url, F.regexp_replace(bare, url, " ")).otherwise(bare)
+    return F.when(has_url, F.regexp_replace(text, url, " ")).otherwise(text)
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -73,9 +85,9 @@ def normalise_text(text: Column) -> Column:
     )
     bare = strip_markup(decoded)
     # ASCII text is already NFKC; only its control characters go.
-    ascii_only = ~F.rlike(bare, F.lit(r"[^\x00-\x7F]"))
+    foreign = bind(bare, lambda b: F.when(F.rlike(b, F.lit(r"[^\x00-\x7F]")), b))
     folded = F.coalesce(
-        _fold_unicode(F.when(~ascii_only, bare)),
+        _fold_unicode(foreign),
         F.regexp_replace(bare, r"[\x00-\x08\x0e-\x1b\x7f]", ""),
     )
     return collapse_spaces(folded)
@@ -131,11 +143,6 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def with_bigrams(words: Column) -> Column:
     """The words followed by all pairs of neighbours joined with a space."""
     return bind(words, _and_pairs)

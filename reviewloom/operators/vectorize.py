@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from reviewloom import settings as S
 from reviewloom.functions import text as X
 from reviewloom.functions.blocks import flatten_sparse
-from reviewloom.plans.shapes import checked_broadcast, located_by
+from reviewloom.plans.shapes import BROADCAST_ROWS, located_by, small_table
 
 
 def term_list(text, stop_words: Iterable[str] = (), bigrams: bool = True):
@@ -69,7 +69,9 @@ def vocabulary(
 def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, key: str = "review_id") -> DataFrame:
     """(key, term, weight): sublinear tf, smooth idf, unit length per review."""
     idf = F.ln((1.0 + n_docs) / (F.col("doc_count") + 1)) + 1
-    weighted = counts.join(checked_broadcast(vocab.select("term", "doc_count")), "term").select(
+    # Computed once here; broadcast unless its cap was set above BROADCAST_ROWS.
+    known = small_table(vocab.select("term", "doc_count"), BROADCAST_ROWS)
+    weighted = counts.join(known, "term").select(
         key, "term", ((F.ln("tf") + 1) * idf).alias("raw")
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))

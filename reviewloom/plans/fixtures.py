@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.plans.shapes import spread_small
+
 VIEW_SQL = {
     "reviews_raw": """
 select d.doc_id as review_id, d.source as product_name,
@@ -92,18 +94,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_raw(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread`` is for queries with heavy text work on every row."""
+    documents = table(spark, sf_dir, "documents")
     return spark.sql(
         VIEW_SQL["reviews_raw"]
         .replace("from documents d", "from {documents} d")
         .replace("join labels l", "join {labels} l"),
-        documents=table(spark, sf_dir, "documents"),
+        documents=spread_small(documents, "doc_id") if spread else documents,
         labels=table(spark, sf_dir, "labels"),
     )
 
 
-def reviews_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = reviews_raw(spark, sf_dir).withColumn("r", F.expr("try_cast(rating_raw as double)"))
+def reviews_labelled(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    raw = reviews_raw(spark, sf_dir, spread).withColumn("r", F.expr("try_cast(rating_raw as double)"))
     return raw.where("length(review_text) > 0 and r between 1 and 5").select(
         "review_id",
         "product_name",
@@ -144,7 +148,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clustered(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     label, rid = F.col("sentiment_label"), F.col("review_id")
     cluster = (
         F.when((label == "negative") & (rid % 2 == 0), 0)
@@ -154,7 +158,7 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("int")
     )
     names = F.create_map(*[F.lit(x) for pair in TOPIC_NAMES for x in pair])
-    return reviews_labelled(spark, sf_dir).select(
+    return reviews_labelled(spark, sf_dir, spread).select(
         "review_id",
         "review_text",
         "rating",

@@ -105,6 +105,15 @@ def located_by(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(parts, key)
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give a table scan that has fewer splits than cores one part per core.
+
+    Text work is heavy for its bytes; scans with enough splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def literal_rows(spark, rows, schema: str) -> DataFrame:
     """A fixed table from program constants, planned as a local relation."""
     return spark.createDataFrame(list(rows), schema)

@@ -50,9 +50,9 @@ def export_all(reviews: DataFrame, root: str, generated_at: str, brand: str = S.
     """
     base = small_table(insights.topic_base(reviews))
     summaries = small_table(insights.topic_summaries(reviews, base=base))
-    facts = insights.topic_facts(base)
+    facts = small_table(insights.topic_facts(base))
     ranked = small_table(recommendations.ranked(recommendations.metrics_from_base(base)))
-    overview = insights.overview_summary(base, brand)
+    overview = small_table(insights.overview_summary(base, brand))
     payload = recommendations.payload(ranked)
     parts = (
         overview.select(F.struct("*").alias("overview")),
