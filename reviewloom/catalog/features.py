@@ -182,7 +182,7 @@ def stop_word_set(spark, sf_dir):
     "t11_model_input",
     sql_over(
         "reviews_raw",
-        body="""select review_id, trim(review_title) as classical_text, label as sentiment_label from (
+        body=f"""select review_id, {T.strip('review_title')} as classical_text, label as sentiment_label from (
         select review_id, review_title, case when rating_raw in ('1','2','2.5') then 'negative'
         when rating_raw = '3' then 'neutral' when rating_raw in ('4','5') then 'positive'
         when rating_raw = 'x' then 'unreadable' end as label from reviews_raw) q

@@ -56,11 +56,11 @@ FACTS = (
 )
 REPRESENTATIVES = (
     "picked",
-    """select cluster_id, predicted_sentiment, position, review_id, txt as review_text from (
+    f"""select cluster_id, predicted_sentiment, position, review_id, txt as review_text from (
   select *, row_number() over (partition by cluster_id, predicted_sentiment
     order by length(txt) desc, review_id) as position
-  from (select cluster_id, predicted_sentiment, trim(review_text) as txt, min(review_id) as review_id
-    from clustered where length(trim(review_text)) > 0 group by 1, 2, 3) a) b where position <= 3""",
+  from (select cluster_id, predicted_sentiment, {T.strip('review_text')} as txt, min(review_id) as review_id
+    from clustered where length({T.strip('review_text')}) > 0 group by 1, 2, 3) a) b where position <= 3""",
 )
 
 
@@ -88,7 +88,7 @@ DIRTY_SQL = """select review_id, '  ' || review_text || ' ' as review_text,
 ALIAS_SQL = """case lower(trim({0})) when 'label_0' then 'negative' when 'label_1' then 'neutral'
   when 'label_2' then 'positive' when '0' then 'negative' when '1' then 'neutral'
   when '2' then 'positive' else lower(trim({0})) end"""
-NORMALISED_SQL = f"""select review_id, trim(review_text) as review_text, cast(cluster_id as int) as cluster_id,
+NORMALISED_SQL = f"""select review_id, {T.strip('review_text')} as review_text, cast(cluster_id as int) as cluster_id,
   coalesce(nullif(trim(topic_name), ''), 'General / uncategorized') as topic_name,
   {ALIAS_SQL.format('sentiment_label')} as predicted_sentiment from dirty"""
 

@@ -20,6 +20,10 @@ def collapse(x: str) -> str:
     return f"trim({replace_all(x, r'[\s\x1c-\x1f]+', ' ')})"
 
 
+def strip(x: str) -> str:
+    return replace_all(x, r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$", "")
+
+
 def strip_markup(x: str) -> str:
     for pattern in MARKUP:
         x = replace_all(x, pattern, " ")

@@ -18,6 +18,8 @@ from pyspark.sql.types import StringType
 
 from reviewloom import settings as S
 
+# White space as Python's str.split and str.strip see it.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 # Letters, digits and underscore, two or more: a word token.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -160,6 +162,16 @@ def _and_pairs(words: Column) -> Column:
     return F.concat(words, pairs)
 
 
+def split_words(text: Column) -> Column:
+    """Tokens between runs of white space."""
+    return F.filter(F.split(text, SPACE), lambda t: t != "")
+
+
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated tokens."""
-    return F.size(F.filter(F.split(text, r"\s+"), lambda t: t != ""))
+    return F.size(split_words(text))
+
+
+def strip(text: Column) -> Column:
+    """Text without white space at either end."""
+    return F.regexp_replace(text, f"^{SPACE}|{SPACE}$", "")

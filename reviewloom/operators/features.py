@@ -110,7 +110,7 @@ def drop_low_content(
     """Reviews with at least ``min_tokens`` tokens that are not stop words."""
     require_columns(df, [column], "feature table")
     stops = X.topic_stop_words() if stop_words is None else stop_words
-    words = X.drop_words(F.split(F.lower(column), r"\s+"), stops, min_length=1)
+    words = X.drop_words(X.split_words(F.lower(column)), stops)
     return df.where(F.size(words) >= min_tokens)
 
 
@@ -129,6 +129,6 @@ def model_input(
     require_columns(df, [text, label], "model table")
     return (
         df.where(F.col(label).isin(*labels))
-        .withColumn(text, F.trim(text))
+        .withColumn(text, X.strip(F.col(text)))
         .where(F.length(text) > 0)
     )

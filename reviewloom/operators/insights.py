@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.functions.numbers import fixed, percent, ratio, thousands
+from reviewloom.functions.text import strip
 from reviewloom.plans.shapes import (
     col,
     first_present,
@@ -32,7 +33,7 @@ def _all_rows() -> Window:
 
 def sentiment_alias(value: Column) -> Column:
     """Trimmed lowercase label; model ids map to their label."""
-    label = F.lower(F.trim(value.cast("string")))
+    label = F.lower(strip(value.cast("string")))
     pairs = F.create_map(*[F.lit(x) for pair in S.SENTIMENT_ALIASES.items() for x in pair])
     return F.coalesce(pairs[label], label)
 
@@ -56,10 +57,10 @@ def normalise_reviews(
     found = resolve_sentiment_column(df.columns, sentiment)
     if found != sentiment:
         df = df.withColumnRenamed(found, sentiment)
-    blank_to_null = F.nullif(F.trim(topic), F.lit(""))
+    blank_to_null = F.nullif(strip(F.col(topic)), F.lit(""))
     return df.withColumns(
         {
-            text: F.trim(F.coalesce(text, F.lit(""))),
+            text: strip(F.coalesce(text, F.lit(""))),
             cluster: F.col(cluster).cast("double").cast("int"),
             topic: F.coalesce(blank_to_null, F.lit(S.UNCATEGORISED)),
             sentiment: sentiment_alias(F.col(sentiment)),
@@ -171,7 +172,7 @@ def representative_reviews(
     if limit < 1:
         raise ValueError("limit must be at least 1")
     groups = [cluster, sentiment] if by_sentiment else [cluster]
-    trimmed = F.trim(col(text))
+    trimmed = strip(col(text))
     distinct = (
         df.where(F.length(trimmed) > 0)
         .groupBy(*groups, F.unhex(F.sha2(trimmed, 256)).alias("digest"), F.length(trimmed).alias("size"))

@@ -56,7 +56,7 @@ def text_statistics(df: DataFrame, column: str) -> DataFrame:
 
 def vocabulary_size(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
     """Distinct lowercase whitespace tokens."""
-    words = df.select(F.explode(F.split(F.lower(col(column)), r"\s+")).alias("word")).where("word <> ''")
+    words = df.select(F.explode(X.split_words(F.lower(col(column)))).alias("word"))
     count = F.approx_count_distinct("word") if approximate else F.count_distinct("word")
     return words.agg(count.alias("vocabulary_size"))
 

@@ -21,6 +21,7 @@ from reviewloom.functions.blocks import (
     sparse_chunks,
     stack,
 )
+from reviewloom.functions.text import strip
 from reviewloom.functions.vectors import sum_vectors
 from reviewloom.operators.vectorize import TermWeights, fit_terms, vectorise
 from reviewloom.plans.shapes import checked_broadcast, located_by, require_columns
@@ -415,7 +416,7 @@ def represent(
     """TF-IDF vectors and their normalised projection, cached, with the fitted parts."""
     require_columns(df, [key, text], "clustering input")
     # Partitioned once; the fit, the vectors and all later passes reuse it.
-    texts = located_by(df.select(key, text).where(F.length(F.trim(text)) > 0), key)
+    texts = located_by(df.select(key, text).where(F.length(strip(F.col(text))) > 0), key)
     texts = texts.persist(StorageLevel.MEMORY_AND_DISK)
     terms = fit_terms(texts, text, stop_words, key=key, located=True, **bounds)
     vectors = vectorise(texts, terms, text).persist(StorageLevel.MEMORY_AND_DISK)
