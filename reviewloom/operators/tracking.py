@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.plans.shapes import checked_broadcast, col
+from reviewloom.sources.files import read_versioned, write_versioned
 
 TRACKING_SCHEMA = ", ".join(f"{n} {t}" for n, t in S.TRACKING_COLUMNS)
 ABLATION_SCHEMA = ", ".join(f"{n} {t}" for n, t in S.ABLATION_COLUMNS)
@@ -58,6 +59,21 @@ def experiment_row(
     return spark.createDataFrame([row], TRACKING_SCHEMA)
 
 
+def log_experiment(spark: SparkSession, path: str, row: DataFrame) -> DataFrame:
+    """Add or replace the run of one model in the tracking table below ``path``."""
+    existing, version = read_versioned(spark, path, TRACKING_SCHEMA)
+    write_versioned(upsert(existing, row, "model_id"), path, version + 1)
+    return read_versioned(spark, path, TRACKING_SCHEMA)[0]
+
+
+def record_ablation(spark: SparkSession, path: str, row: dict[str, Any]) -> DataFrame:
+    """Add or replace one ablation by experiment_id; fields not given are NULL."""
+    existing, version = read_versioned(spark, path, ABLATION_SCHEMA)
+    new = spark.createDataFrame([tuple(row.get(n) for n, _ in S.ABLATION_COLUMNS)], ABLATION_SCHEMA)
+    write_versioned(upsert(existing, new, "experiment_id"), path, version + 1)
+    return read_versioned(spark, path, ABLATION_SCHEMA)[0]
+
+
 def latest_costs(benchmark: DataFrame, tracking: DataFrame) -> DataFrame:
     """Benchmark rows with the times of the newest tracked run of the same model."""
     newest = keep_last(tracking, "model_id", "timestamp_utc").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -96,7 +97,7 @@ def artifact_status(spark: SparkSession, root: str, expected: Mapping[str, str])
     """Per expected artifact (file or folder below root): exists, bytes, newest change."""
     names = literal_rows(spark, expected.items(), "name string, relative string")
     head = root.rstrip("/").split("/")[-1]
-    inside = F.regexp_extract("path", rf"/{head}/([^/]+)", 1)
+    inside = F.regexp_extract("path", rf"/{re.escape(head)}/([^/]+)", 1)
     found = (
         _files(spark, root)
         .groupBy(inside.alias("relative"))

@@ -15,6 +15,7 @@ from reviewloom.operators import recommendations as R
 from reviewloom.operators import sentiment as M
 from reviewloom.operators import topics as T
 from reviewloom.operators import tracking as K
+from reviewloom.session import scratch_path
 
 
 def values(df, *names):
@@ -322,3 +323,17 @@ def test_upsert_and_keep_last(spark):
     first = row.first()
     assert first["hyperparameters"] == '{"a": [1], "b": 2}' and first["validation_accuracy"] == 0.9
     assert len(row.columns) == 25
+
+
+def test_tracking_tables_replace_by_key(spark):
+    path = scratch_path(spark, "runs")
+    for f1 in (0.4, 0.6):
+        row = K.experiment_row(spark, {"macro_f1": f1}, model_id="m1", model_name="One")
+        table = K.log_experiment(spark, path, row)
+    table = K.log_experiment(spark, path, K.experiment_row(spark, {"macro_f1": 0.9}, model_id="m2"))
+    assert sorted(values(table, "model_id", "macro_f1")) == [("m1", 0.6), ("m2", 0.9)]
+    assert table.columns == [n for n, _ in S.TRACKING_COLUMNS]
+    path = scratch_path(spark, "ablations")
+    K.record_ablation(spark, path, {"experiment_id": "a", "variant": "old", "macro_f1": 0.1})
+    table = K.record_ablation(spark, path, {"experiment_id": "a", "variant": "new"})
+    assert values(table, "experiment_id", "variant", "macro_f1") == [("a", "new", None)]
