@@ -89,8 +89,8 @@ def small_table(df: DataFrame, limit: int = LOCAL_ROWS) -> DataFrame:
     needs no further scan or shuffle and is safe to broadcast.  A larger one is
     checkpointed instead and left to the planner.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return materialise(df)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1))
 
