@@ -16,8 +16,10 @@ columns are not read.
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,7 +36,6 @@ OPEN_WINDOWS = 64
 END_ID = 1
 SLIVER = 16  # gaps below this many tokens are padded instead of filled by a cut
 FAN_IN = 512
-CACHE = 300_000  # chunks a task remembers the ids of
 
 PIECE = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -54,43 +55,24 @@ class Encoder:
     INSIDE_RUN = r"[\s\pZ\x0b\x1c-\x1f\x{85}] (?:[\s\pZ\x0b\x1c-\x1f\x{85}]|\z)"
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
-        self.used = 0
-
-    def _room(self, ids: int) -> None:
-        while self.used + ids > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.known) >= len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-
-    def _slots(self, chunks: list[str]) -> np.ndarray:
-        if len(self.known) > CACHE:
-            self.forget()
-        new = [c for c in chunks if c not in self.known]
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            for chunk, coded in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                ids = coded.ids
-                self._room(len(ids))
-                slot = len(self.known)
-                self.known[chunk] = slot
-                self.begin[slot], self.size[slot] = self.used, len(ids)
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-        return np.fromiter((self.known[c] for c in chunks), np.int64, len(chunks))
+
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all chunks in one array, with where each begins and how many it has."""
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(chunks), 20_000):
+            coded = self.tokenizer.encode_batch_fast(
+                chunks[a : a + 20_000], add_special_tokens=False
+            )
+            lists = [c.ids for c in coded]
+            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            flat.append(np.fromiter(chain.from_iterable(lists), np.uint32, sizes[-1].sum()))
+        size = np.concatenate(sizes)
+        return np.concatenate(flat), np.cumsum(size) - size, size
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """One id array per text, in order."""
@@ -108,14 +90,14 @@ class Encoder:
         heads[first[counts > 0]] = True
         # Distinct chunks: with the space, and the few that begin a text without it.
         bare = np.unique(index[heads])
-        slots = self._slots([" " + c for c in plain] + [plain[i] for i in bare])
-        spaced, alone = slots[: len(plain)], np.zeros(len(plain), np.int64)
-        alone[bare] = slots[len(plain) :]
-        slot = np.where(heads, alone[index], spaced[index])
-        size = self.size[slot]
+        flat, begin, sizes = self._ids([" " + c for c in plain] + [plain[i] for i in bare])
+        alone = np.zeros(len(plain), np.int64)
+        alone[bare] = len(plain) + np.arange(len(bare))
+        slot = np.where(heads, alone[index], index)
+        size = sizes[slot]
         stop = np.cumsum(size)
-        where = np.repeat(self.begin[slot] - (stop - size), size) + np.arange(size.sum())
-        ids = self.flat[where]
+        where = np.repeat(begin[slot] - (stop - size), size) + np.arange(size.sum())
+        ids = flat[where]
         stop = np.concatenate([[0], stop])
         for i in range(len(counts)):
             if odd[i]:
