@@ -5,12 +5,16 @@ from __future__ import annotations
 from reviewloom.llm.packing import op5_bounded_packing
 from reviewloom.llm.sharding import op1_sampled_splitters
 from reviewloom.llm.simhash import op7_simhash_bk_trees
+from reviewloom.llm.substrings import op6_seed_extend
+from reviewloom.llm.toxicity import op2_noisy_or_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sampled_splitters,
+        op2_noisy_or_toxicity,
         op5_bounded_packing,
+        op6_seed_extend,
         op7_simhash_bk_trees,
     )
 }
