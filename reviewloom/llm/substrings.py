@@ -26,7 +26,6 @@ rows are copies of each other.  Empty table: no rows.  Other columns are not rea
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,106 +91,116 @@ class Windows:
             self.second = _runs(words.hashed(2), length, FACTORS[0]) >> np.uint64(33)
 
 
-def _anchors(keyed: DataFrame, length: int) -> DataFrame:
-    """(anchor, k1, k2, pos): the winnowed anchors of all documents."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                w = Windows(part.column("text"), length)
-                pos, index = np.unique(w.anchor, return_index=True)
-                owner = w.owner[index]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(w.anchor_hash[pos].view(np.int64)),
-                        part.column("k1").take(pa.array(owner)),
-                        part.column("k2").take(pa.array(owner)),
-                        pa.array((pos - w.offsets[owner]).astype(np.int32)),
-                    ],
-                    ["anchor", "k1", "k2", "pos"],
-                )
-
-    return keyed.mapInArrow(work, "anchor bigint, k1 bigint, k2 int, pos int")
-
-
-def _seeds(anchors: DataFrame) -> DataFrame:
-    """Anchors that occur at two places or more."""
-    repeated = anchors.groupBy("anchor").count().where(F.col("count") > 1).select("anchor")
-    return anchors.join(repeated, "anchor").select("k1", "k2", "pos")
-
-
 SIGHTING = "h1 bigint, h2 int, k1 bigint, k2 int, start int, copies int"
 
 
-def _sightings(seeded: DataFrame, length: int) -> DataFrame:
-    """Windows around seeds, settled within each task where possible.
+class Settled:
+    """Sightings (h1, h2, k1, k2, start, copies) of a task, settled where they meet.
 
-    Input (k1, k2, text, seeds, copies).  A row with copies 0 is a window known
-    to repeat; any other stands for that many places, its own the first.
+    A row with copies 0 is a place whose sequence is known to repeat; any other
+    asks for partners on behalf of that many places, its own the first.  A task
+    sends one asking row per sequence and CHUNK, however often it saw it.
     """
 
-    def settle(h1, h2, k1, k2, start, copies) -> pa.RecordBatch:
-        order = np.lexsort((h2, h1))
-        h1, h2, k1, k2, start, copies = (x[order] for x in (h1, h2, k1, k2, start, copies))
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(columns)
+        self.size += len(columns[0])
+        if self.size >= CHUNK:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        columns = [np.concatenate(x) for x in zip(*self.held, strict=True)]
+        self.held, self.size = [], 0
+        order = np.lexsort((columns[1], columns[0]))
+        h1, h2, k1, k2, start, copies = (x[order] for x in columns)
         new = np.ones(len(h1), bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         group = np.cumsum(new) - 1
         weight = np.bincount(group, copies).astype(np.int64)
         known = weight[group] > 1
-        # One row of each sequence goes on for the others; known ones stay as found.
         out = [
             np.concatenate([x[new], x[known]])
-            for x in (h1.view(np.int64), h2.astype(np.int32), k1, k2, start)
+            for x in (h1.view(np.int64), h2.astype(np.int32), k1, k2, start.astype(np.int32))
         ]
-        goes = np.minimum(weight, 2)
-        out.append(np.concatenate([goes, np.zeros(known.sum(), np.int64)]).astype(np.int32))
+        asks = np.minimum(weight, 2)
+        out.append(np.concatenate([asks, np.zeros(known.sum(), np.int64)]).astype(np.int32))
         names = [c.split()[0] for c in SIGHTING.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+
+
+def _numbers(part: pa.RecordBatch, name: str) -> np.ndarray:
+    return part.column(name).to_numpy(zero_copy_only=False)
+
+
+def _anchors(keyed: DataFrame, length: int) -> DataFrame:
+    """Sightings of the winnowed anchors of all documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        settled = Settled()
+        for batch in batches:
+            for part in slices(batch):
+                w = Windows(part.column("text"), length)
+                pos, index = np.unique(w.anchor, return_index=True)
+                owner = w.owner[index]
+                yield from settled.add(
+                    w.anchor_hash[pos],
+                    np.zeros(len(pos), np.int64),
+                    _numbers(part, "k1")[owner],
+                    _numbers(part, "k2")[owner],
+                    pos - w.offsets[owner],
+                    np.ones(len(pos), np.int64),
+                )
+        yield from settled.flush()
+
+    return keyed.mapInArrow(work, SIGHTING)
+
+
+def _sightings(seeded: DataFrame, length: int) -> DataFrame:
+    """Sightings of the windows around seeds; input (k1, k2, text, seeds, copies)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settled = Settled()
         for batch in batches:
             for part in slices(batch):
                 w = Windows(part.column("text"), length, second=True)
                 seeds = part.column("seeds")
-                lengths = pc.fill_null(pc.list_value_length(seeds), 0).to_numpy(
-                    zero_copy_only=False
-                )
+                many = pc.fill_null(pc.list_value_length(seeds), 0).to_numpy(zero_copy_only=False)
                 marked = np.zeros(len(w.anchor_hash) + 1, bool)
                 at = pc.list_flatten(seeds).to_numpy(zero_copy_only=False).astype(np.int64)
-                marked[at + np.repeat(w.offsets[:-1], lengths)] = True
+                marked[at + np.repeat(w.offsets[:-1], many)] = True
                 chosen = marked[w.anchor]
                 start, owner = w.start[chosen], w.owner[chosen]
-                k1, k2, copies = (
-                    part.column(n).to_numpy(zero_copy_only=False)[owner]
-                    for n in ("k1", "k2", "copies")
+                yield from settled.add(
+                    w.first[start],
+                    w.second[start],
+                    _numbers(part, "k1")[owner],
+                    _numbers(part, "k2")[owner],
+                    start - w.offsets[owner],
+                    _numbers(part, "copies")[owner],
                 )
-                rel = (start - w.offsets[owner]).astype(np.int32)
-                held.append((w.first[start], w.second[start], k1, k2, rel, copies))
-                size += len(start)
-                if size >= CHUNK:
-                    yield settle(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    held, size = [], 0
-        if size:
-            yield settle(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        yield from settled.flush()
 
     return seeded.select("k1", "k2", "text", "seeds", "copies").mapInArrow(work, SIGHTING)
 
 
-def _repeats(sightings: DataFrame) -> DataFrame:
-    """(k1, k2, starts): windows whose sequence is seen at two places or more."""
+def _repeats(sightings: DataFrame, name: str) -> DataFrame:
+    """(k1, k2, name): the places of each document whose sequence is seen elsewhere too."""
     same = Window.partitionBy("h1", "h2")
     judged = sightings.withColumn(
-        # A known window needs no partner; it is spread by its own place.
+        # A known place needs no partner; it is spread by itself.
         "h1",
         F.when(F.col("copies") == 0, F.xxhash64("k1", "k2", "start")).otherwise(F.col("h1")),
     ).withColumn("n", F.sum("copies").over(same))
-    # A row that stands for two places of which only one is its own is repeated as well.
     return (
         judged.where((F.col("copies") == 0) | (F.col("n") > 1))
         .groupBy("k1", "k2")
-        .agg(F.collect_set("start").alias("starts"))
+        .agg(F.collect_set("start").alias(name))
     )
 
 
@@ -265,25 +274,19 @@ def remove_repeats(
         )
     )
     members = staged(members, "members")
-    seeds = staged(_seeds(_anchors(keyed.select("k1", "k2", "text"), length)), "seeds")
-    per_doc = seeds.groupBy("k1", "k2").agg(F.collect_set("pos").alias("seeds"))
-    known = per_doc.join(members, ["k1", "k2"], "left").where(
+    anchors = _anchors(keyed.select("k1", "k2", "text"), length)
+    seeds = staged(_repeats(anchors, "seeds"), "seeds")
+    known = seeds.join(members, ["k1", "k2"], "left").where(
         F.coalesce("stands", F.lit(True))
     )
     known = known.select("k1", "k2", "seeds", F.coalesce("copies", F.lit(1)).alias("copies"))
-    texts = docs.select(
-        *_keys(id_col, text_col),
-        F.col(id_col).cast("bigint").alias("id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts.repartition(parts, "k1", "k2")
+    texts = keyed.repartition(parts, "k1", "k2")
     seeded = texts.join(known, ["k1", "k2"])
-    repeats = staged(_repeats(_sightings(seeded, length)), "repeats")
+    repeats = staged(_repeats(_sightings(seeded, length), "starts"), "repeats")
     final = texts.join(repeats, ["k1", "k2"], "left").join(members, ["k1", "k2"], "left")
-    return _kept(final.withColumn("copies", F.coalesce("copies", F.lit(1))), length).withColumnRenamed(
-        "id", id_col
-    )
+    kept = _kept(final.withColumn("copies", F.coalesce("copies", F.lit(1))), length)
+    return kept.withColumnRenamed("id", id_col)
 
 
 def digest(kept: DataFrame) -> DataFrame:
@@ -293,6 +296,3 @@ def digest(kept: DataFrame) -> DataFrame:
 def op6_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(read_table(spark, sf_dir, "documents")))
 
-
-def _digest_of(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
