@@ -7,6 +7,7 @@ from reviewloom.llm.sharding import op1_sampled_splitters
 from reviewloom.llm.simhash import op7_simhash_bk_trees
 from reviewloom.llm.substrings import op6_seed_extend
 from reviewloom.llm.toxicity import op2_noisy_or_toxicity
+from reviewloom.llm.urlrules import op9_url_association_rules
 
 QUERIES = {
     f.__name__: f
@@ -16,6 +17,7 @@ QUERIES = {
         op5_bounded_packing,
         op6_seed_extend,
         op7_simhash_bk_trees,
+        op9_url_association_rules,
     )
 }
 ORACLE: dict[str, str] = {}
