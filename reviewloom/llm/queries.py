@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from reviewloom.llm.outliers import op3_robust_outliers
 from reviewloom.llm.packing import op5_bounded_packing
 from reviewloom.llm.sharding import op1_sampled_splitters
 from reviewloom.llm.simhash import op7_simhash_bk_trees
@@ -14,6 +15,7 @@ QUERIES = {
     for f in (
         op1_sampled_splitters,
         op2_noisy_or_toxicity,
+        op3_robust_outliers,
         op5_bounded_packing,
         op6_seed_extend,
         op7_simhash_bk_trees,
