@@ -33,6 +33,7 @@ MOST_REPEATED = 50  # percent of the words
 SUBSET = 0.75
 STEPS = 4
 LEAST_ROWS = 100
+SALTS = 64  # parts of a frequent language and source in joins
 DIMENSIONS = 4
 # Spread that counts as none, by dimension: keeps a constant statistic from
 # rejecting every text that differs a little.
@@ -179,6 +180,13 @@ def _with_distance(rows: DataFrame) -> DataFrame:
     return out.withColumn("d", d).drop(*[f"__z{i}" for i in AXES])
 
 
+def _salted(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """rows joined to a table with one row per key; a frequent key is spread over SALTS."""
+    salt = F.pmod(F.xxhash64(*[f"x{i}" for i in AXES]), F.lit(SALTS)).cast("int")
+    spread = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
+
+
 def fit(rows: DataFrame) -> DataFrame:
     """Estimates by (lang, source) key; input columns lang, source (keys), __s.
 
@@ -248,11 +256,11 @@ def fit(rows: DataFrame) -> DataFrame:
     state = staged(_factored(robust.unionByName(plain)), "state")
     both = [*key, "start"]
     for _ in range(STEPS):
-        far = staged(_with_distance(grouped.join(state, key)).select(*both, *xs, "d"), "distances")
+        far = staged(_with_distance(_salted(grouped, state, key)).select(*both, *xs, "d"), "distances")
         cut = far.groupBy(*both).agg(F.percentile_approx("d", SUBSET, 10_000).alias("cut"))
-        near = far.join(cut, both).where("d <= cut")
+        near = _salted(far, cut, both).where("d <= cut")
         state = staged(_factored(_moments(near, both)), "state")
-    final = _with_distance(grouped.join(state, key))
+    final = _with_distance(_salted(grouped, state, key))
     median = final.groupBy(*both).agg(F.percentile_approx("d", 0.5, 10_000).alias("median"))
     estimates = state.join(median, both).withColumn(
         "scale", F.greatest(F.col("median") / MEDIAN, F.lit(1.0))
@@ -296,8 +304,8 @@ def robust_outliers(
 ) -> DataFrame:
     """Documents with ``__s``, base_failed, distance and kept; columns are all kept.
 
-    The statistics are computed twice, once to fit and once to judge, so that texts
-    are never joined by an id.  The caller's columns come as a struct ``row``.
+    The statistics are staged beside the caller's columns (a struct ``row``), so they
+    are computed once and texts are never joined by an id.
     """
     rows = with_statistics(
         docs.select(
@@ -307,6 +315,7 @@ def robust_outliers(
             F.col(text_col).cast("string").alias("text"),
         )
     ).drop("text")
+    rows = staged(rows, "statistics")
     return judge(rows, fit(rows.select("lang", "source", "__s")))
 
 

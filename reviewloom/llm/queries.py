@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from reviewloom.llm.multiindex import op4_inverted_multi_index
 from reviewloom.llm.outliers import op3_robust_outliers
 from reviewloom.llm.packing import op5_bounded_packing
 from reviewloom.llm.sharding import op1_sampled_splitters
@@ -16,6 +17,7 @@ QUERIES = {
         op1_sampled_splitters,
         op2_noisy_or_toxicity,
         op3_robust_outliers,
+        op4_inverted_multi_index,
         op5_bounded_packing,
         op6_seed_extend,
         op7_simhash_bk_trees,

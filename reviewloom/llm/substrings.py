@@ -204,8 +204,8 @@ def _repeats(sightings: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _kept(keyed: DataFrame, length: int) -> DataFrame:
-    """Words left after removal; input (k1, k2, id, text, starts, copies)."""
+def _kept(keyed: DataFrame, length: int, keep: list[str]) -> DataFrame:
+    """Words left after removal; input (id, text, starts, copies) and the columns in ``keep``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,28 +235,37 @@ def _kept(keyed: DataFrame, length: int) -> DataFrame:
                         pa.array(counts),
                         pa.array(counts - left),
                         pc.binary_join(lists, " "),
+                        *[part.column(c) for c in keep],
                     ],
-                    ["id", "n_words", "n_removed", "kept"],
+                    ["id", "n_words", "n_removed", "kept", *keep],
                 )
 
-    return keyed.select("id", "text", "starts", "copies").mapInArrow(
-        work, "id bigint, n_words bigint, n_removed bigint, kept string"
+    kinds = "".join(f", `{c}` {keyed.schema[c].dataType.simpleString()}" for c in keep)
+    return keyed.select("id", "text", "starts", "copies", *keep).mapInArrow(
+        work, f"id bigint, n_words bigint, n_removed bigint, kept string{kinds}"
     )
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(id, n_words, n_removed, kept): each text without words of repeated windows.
 
-    ``kept`` is the remaining words joined by one space.
+    ``kept`` is the remaining words joined by one space.  Columns named in ``keep``
+    come along under the names given_<column>.
     """
+    given = [f"given_{c}" for c in keep]
     if length < SEED_WORDS:
         raise ValueError(f"length must be at least {SEED_WORDS}")
     keyed = docs.select(
         *_keys(id_col, text_col),
         F.col(id_col).cast("bigint").alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *[F.col(f"`{c}`").alias(g) for c, g in zip(keep, given, strict=True)],
     )
     # Copies of a whole text, by two hashes of it; the first copy stands for all.
     text_hash = [F.xxhash64("text").alias("c1"), F.xxhash64("text", F.lit(7)).alias("c2")]
@@ -282,10 +291,10 @@ def remove_repeats(
     known = known.select("k1", "k2", "seeds", F.coalesce("copies", F.lit(1)).alias("copies"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed.repartition(parts, "k1", "k2")
-    seeded = texts.join(known, ["k1", "k2"])
+    seeded = texts.join(known, ["k1", "k2"])  # the texts are dealt once for both joins
     repeats = staged(_repeats(_sightings(seeded, length), "starts"), "repeats")
     final = texts.join(repeats, ["k1", "k2"], "left").join(members, ["k1", "k2"], "left")
-    kept = _kept(final.withColumn("copies", F.coalesce("copies", F.lit(1))), length)
+    kept = _kept(final.withColumn("copies", F.coalesce("copies", F.lit(1))), length, given)
     return kept.withColumnRenamed("id", id_col)
 
 

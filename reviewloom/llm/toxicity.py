@@ -273,7 +273,10 @@ def score(
     text_col: str = "text",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, score, sentences, offending) and the columns in ``keep``, for every document."""
+    """(id, score, sentences, offending) of every document.
+
+    Columns named in ``keep`` come along under the names kept_<column>.
+    """
     vocabulary, weights = model
     own = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -339,7 +342,7 @@ def score(
         "score",
         "sentences",
         "offending",
-        *[F.col(f"kept_{c}").alias(c) for c in keep],
+        *[f"kept_{c}" for c in keep],
     )
 
 
