@@ -16,9 +16,7 @@ from reviewloom.llm.common import read_table, staged
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
-    columns = docs.columns
-    scored = toxicity.score(docs, model, keep=tuple(columns)).drop("doc_id")
-    return scored.where(F.col("score") < 0.5).select(*[F.col(f"kept_{c}").alias(c) for c in columns])
+    return docs.where(toxicity.score_column(model) < 0.5)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from reviewloom.llm.multiindex import op4_inverted_multi_index
 from reviewloom.llm.outliers import op3_robust_outliers
 from reviewloom.llm.packing import op5_bounded_packing
+from reviewloom.llm.pieces import op10_piece_lattice
 from reviewloom.llm.sharding import op1_sampled_splitters
 from reviewloom.llm.simhash import op7_simhash_bk_trees
+from reviewloom.llm.sitequality import op8_site_bayes
 from reviewloom.llm.substrings import op6_seed_extend
 from reviewloom.llm.toxicity import op2_noisy_or_toxicity
 from reviewloom.llm.urlrules import op9_url_association_rules
@@ -21,7 +23,9 @@ QUERIES = {
         op5_bounded_packing,
         op6_seed_extend,
         op7_simhash_bk_trees,
+        op8_site_bayes,
         op9_url_association_rules,
+        op10_piece_lattice,
     )
 }
 ORACLE: dict[str, str] = {}

@@ -235,13 +235,18 @@ def _kept(keyed: DataFrame, length: int, keep: list[str]) -> DataFrame:
                         pa.array(counts),
                         pa.array(counts - left),
                         pc.binary_join(lists, " "),
-                        *[part.column(c) for c in keep],
+                        *[part.column("text" if c == "given_text" else c) for c in keep],
                     ],
                     ["id", "n_words", "n_removed", "kept", *keep],
                 )
 
-    kinds = "".join(f", `{c}` {keyed.schema[c].dataType.simpleString()}" for c in keep)
-    return keyed.select("id", "text", "starts", "copies", *keep).mapInArrow(
+    kinds = "".join(
+        f", `{c}` "
+        + keyed.schema["text" if c == "given_text" else c].dataType.simpleString()
+        for c in keep
+    )
+    rest = [c for c in keep if c != "given_text"]
+    return keyed.select("id", "text", "starts", "copies", *rest).mapInArrow(
         work, f"id bigint, n_words bigint, n_removed bigint, kept string{kinds}"
     )
 
@@ -256,19 +261,20 @@ def remove_repeats(
     """(id, n_words, n_removed, kept): each text without words of repeated windows.
 
     ``kept`` is the remaining words joined by one space.  Columns named in ``keep``
-    come along under the names given_<column>.
+    come along under the names given_<column>, the text as given_text.
     """
-    given = [f"given_{c}" for c in keep]
+    given = ["given_text" if c == text_col else f"given_{c}" for c in keep]
     if length < SEED_WORDS:
         raise ValueError(f"length must be at least {SEED_WORDS}")
     keyed = docs.select(
         *_keys(id_col, text_col),
         F.col(id_col).cast("bigint").alias("id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        *[F.col(f"`{c}`").alias(g) for c, g in zip(keep, given, strict=True)],
+        F.col(text_col).cast("string").alias("text"),
+        *[F.col(f"`{c}`").alias(g) for c, g in zip(keep, given, strict=True) if c != text_col],
     )
     # Copies of a whole text, by two hashes of it; the first copy stands for all.
-    text_hash = [F.xxhash64("text").alias("c1"), F.xxhash64("text", F.lit(7)).alias("c2")]
+    whole = F.coalesce("text", F.lit(""))
+    text_hash = [F.xxhash64(whole).alias("c1"), F.xxhash64(whole, F.lit(7)).alias("c2")]
     named = staged(keyed.select("k1", "k2", *text_hash), "names")
     classes = named.groupBy("c1", "c2").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("k1", "k2")).alias("first")

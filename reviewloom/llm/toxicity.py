@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import Words, held_out, read_table, slices, staged
@@ -266,22 +266,28 @@ def fit(
     return vocabulary, _fit(rows, 1 + sum(len(v) for v in vocabulary))
 
 
+def _logits(
+    texts: pa.Array, vocabulary: list[pa.Array], weights: np.ndarray
+) -> tuple[Sentences, np.ndarray]:
+    """The sentences of some texts and the log odds of each."""
+    s = Sentences(texts)
+    value = np.zeros(len(s.words.unique))
+    for number in _indexed(s, vocabulary):
+        value += np.where(number >= 0, weights[number], 0.0)
+    return s, weights[0] + np.bincount(s.sentence, value[s.words.index], minlength=s.count)
+
+
 def score(
     docs: DataFrame,
     model: tuple[list[pa.Array], np.ndarray],
     id_col: str = "doc_id",
     text_col: str = "text",
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, score, sentences, offending) of every document.
-
-    Columns named in ``keep`` come along under the names kept_<column>.
-    """
+    """(id, score, sentences, offending) of every document."""
     vocabulary, weights = model
     own = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col(text_col).cast("string").alias("text"),
-        *[F.col(c).alias(f"kept_{c}") for c in keep],
     )
     flagged = pa.list_(
         pa.struct(
@@ -297,13 +303,7 @@ def score(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                s = Sentences(part.column("text"))
-                value = np.zeros(len(s.words.unique))
-                for number in _indexed(s, vocabulary):
-                    value += np.where(number >= 0, weights[number], 0.0)
-                z = weights[0] + np.bincount(
-                    s.sentence, value[s.words.index], minlength=s.count
-                )
+                s, z = _logits(part.column("text"), vocabulary, weights)
                 none = np.bincount(s.document, _softplus(z), minlength=len(part))
                 p = _sigmoid(z)
                 first, end = s.word_ranges()
@@ -328,22 +328,30 @@ def score(
                         pa.array(-np.expm1(-none)),
                         pa.array(sentences.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans),
-                        *[part.column(f"kept_{c}") for c in keep],
                     ],
-                    ["id", "score", "sentences", "offending", *[f"kept_{c}" for c in keep]],
+                    ["id", "score", "sentences", "offending"],
                 )
 
-    kinds = "".join(f", `kept_{c}` {own.schema[f'kept_{c}'].dataType.simpleString()}" for c in keep)
     scored = own.mapInArrow(
-        work, f"id bigint, score double, sentences int, offending {FLAGGED}{kinds}"
-    )
-    return scored.select(
-        F.col("id").alias(id_col),
-        "score",
-        "sentences",
-        "offending",
-        *[f"kept_{c}" for c in keep],
+        work, f"id bigint, score double, sentences int, offending {FLAGGED}"
     )
+    return scored.withColumnRenamed("id", id_col)
+
+
+def score_column(model: tuple[list[pa.Array], np.ndarray], text_col: str = "text") -> Column:
+    """The score alone, as a column beside a document's own."""
+    vocabulary, weights = model
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        out = [np.zeros(0)]
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"])):
+            s, z = _logits(part.column("text"), vocabulary, weights)
+            none = np.bincount(s.document, _softplus(z), minlength=len(part))
+            out.append(-np.expm1(-none))
+        return pa.array(np.concatenate(out))
+
+    return scored(F.col(text_col).cast("string"))
 
 
 def op2_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
