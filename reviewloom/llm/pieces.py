@@ -11,7 +11,8 @@ segmentation SentencePiece gives.  All words of a slice take a merge at a time;
 over LONG characters merge from a heap, one by one.  ``viterbi_words`` keeps the
 relational form, with Spark's own aggregate for the fold, for unigram models.
 
-Characters without a piece become byte pieces.  Null and empty texts have no ids.
+Characters without a piece become byte pieces; the mark SPACE in a text reads as a
+space, as in the model's own encoder.  Null and empty texts have no ids.
 Null or repeated ids and repeated rows keep their rows.  Empty table: no rows.  Other
 columns are not read.
 """
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import read_table, slices
@@ -33,7 +34,7 @@ from reviewloom.llm.common import read_table, slices
 SPACE = "▁"
 LONG = 200  # characters
 # Units that no piece reaches across: a run of spaces and what follows, line ends.
-UNIT = re.compile(r"\n| *[^ \n]+| +")
+UNIT = re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 NONE = np.iinfo(np.int64).max
@@ -196,13 +197,13 @@ def encode(
             for part in slices(batch):
                 counts, units = [], []
                 for text in part.column("text").to_pylist():
-                    found = UNIT.findall(" " + text) if text else []
+                    found = UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
                     counts.append(len(found))
                     units += found
                 coded = pa.array(units, pa.string()).dictionary_encode()
                 index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 plain = coded.dictionary.to_pylist()
-                ids = encode_words([u.replace(" ", SPACE) for u in plain], pieces)
+                ids = encode_words(plain, pieces)
                 same = np.array(
                     [
                         b"".join(pieces.bytes[i] for i in x) == u.replace(SPACE, " ").encode()
