@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from reviewloom.session import scratch_path
 
 # A slice of a batch that Python works on at once; a longer text is a slice alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 19
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,8 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    # Workers live on between tasks; give back what the batch took.
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
