@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from reviewloom.llm import (
     common,
     multiindex,
@@ -116,7 +118,6 @@ def test_near_links_connect_all_within_radius(spark, limit):
     signed = [m - (1 << 64) if m >> 63 else m for m in made]
     nodes = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp bigint, node bigint")
     links = [(r.a, r.b) for r in simhash.near_links(nodes, 3, limit).collect()]
-    assert all((made[a] ^ made[b]).bit_count() <= 3 or True for a, b in links)
 
     def labels(pairs):
         label = list(range(len(made)))
@@ -329,5 +330,5 @@ def test_empty_tables(spark):
 
 
 def test_held_out_rule(spark):
-    got = spark.range(50).select("id", common.held_out("id").alias("h")).collect()
+    got = spark.range(50).select("id", common.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
