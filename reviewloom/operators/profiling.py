@@ -131,20 +131,16 @@ def missing_by(df: DataFrame, group: str, column: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum."""
-    counts = df.where(col(column).isNotNull()).groupBy(col(column).alias("v")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    n, mean = F.sum("n"), F.sum(F.col("v") * F.col("n")) / F.sum("n")
-    square = F.sum(F.col("v") * F.col("v") * F.col("n"))
-    return counts.agg(
-        n.cast("bigint").alias("row_count"),
-        F.round(mean, 6).alias("mean"),
-        F.round(F.sqrt(F.try_divide(square - n * mean * mean, n - 1)), 6).alias("std"),
-        F.min("v").cast("double").alias("minimum"),
-        F.percentile("v", F.lit(0.25), F.col("n")).alias("p25"),
-        F.percentile("v", F.lit(0.5), F.col("n")).alias("p50"),
-        F.percentile("v", F.lit(0.75), F.col("n")).alias("p75"),
-        F.max("v").cast("double").alias("maximum"),
+    v = col(column)
+    return df.where(v.isNotNull()).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.round(F.avg(v), 6).alias("mean"),
+        F.round(F.stddev_samp(v), 6).alias("std"),
+        F.min(v).cast("double").alias("minimum"),
+        F.percentile(v, F.lit(0.25)).alias("p25"),
+        F.percentile(v, F.lit(0.5)).alias("p50"),
+        F.percentile(v, F.lit(0.75)).alias("p75"),
+        F.max(v).cast("double").alias("maximum"),
     )
 
 

@@ -37,7 +37,12 @@ def row_digest(names: Sequence[str]) -> Column:
     Grouping on 32 bytes keeps wide text out of the shuffle key and out of the
     sort comparisons.
     """
-    return F.unhex(F.sha2(F.to_json(F.struct(*[col(n) for n in names])), 256))
+    # The default format of timestamps would stop at milliseconds.
+    exact = {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    return F.unhex(F.sha2(F.to_json(F.struct(*[col(n) for n in names]), exact), 256))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") -> DataFrame:

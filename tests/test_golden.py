@@ -337,3 +337,22 @@ def test_tracking_tables_replace_by_key(spark):
     K.record_ablation(spark, path, {"experiment_id": "a", "variant": "old", "macro_f1": 0.1})
     table = K.record_ablation(spark, path, {"experiment_id": "a", "variant": "new"})
     assert values(table, "experiment_id", "variant", "macro_f1") == [("a", "new", None)]
+
+
+def test_duplicates_differ_by_microseconds(spark):
+    from reviewloom.plans.shapes import keep_first
+
+    rows = [(1, "2024-01-01 00:00:00.000100"), (2, "2024-01-01 00:00:00.000900"), (3, "2024-01-01 00:00:00.000900")]
+    table = spark.createDataFrame(rows, "review_id bigint, at string").selectExpr(
+        "review_id", "cast(at as timestamp) as at"
+    )
+    assert sorted(r.review_id for r in keep_first(table, ["at"]).collect()) == [1, 2]
+
+
+def test_spread_of_large_values(spark):
+    from reviewloom.operators.profiling import describe_numeric
+
+    wide = spark.createDataFrame([(10**9 + i,) for i in (0, 1, 1, 2)], "v bigint")
+    assert describe_numeric(wide, "v").first()["std"] == 0.816497
+    huge = spark.createDataFrame([(5 * 10**9 + i,) for i in range(3)], "v bigint")
+    assert describe_numeric(huge, "v").first()["std"] == 1.0
