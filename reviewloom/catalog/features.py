@@ -144,19 +144,19 @@ def feature_violations(spark, sf_dir):
     "t09_low_content",
     sql_over(
         "reviews_raw",
-        body=f"""select review_id, title_text from (
-        select review_id, {T.classical_clean("coalesce(review_title, '')")} as title_text
+        body=f"""select review_id, clean_text from (
+        select review_id, {T.classical_clean("coalesce(review_text, '')")} as clean_text
         from reviews_raw) q
-        where len(list_filter(regexp_split_to_array(lower(title_text), '\\s+'),
+        where len(list_filter(regexp_split_to_array(lower(clean_text), '\\s+'),
           lambda t: t <> '' and not list_contains({T.word_list(X.topic_stop_words())}, t))) >= 3""",
     ),
 )
 def low_content(spark, sf_dir):
-    titles = fx.reviews_raw(spark, sf_dir).select(
+    cleaned = fx.reviews_raw(spark, sf_dir).select(
         "review_id",
-        X.classical_clean(F.coalesce("review_title", F.lit(""))).alias("title_text"),
+        X.classical_clean(F.coalesce("review_text", F.lit(""))).alias("clean_text"),
     )
-    return P.drop_low_content(titles, "title_text")
+    return P.drop_low_content(cleaned, "clean_text")
 
 
 @query(
@@ -182,11 +182,11 @@ def stop_word_set(spark, sf_dir):
     "t11_model_input",
     sql_over(
         "reviews_raw",
-        body=f"""select review_id, {T.strip('review_title')} as classical_text, label as sentiment_label from (
-        select review_id, review_title, case when rating_raw in ('1','2','2.5') then 'negative'
+        body=f"""select review_id, {T.strip('review_text')} as classical_text, label as sentiment_label from (
+        select review_id, review_text, case when rating_raw in ('1','2','2.5') then 'negative'
         when rating_raw = '3' then 'neutral' when rating_raw in ('4','5') then 'positive'
         when rating_raw = 'x' then 'unreadable' end as label from reviews_raw) q
-        where review_title is not null and length(trim(review_title)) > 0
+        where review_text is not null and length({T.strip('review_text')}) > 0
         and label in ('negative','neutral','positive')""",
     ),
 )
@@ -194,7 +194,7 @@ def model_input(spark, sf_dir):
     rating = F.col("rating_raw")
     named = fx.reviews_raw(spark, sf_dir).select(
         "review_id",
-        F.col("review_title").alias("classical_text"),
+        F.col("review_text").alias("classical_text"),
         F.when(rating.isin("1", "2", "2.5"), "negative")
         .when(rating == "3", "neutral")
         .when(rating.isin("4", "5"), "positive")

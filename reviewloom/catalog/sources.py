@@ -28,7 +28,6 @@ CSV_COLUMNS = (
     "do_recommend",
 )
 CSV_SCHEMA = "review_id bigint, " + ", ".join(f"{c} string" for c in CSV_COLUMNS[1:])
-SOURCES = ("de", "en", "es", "fr")
 READ_BACK = ", ".join(c if c == "review_id" else f"nullif({c}, '') as {c}" for c in CSV_COLUMNS)
 
 
@@ -49,15 +48,23 @@ def csv_scan(spark, sf_dir):
 
 @query(
     "s02_load_all",
-    sql_over("reviews_raw", body=f"select {READ_BACK}, 'raw_' || source_dataset as source_dataset from reviews_raw"),
+    sql_over(
+        "reviews_raw",
+        body=f"""select {READ_BACK}, 'raw_' || coalesce(source_dataset, 'unnamed') as source_dataset
+        from reviews_raw""",
+    ),
 )
 def load_all(spark, sf_dir):
-    raw = fx.reviews_raw(spark, sf_dir)
+    """One CSV folder per source the table holds, read back and merged."""
+    source = F.coalesce("source_dataset", F.lit("unnamed"))
+    raw = fx.reviews_raw(spark, sf_dir).withColumn("source_dataset", source)
     root = scratch_path(spark, "raw")
-    for source in SOURCES:
-        part = raw.where(F.col("source_dataset") == source).select(*CSV_COLUMNS)
-        files.write_table(part, f"{root}/{source}", "csv")
-    tables = files.read_all(spark, {f"raw_{s}": f"{root}/{s}" for s in SOURCES}, schema=CSV_SCHEMA)
+    names = [r[0] for r in raw.select("source_dataset").distinct().orderBy("source_dataset").collect()]
+    paths = {f"raw_{name}": f"{root}/{i}" for i, name in enumerate(names)}
+    for name, path in zip(names, paths.values(), strict=True):
+        part = raw.where(F.col("source_dataset") == name).select(*CSV_COLUMNS)
+        files.write_table(part, path, "csv")
+    tables = files.read_all(spark, paths, schema=CSV_SCHEMA)
     return blank_to_null(files.merge_datasets(tables.values()))
 
 

@@ -113,8 +113,28 @@ def raise_on_violations(violations: DataFrame, what: str) -> None:
         raise AssertionError(f"{what} breaks {broken}")
 
 
+def require_clean_rows(df: DataFrame) -> DataFrame:
+    """The table itself; reading a row that breaks a rule of the cleaned table fails."""
+    require_columns(df, ("review_text", "rating", "sentiment_label"), "cleaned table")
+    rules = {
+        "missing_text": F.col("review_text").isNotNull(),
+        "empty_text": F.length("review_text") > 0,
+        "rating_range": F.col("rating").between(1, 5),
+        "unknown_label": F.col("sentiment_label").isin(*S.SENTIMENT_LABELS),
+    }
+    passed = F.lit(True)
+    for rule, ok in reversed(rules.items()):
+        failed = F.raise_error(F.lit(f"cleaned table breaks {rule}"))
+        passed = F.when(F.coalesce(ok, F.lit(False)), passed).otherwise(failed)
+    return df.where(passed)
+
+
 def clean_dataset(df: DataFrame) -> DataFrame:
-    """The whole cleaning chain as one lazy plan."""
+    """The whole cleaning chain as one lazy plan.
+
+    It ends with the row rules of the cleaned table; copies cannot be left after
+    the last step but one.
+    """
     return (
         df.transform(rename_columns)
         .transform(drop_unusable_columns)
@@ -126,6 +146,7 @@ def clean_dataset(df: DataFrame) -> DataFrame:
         .transform(parse_dates)
         .transform(drop_empty_reviews)
         .transform(drop_exact_duplicates)
+        .transform(require_clean_rows)
     )
 
 
@@ -144,9 +165,11 @@ def unexpected_labels(df: DataFrame, column: str = "sentiment_label", labels=S.S
 def validate_labels(df: DataFrame, required: Iterable[str] = S.CLEAN_REQUIRED_COLUMNS) -> DataFrame:
     """Check columns, then raise when a label is outside the domain (an action)."""
     require_columns(df, required)
-    bad = unexpected_labels(df).limit(20).collect()
-    if bad:
-        raise ValueError(f"unexpected sentiment labels: {sorted(r[0] for r in bad)}")
+    found = unexpected_labels(df).agg(
+        F.count(F.lit(1)).alias("n"), F.min("sentiment_label").alias("example")
+    ).first()
+    if found["n"]:
+        raise ValueError(f"{found['n']} unexpected sentiment labels, such as {found['example']!r}")
     return df
 
 

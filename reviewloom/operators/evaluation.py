@@ -298,22 +298,59 @@ def error_subsets(analysis: DataFrame, path: str | None = None) -> DataFrame:
 def compare_models(
     first: DataFrame, second: DataFrame, first_name: str, second_name: str, key: str = "review_id"
 ) -> DataFrame:
-    """Rows where two models err or disagree, with the outcome of each."""
-    left = first.select(key, "text", "true_label", F.col("predicted_label").alias(f"{first_name}_prediction"))
-    right = second.select(key, F.col("predicted_label").alias(f"{second_name}_prediction"))
-    one, two = F.col(f"{first_name}_prediction"), F.col(f"{second_name}_prediction")
+    """Rows where two models err or disagree, with the outcome of each.
+
+    Reading the result fails when the tables differ in rows, texts or true labels:
+    both sides are grouped by key, so a row missing on either side is seen.
+    """
+
+    def side(df: DataFrame, number: int) -> DataFrame:
+        return df.select(
+            key,
+            F.lit(number).alias("side"),
+            F.xxhash64("true_label", "text").alias("h"),
+            # The text travels once.
+            (F.col("text") if number == 1 else F.lit(None).cast("string")).alias("text"),
+            "true_label",
+            "predicted_label",
+        )
+
+    def predicted(number: int) -> Column:
+        return F.max(F.when(F.col("side") == number, F.col("predicted_label")))
+
+    paired = (
+        side(first, 1)
+        .unionByName(side(second, 2))
+        .groupBy(key)
+        .agg(
+            F.count_if(F.col("side") == 1).alias("a"),
+            F.count_if(F.col("side") == 2).alias("b"),
+            F.min("h").alias("low"),
+            F.max("h").alias("high"),
+            F.max("text").alias("text"),
+            F.max("true_label").alias("true_label"),
+            predicted(1).alias("one"),
+            predicted(2).alias("two"),
+        )
+    )
+    one, two = F.col("one"), F.col("two")
     first_ok, second_ok = one == F.col("true_label"), two == F.col("true_label")
+    apart = (F.col("a") != 1) | (F.col("b") != 1) | (F.col("low") != F.col("high"))
     outcome = (
-        F.when(~first_ok & ~second_ok, "shared_errors")
+        F.when(apart, F.raise_error(F.lit("predictions do not hold the same rows and labels")))
+        .when(~first_ok & ~second_ok, "shared_errors")
         .when(first_ok & ~second_ok, f"{first_name}_wins")
         .when(~first_ok & second_ok, f"{second_name}_wins")
     )
-    return (
-        left.join(right, key)
-        .withColumn("outcome", outcome)
-        .withColumn("disagree", one != two)
-        .where("outcome is not null")
-    )
+    return paired.select(
+        key,
+        "text",
+        "true_label",
+        one.alias(f"{first_name}_prediction"),
+        two.alias(f"{second_name}_prediction"),
+        outcome.alias("outcome"),
+        (one != two).alias("disagree"),
+    ).where("outcome is not null")
 
 
 def alignment_mismatches(first: DataFrame, second: DataFrame, key: str = "review_id") -> DataFrame:

@@ -168,24 +168,90 @@ def plane_coordinates(df: DataFrame, vector: str = "lsa", keep: Iterable[str] =
 # --- K-Means ---------------------------------------------------------------------
 
 
-def _seed_rows(df: DataFrame, vector: str, key: str, seed: int, limit: int) -> np.ndarray:
-    """A bounded, seeded sample of vectors for choosing start centroids only."""
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return matrix_of(df.select(vector, order.alias("h"), key).orderBy("h", key).limit(limit), vector)
-
-
-def _spread_start(points: np.ndarray, k: int, rng) -> np.ndarray:
-    """k-means++ start: points drawn in proportion to squared distance."""
-    chosen = [points[rng.integers(len(points))]]
+def _spread_start(points: np.ndarray, weights: np.ndarray, k: int, rng) -> np.ndarray:
+    """k-means++ start: points drawn by weight and squared distance to those drawn."""
+    chosen = [points[rng.choice(len(points), p=weights / weights.sum())]]
     nearest = ((points - chosen[0]) ** 2).sum(axis=1)
     for _ in range(1, k):
-        total = nearest.sum()
-        pick = rng.choice(len(points), p=nearest / total) if total > 0 else rng.integers(len(points))
-        chosen.append(points[pick])
-        nearest = np.minimum(nearest, ((points - points[pick]) ** 2).sum(axis=1))
+        mass = nearest * weights
+        # Fewer different points than centroids: the rest repeat, and stay empty.
+        share = mass / mass.sum() if mass.sum() > 0 else None
+        chosen.append(points[rng.choice(len(points), p=share)])
+        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
     return np.array(chosen)
 
 
+def _far_rows(
+    df: DataFrame, vector: str, key: str, models: list[np.ndarray], rates: np.ndarray, salt: str
+) -> list[np.ndarray]:
+    """Per model, rows drawn with probability squared distance x the model's rate.
+
+    A row's draw depends on its key, the salt and the model, so a task run again
+    draws the same rows.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((models, rates))
+
+    def work(batches):
+        centres, rate = shared.value
+        for batch in batches:
+            x = stack(batch[vector])
+            if len(x) == 0:
+                continue
+            squares = (x**2).sum(axis=1)
+            h = batch["h"].to_numpy().astype(np.int64)
+            for i, c in enumerate(centres):
+                gaps = (c**2).sum(axis=1) - 2.0 * (x @ c.T)
+                distance = np.maximum(gaps.min(axis=1) + squares, 0.0)
+                mixed = (h ^ np.int64((i + 1) * 0x9E3779B97F4A7)).view(np.uint64)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+                draw = (mixed ^ (mixed >> np.uint64(31))).astype(np.float64) / 2.0**64
+                drawn = np.flatnonzero(draw < distance * rate[i])
+                if len(drawn):
+                    yield pd.DataFrame({"model": i, "x": pd.Series(list(x[drawn]), dtype=object)})
+
+    hashed = df.select(vector, F.xxhash64(F.lit(salt), F.col(key)).alias("h"))
+    # About OVERSAMPLING x k rows a model, whatever the size of the table.
+    found = hashed.mapInPandas(work, "model int, x array<double>").orderBy("model", "x").toArrow()
+    shared.destroy()
+    owner = found["model"].to_numpy()
+    rows = np.array(found["x"].to_pylist()).reshape(len(owner), models[0].shape[1])
+    return [rows[owner == i] for i in range(len(models))]
+
+
+OVERSAMPLING = 2
+START_ROUNDS = 4
+
+
+def _start_centroids(
+    df: DataFrame, vector: str, key: str, plan: list[tuple[int, int]], seed: int, parts: int
+) -> list[np.ndarray]:
+    """k-means|| over all rows, for all (k, restart) together.
+
+    From one row a restart, rounds draw rows in proportion to their squared
+    distance; each drawn row is weighed by the rows nearest to it, and k-means++
+    reduces them to k.
+    """
+    restarts = sorted({r for _, r in plan})
+    firsts = df.agg(
+        *[
+            F.min_by(vector, F.struct(F.xxhash64(F.lit(f"{seed}:{r}"), F.col(key)), F.col(key))).alias(f"r{r}")
+            for r in restarts
+        ]
+    ).first()
+    models = [np.array([firsts[f"r{r}"]]) for _, r in plan]
+    for turn in range(START_ROUNDS):
+        costs = np.array([s[:, 1].sum() for s in _lloyd_pass(df, vector, models, parts)])
+        wanted = np.array([OVERSAMPLING * k for k, _ in plan], dtype=float)
+        rates = np.divide(wanted, costs, out=np.zeros(len(plan)), where=costs > 0)
+        drawn = _far_rows(df, vector, key, models, rates, f"{seed}:start:{turn}")
+        models = [np.vstack([m, d]) if len(d) else m for m, d in zip(models, drawn, strict=True)]
+    starts = []
+    for (k, r), points, stats in zip(plan, models, _lloyd_pass(df, vector, models, parts), strict=True):
+        starts.append(_spread_start(points, stats[:, 0], k, np.random.default_rng([seed, k, r])))
+    return starts
+
+
 def _lloyd_pass(df: DataFrame, vector: str, models: list[np.ndarray], parts: int) -> list[np.ndarray]:
     """One pass for all models at once: per centroid [count, squared distance, sums...]."""
     shared = df.sparkSession.sparkContext.broadcast(models)
@@ -226,21 +292,24 @@ def kmeans(
     max_iter: int = 300,
     tol: float = 1e-4,
     key: str = "review_id",
-    seed_rows: int = 4096,
 ) -> dict[int, tuple[np.ndarray, float]]:
     """Best centroids and inertia per k over all restarts.
 
-    Every restart of every k advances in the same Lloyd pass, so a sweep costs as
-    many jobs as its slowest member, not the sum.  ``df`` should be cached.
+    Starts and tolerance come from all rows.  Every restart of every k advances in
+    the same pass, so a sweep costs as many jobs as its slowest member, not the
+    sum.  ``df`` should be cached.
     """
-    sample = _seed_rows(df, vector, key, seed, seed_rows)
     n_rows, n_parts, _ = size_of(df)
-    spread = float(sample.var(axis=0).mean()) * tol
     plan = [(int(k), r) for k in cluster_counts for r in range(restarts)]
-    models = [_spread_start(sample, k, np.random.default_rng([seed, k, r])) for k, r in plan]
     live = list(range(len(plan)))
-    flops = n_rows * sample.shape[1] * sum(len(m) for m in models)
-    rows, n_parts = fit_partitions(df.select(vector), n_parts, flops, 4e8)
+    width = len(df.select(vector).first()[0])
+    flops = n_rows * width * sum(k for k, _ in plan)
+    rows, n_parts = fit_partitions(df.select(key, vector), n_parts, flops, 4e8)
+    # Measured from the origin, one pass gives the mean and the mean square.
+    whole = _lloyd_pass(rows, vector, [np.zeros((1, width))], n_parts)[0][0]
+    variance = whole[1] / n_rows - ((whole[2:] / n_rows) ** 2).sum()
+    spread = max(float(variance), 0.0) / width * tol
+    models = _start_centroids(rows, vector, key, plan, seed, n_parts)
     for _ in range(max_iter):
         moved = []
         for i, stats in zip(live, _lloyd_pass(rows, vector, [models[i] for i in live], n_parts)):

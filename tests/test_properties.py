@@ -114,6 +114,54 @@ def test_kmeans_rows_are_at_their_nearest_centroid(represented):
     assert sum(r["distance_to_centroid"] ** 2 for r in rows) == pytest.approx(models[4][1], rel=1e-3)
 
 
+def test_kmeans_starts_from_all_rows(spark):
+    """A far cluster of 3 rows in 60,000 is found; a sample of some thousand rows would miss it."""
+    noise = (F.xxhash64("review_id") % 1000) / 10000.0
+    far = F.when(F.col("review_id") % 20_000 == 7, 50.0).otherwise(0.0)
+    rows = spark.range(0, 60_000, 1, 8).withColumnRenamed("id", "review_id")
+    rows = rows.select("review_id", F.array(noise + far, noise, F.lit(1.0)).alias("lsa")).cache()
+    centres, inertia = T.kmeans(rows, [2], restarts=2)[2]
+    assert sorted(round(c) for c in centres[:, 0]) == [0, 50]
+    assert inertia < 60_000 * 0.02
+
+
+def test_kmeans_with_fewer_points_than_centroids(spark):
+    rows = spark.range(6).select(F.col("id").alias("review_id"), F.array(F.col("id") % 2 * 1.0).alias("lsa")).cache()
+    _, inertia = T.kmeans(rows, [3], restarts=2)[3]
+    assert inertia == 0.0
+
+
+def test_model_comparison_refuses_other_rows(spark):
+    from reviewloom.operators import evaluation as E
+
+    schema = "review_id bigint, text string, true_label string, predicted_label string"
+    first = spark.createDataFrame([(1, "a", "positive", "negative"), (2, "b", "neutral", "neutral")], schema)
+    same = first.withColumn("predicted_label", F.lit("neutral"))
+    got = E.compare_models(first, same, "x", "y").orderBy("review_id").collect()
+    assert [(r["review_id"], r["outcome"], r["disagree"]) for r in got] == [(1, "shared_errors", True)]
+    for other in (same.where("review_id = 1"), same.withColumn("true_label", F.lit("neutral"))):
+        for pair in ((first, other), (other, first)):
+            with pytest.raises(Exception, match="same rows and labels"):
+                E.compare_models(*pair, "x", "y").collect()
+
+
+def test_cleaned_rows_are_checked(spark):
+    from reviewloom.operators import cleaning as C
+
+    schema = "review_text string, rating double, sentiment_label string"
+    good = ("fine", 4.0, "positive")
+    assert C.require_clean_rows(spark.createDataFrame([good], schema)).count() == 1
+    broken = {
+        "missing_text": (None, 4.0, "positive"),
+        "empty_text": ("", 4.0, "positive"),
+        "rating_range": ("fine", None, "positive"),
+        "unknown_label": ("fine", 4.0, "unsure"),
+    }
+    for rule, row in broken.items():
+        with pytest.raises(Exception, match=rule):
+            C.require_clean_rows(spark.createDataFrame([good, row], schema)).count()
+
+
 def test_sweep_rows(represented):
     _, basis, projected = represented
     rows = T.sweep_cluster_counts(projected, basis, [1, 2, 5, 10**6], restarts=3).orderBy("n_clusters").collect()
