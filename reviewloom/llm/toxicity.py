@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,10 +210,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _fit(rows: DataFrame, size: int) -> np.ndarray:
-    """Weights by full-gradient steps of set length; every step is one pass over the sample."""
+    """Weights by full-gradient steps of set length; every step is one pass over the sample.
 
-    def gradient(weights: np.ndarray):
+    Weights and sums travel in single precision, and the broadcast of a step ends with
+    it, so that the driver does not hold the weights of all steps.
+    """
+
+    def gradient(shipped: Broadcast) -> np.ndarray:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights = shipped.value
             total, docs = np.zeros(size), 0
             for batch in batches:
                 label = batch.column("label").to_numpy(zero_copy_only=False)
@@ -235,18 +241,21 @@ def _fit(rows: DataFrame, size: int) -> np.ndarray:
                 total[0] += pull.sum()
                 docs += len(label)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([total.tobytes()]), pa.array([docs], pa.int64())], ["sum", "docs"]
+                [pa.array([total.astype(np.float32).tobytes()]), pa.array([docs], pa.int64())],
+                ["sum", "docs"],
             )
 
         parts = rows.mapInArrow(work, "sum binary, docs bigint").collect()
         docs = max(sum(r.docs for r in parts), 1)
-        return sum((np.frombuffer(r["sum"]) for r in parts), np.zeros(size)) / docs
+        return sum((np.frombuffer(r["sum"], np.float32) for r in parts), np.zeros(size)) / docs
 
     weights = np.zeros(size)
     weights[0] = -5.0
     velocity = np.zeros(size)
     for step in range(1, STEPS + 1):
-        g = gradient(weights)
+        shipped = rows.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+        g = gradient(shipped)
+        shipped.destroy()
         g[1:] += PENALTY * weights[1:]
         # A length of one keeps the many rare features from moving as fast as common ones.
         velocity = 0.9 * velocity + 0.1 * g / max(np.sqrt((g * g).sum()), 1e-12)
