@@ -29,3 +29,22 @@ QUERIES = {
     )
 }
 ORACLE: dict[str, str] = {}
+
+# Windows of 35 words by text; fit for small tables, as each window is spelled out.
+ORACLE["op6_seed_extend"] = r"""with texts as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+placed as (select row_id, unnest(words) as word, unnest(range(len(words))) as place, len(words) as n from texts),
+windows as (
+  select row_id, place, n, string_agg(word, ' ') over (
+    partition by row_id order by place rows between current row and 34 following) as window_text from placed),
+starts as (select row_id, place, sha256(window_text) as h from windows where place <= n - 35),
+repeated as (select row_id, place from starts where h in (select h from starts group by h having count(*) > 1)),
+gone as (select distinct row_id, place + unnest(range(35)) as place from repeated),
+kept as (
+  select row_id, count(*) as n_kept, string_agg(word, ' ' order by place) as kept
+  from placed p where not exists (select 1 from gone g where g.row_id = p.row_id and g.place = p.place)
+  group by row_id)
+select doc_id, len(words) as n_words, len(words) - coalesce(n_kept, 0) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (row_id)"""
