@@ -171,6 +171,25 @@ def summary(spark, sf_dir):
     )
 
 
-@query("r11_payload")
+RANKED_FIELDS = ("topic_id", *COLUMNS, "rank")
+ROW_SQL = "{" + ", ".join(f"'{c}': {c}" for c in RANKED_FIELDS) + "}"
+
+
+@query(
+    "r11_payload",
+    over_clustered(
+        *CTES,
+        body=f"""select cast(to_json({{
+          'summary': {{'total_recommendations': count(*),
+            'high_priority': count(*) filter (where priority = 'High'),
+            'medium_priority': count(*) filter (where priority = 'Medium'),
+            'low_priority': count(*) filter (where priority = 'Low'),
+            'average_severity': coalesce(round(avg(severity), 1), 0),
+            'highest_risk_topic': max_by({{'topic_id': topic_id, 'topic': topic, 'severity': severity,
+              'priority': priority}}, (severity, -rank))}},
+          'top_recommendations': list({ROW_SQL} order by rank)[1:3],
+          'recommendations': list({ROW_SQL} order by rank)}}) as varchar) as payload from ranked""",
+    ),
+)
 def payload(spark, sf_dir):
     return R.payload(ranked(spark, sf_dir)).select(F.to_json(F.struct("*")).alias("payload"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from reviewloom.catalog import insights as IQ
-from reviewloom.catalog.registry import query
+from reviewloom.catalog.registry import ORACLE, query
 from reviewloom.catalog.reports import GENERATED_AT, report_inputs
 from reviewloom.catalog.topic_models import fitted_topics
 from reviewloom.operators import insights as I
@@ -107,7 +107,11 @@ def write_json(spark, sf_dir):
     return files.read_json(spark, path, "review_id bigint, review_title string, rating_raw string")
 
 
-@query("s06_write_report")
+@query(
+    "s06_write_report",
+    rf"""select unnest(regexp_split_to_array(line, '\r\n|\r|\n')) as value
+    from ({ORACLE['q08_report_lines']}) written""",
+)
 def write_report(spark, sf_dir):
     lines = P.report_lines(*report_inputs(spark, sf_dir), GENERATED_AT)
     return files.read_text(spark, files.write_report(lines, scratch_path(spark, "report.md")))
@@ -134,17 +138,21 @@ def read_json(spark, sf_dir):
     return files.read_json(spark, path, schema)
 
 
-@query("s09_model_roundtrip")
+@query("s09_model_roundtrip", sql_over("reviews_labelled", body="select review_id, true as same from reviews_labelled"))
 def model_roundtrip(spark, sf_dir):
-    """Assignments of the saved and reloaded model next to the fitted ones."""
+    """Per review: whether the saved and reloaded model assigns as the fitted one does."""
     texts, model, _ = fitted_topics(spark, sf_dir)
     loaded = load_topic_model(spark, save_topic_model(spark, model, scratch_path(spark, "topic_model")))
     before = topic_ops.predict_topics(texts, model).select("review_id", F.col("cluster_id").alias("before"))
     after = topic_ops.predict_topics(texts, loaded).select("review_id", F.col("cluster_id").alias("after"))
-    return before.join(after, "review_id").withColumn("same", F.col("before") == F.col("after"))
+    both = texts.select("review_id").join(before, "review_id", "left").join(after, "review_id", "left")
+    return both.select("review_id", F.equal_null("before", "after").alias("same"))
 
 
-@query("s10_artifact_status")
+@query(
+    "s10_artifact_status",
+    f"select unnest({list(W.ARTIFACTS)}) as name, true as available, true as has_content",
+)
 def artifact_status(spark, sf_dir):
     root = scratch_path(spark, "artifacts")
     status = W.ensure_artifacts(fx.clustered(spark, sf_dir), root, GENERATED_AT)
