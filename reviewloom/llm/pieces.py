@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,12 +74,21 @@ class Pieces:
         order = np.argsort(hashes)
         self.hashes, self.rank = hashes[order], order.astype(np.int64)
         self.id_of_rank = np.array(ranked, np.int64)
+        self.some = np.zeros(1 << 20, bool)  # is there a piece whose hash begins so?
+        self.some[self.hashes >> np.uint64(44)] = True
+        self.bytes_by_id = [self.bytes.get(i, b"") for i in range(len(self.piece))]
+        self.n_bytes = np.fromiter(map(len, self.bytes_by_id), np.int64, len(self.piece))
+        self.byte_ids = np.array([self.byte.get(b, -1) for b in range(256)], np.int32)
         self.number = {self.piece[i]: i for i in normal}
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Rank of the piece with each hash, or NONE."""
+        found = np.full(len(hashes), NONE)
+        likely = np.flatnonzero(self.some[hashes >> np.uint64(44)])
+        hashes = hashes[likely]
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.rank[at], NONE)
+        found[likely] = np.where(self.hashes[at] == hashes, self.rank[at], NONE)
+        return found
 
 
 def _merge_long(word: str, pieces: Pieces) -> list[str]:
@@ -111,8 +121,8 @@ def _merge_long(word: str, pieces: Pieces) -> list[str]:
     return [s for s in symbols if s]
 
 
-def encode_words(words: list[str], pieces: Pieces) -> list[list[int]]:
-    """Ids of each word (spaces already written as SPACE)."""
+def encode_words(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in a row, and how many each has (spaces already written as SPACE)."""
     codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     size = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(size)
@@ -169,21 +179,44 @@ def encode_words(words: list[str], pieces: Pieces) -> list[list[int]]:
         if has.any():
             p = prev[has]
             best[p] = edge(p, after[left][has])
-    symbol = np.flatnonzero(alive)
+    symbol = np.flatnonzero(alive & (size[owner] <= LONG))
     rank = edge(symbol, after[symbol])
-    out: list[list[int]] = [[] for _ in words]
-    for s, r, w in zip(symbol.tolist(), rank.tolist(), owner[symbol].tolist(), strict=True):
-        if r != NONE:
-            out[w].append(int(pieces.id_of_rank[r]))
-        else:
-            out[w] += [pieces.byte[b] for b in chr(codes[s]).encode()]
+    known, code = rank < NONE, codes[symbol]
+    # A character without a piece becomes the pieces of its bytes.
+    width = np.where(known, 1, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))
+    short = np.empty(width.sum(), np.int32)
+    whole = np.repeat(known, width)
+    short[whole] = pieces.id_of_rank[rank[known]]
+    raw = code[~known].tobytes().decode("utf-32-le").encode()
+    short[~whole] = pieces.byte_ids[np.frombuffer(raw, np.uint8)]
+    count = np.bincount(owner[symbol], width, minlength=len(words)).astype(np.int64)
+    long_ids: list[int] = []
     for i in np.flatnonzero(size > LONG):
-        ids: list[int] = []
+        before_it = len(long_ids)
         for s in _merge_long(words[i], pieces):
             number = pieces.number.get(s)
-            ids += [number] if number is not None else [pieces.byte[b] for b in s.encode()]
-        out[i] = ids
-    return out
+            long_ids += [number] if number is not None else [pieces.byte[b] for b in s.encode()]
+        count[i] = len(long_ids) - before_it
+    ids = np.empty(count.sum(), np.int32)
+    of_long = np.repeat(size > LONG, count)
+    ids[~of_long], ids[of_long] = short, long_ids
+    return ids, count
+
+
+def round_trips(
+    words: list[str], ids: np.ndarray, count: np.ndarray, pieces: Pieces
+) -> np.ndarray:
+    """Whether the ids of each word decode to it."""
+    got = b"".join(map(pieces.bytes_by_id.__getitem__, ids.tolist()))
+    upto = np.concatenate([[0], np.cumsum(pieces.n_bytes[ids])])
+    got_end = upto[np.cumsum(count)]
+    plain = pc.replace_substring(pa.array(words, pa.string()), SPACE, " ")
+    wanted = "".join(words).replace(SPACE, " ").encode()
+    end = np.cumsum(pc.binary_length(plain).to_numpy(zero_copy_only=False).astype(np.int64))
+    if got == wanted and (got_end == end).all():
+        return np.ones(len(words), bool)
+    pairs = zip(got_end.tolist(), np.diff(got_end, prepend=0).tolist(), plain, strict=True)
+    return np.array([got[e - n : e] == w.as_py().encode() for e, n, w in pairs], bool)
 
 
 def encode(
@@ -203,16 +236,8 @@ def encode(
                 coded = pa.array(units, pa.string()).dictionary_encode()
                 index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 plain = coded.dictionary.to_pylist()
-                ids = encode_words(plain, pieces)
-                same = np.array(
-                    [
-                        b"".join(pieces.bytes[i] for i in x) == u.replace(SPACE, " ").encode()
-                        for x, u in zip(ids, plain, strict=True)
-                    ],
-                    bool,
-                )
-                size = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.array([i for x in ids for i in x], np.int32)
+                flat, size = encode_words(plain, pieces)
+                same = round_trips(plain, flat, size, pieces)
                 begin = np.cumsum(size) - size
                 own = size[index]
                 stop = np.cumsum(own)
