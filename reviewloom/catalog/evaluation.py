@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from reviewloom import settings as S
 from reviewloom.catalog.registry import query
 from reviewloom.catalog.sentiment import SHARES, scored_fixture
+from reviewloom.catalog.sqltext import quoted
 from reviewloom.operators import evaluation as E
 from reviewloom.operators import tracking as K
 from reviewloom.plans import fixtures as fx
@@ -354,7 +355,25 @@ def tracked_costs(spark, sf_dir):
     return rows.select("model_id", F.round("macro_f1", 6).alias("macro_f1"), "training_time_seconds", "average_inference_ms")
 
 
-@query("e15_comparison_report")
+COMPARED = ("accuracy", "macro_f1", "negative_f1", "neutral_f1", "positive_f1", "average_inference_ms")
+CELLS = " || ' | ' || ".join(f"cast(round({c}::double, 4) as varchar)" for c in COMPARED)
+
+
+@query(
+    "e15_comparison_report",
+    over_predictions(
+        *CTES,
+        SELECTED,
+        body=f"""select cast(row_number() over (order by part, n) as int) as line_no, line from (
+        select 0 as part, unnest(range(6)) as n, unnest(['# Sentiment Model Comparison', '', '## Final benchmark', '',
+          '| model_name | {' | '.join(COMPARED)} |', '|{'|'.join(['---'] * (1 + len(COMPARED)))}|']) as line
+        union all select 1, row_number() over (order by macro_f1 desc, model_id),
+          '| ' || model_name || ' | ' || {CELLS} || ' |' from named
+        union all select 2, unnest(range(10)), unnest(['', '## Selected production model', '',
+          '**' || model_name || '**', '', reason, '', '## Decision priorities', '',
+          {quoted(E.DECISION_NOTE)}]) from selected) q""",
+    ),
+)
 def comparison_report(spark, sf_dir):
     rows = benchmark(spark, sf_dir)
     return E.comparison_report(rows, E.select_model(rows))

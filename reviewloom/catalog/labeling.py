@@ -45,7 +45,7 @@ LISTS = (
         + ", ".join(
             f"({i}, {T.quoted(name)}, '{word}')"
             for i, (name, words) in enumerate(S.TOPIC_TAXONOMY)
-            for word in words.split()
+            for word in words
         )
         + ") as t(priority, category, token)",
     ),

@@ -381,6 +381,12 @@ def prediction_table(scored: DataFrame, text: str, true: str = "sentiment_label"
     )
 
 
+# Fixed text of the comparison.
+DECISION_NOTE = (
+    "Macro F1 is the primary quality metric. Neutral-class F1 and negative recall are checked "
+    "because these classes are more easily hidden by overall accuracy. Latency and model size "
+    "are used when transformer quality is close."
+)
 COMPARISON_COLUMNS = (
     "model_name",
     "accuracy",
@@ -425,11 +431,7 @@ def comparison_report(benchmark: DataFrame, selected: DataFrame) -> DataFrame:
         F.lit(""),
         F.lit("## Decision priorities"),
         F.lit(""),
-        F.lit(
-            "Macro F1 is the primary quality metric. Neutral-class F1 and negative recall are checked "
-            "because these classes are more easily hidden by overall accuracy. Latency and model size "
-            "are used when transformer quality is close."
-        ),
+        F.lit(DECISION_NOTE),
     ]
     spark = benchmark.sparkSession
     top = literal_rows(spark, [(0, i, line) for i, line in enumerate(head)], "part int, n int, line string")

@@ -34,7 +34,7 @@ def match_category(
     lists: DataFrame, top_n: int = S.NAMING_TERMS, taxonomy=S.TOPIC_TAXONOMY, cluster: str = "cluster_id"
 ) -> DataFrame:
     """Category with most matching terms; ties by earliest term, then taxonomy order."""
-    rows = [(i, name, word) for i, (name, words) in enumerate(taxonomy) for word in words.split()]
+    rows = [(i, name, word) for i, (name, words) in enumerate(taxonomy) for word in words]
     triggers = literal_rows(lists.sparkSession, rows, "priority int, category string, token string")
     hits = (
         _tokens(lists, top_n, cluster)

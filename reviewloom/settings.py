@@ -89,35 +89,58 @@ ENGLISH_STOP_WORDS = tuple(
 
 NEGATION_WORDS = ("no", "nor", "not")
 
-DOMAIN_STOP_WORDS = tuple(
-    """
-    star stars rating ratings rated one two three four five review reviews
-    amazon product products item items purchase purchased order ordered buy
-    bought price seller
-    """.split()
+DOMAIN_STOP_WORDS = (
+    "star", "stars", "rating", "ratings", "rated", "one", "two", "three", "four", "five",
+    "review", "reviews", "amazon", "product", "products", "item", "items", "purchase",
+    "purchased", "order", "ordered", "buy", "bought", "price", "seller",
 )
 
-GENERIC_TERMS = tuple(
-    """
-    great good love loved nice well best excellent product products price buy
-    bought use used using work works worked easy get got really would like
-    """.split()
+GENERIC_TERMS = (
+    "great", "good", "love", "loved", "nice", "well", "best", "excellent", "product",
+    "products", "price", "buy", "bought", "use", "used", "using", "work", "works", "worked",
+    "easy", "get", "got", "really", "would", "like",
 )
 
-# Ordered: the position breaks ties last.
+# Categories and the words that point to them; the position breaks ties last.
 TOPIC_TAXONOMY = (
-    ("Fire Tablets", "tablet tablets kids kid"),
+    (
+        "Fire Tablets",
+        (
+            "tablet", "tablets", "kids", "kid",
+        ),
+    ),
     (
         "Kindle E-Readers & Books",
-        "kindle book books read reading reader ebook paperwhite page pages",
+        (
+            "kindle", "book", "books", "read", "reading", "reader", "ebook", "paperwhite",
+            "page", "pages",
+        ),
+    ),
+    (
+        "Fire TV & Streaming",
+        (
+            "tv", "stick", "streaming", "remote", "roku", "channel", "channels",
+        ),
+    ),
+    (
+        "Echo & Alexa Devices",
+        (
+            "echo", "alexa", "dot", "speaker", "music", "smart", "home",
+        ),
     ),
-    ("Fire TV & Streaming", "tv stick streaming remote roku channel channels"),
-    ("Echo & Alexa Devices", "echo alexa dot speaker music smart home"),
     (
         "Batteries",
-        "battery batteries aa aaa alkaline rayovac charge charged duracell",
+        (
+            "battery", "batteries", "aa", "aaa", "alkaline", "rayovac", "charge", "charged",
+            "duracell",
+        ),
+    ),
+    (
+        "Ease of Use",
+        (
+            "setup", "install", "installation", "instructions", "simple", "intuitive",
+        ),
     ),
-    ("Ease of Use", "setup install installation instructions simple intuitive"),
 )
 
 # Words that the word tokeniser splits in two, as (first part, second part).
@@ -141,7 +164,7 @@ NOUN_SUFFIX_RULES = (
 
 CONTRAST_WORDS = ("but", "however", "although", "though", "yet", "except")
 
-# --- Vectoriser and topic model defaults -----------------------------------
+# --- Fixed values: vectoriser and topic model defaults -----------------------------------
 RANDOM_SEED = 42
 TOPIC_VOCABULARY = {"max_features": 10_000, "min_df": 5, "max_df": 0.85}
 CLASSIFIER_VOCABULARY = {"max_features": 30_000, "min_df": 2, "max_df": 0.95}
