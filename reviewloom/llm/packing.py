@@ -269,8 +269,11 @@ def pack(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoder, packer = Encoder(tokenizer_path), Packer(part << 32)
+        encoder, packer = None, Packer(part << 32)
         for batch in batches:
+            # Tasks without rows need no encoder.
+            if encoder is None and batch.num_rows:
+                encoder = Encoder(tokenizer_path)
             for some in slices(batch):
                 for doc_id, ids in zip(
                     some.column("id").to_pylist(), encoder.encode(some.column("text")), strict=True
@@ -290,13 +293,13 @@ def pack(
     level = 0
     while True:
         level += 1
-        groups = rest.select(F.countDistinct("part")).first()[0]
         merged = staged(_merge(rest, level), "merged")
         finished = finished.unionByName(
             merged.where("sequence_id is not null").select(*PIECE_NAMES)
         )
         rest = merged.where("sequence_id is null")
-        if groups <= FAN_IN or rest.select("part").distinct().limit(2).count() <= 1:
+        # Groups go by number, so few but far apart parts may leave several windows.
+        if rest.select("part").distinct().limit(2).count() <= 1:
             break
     # What is left is one window; a checksum is all it still lacks.
     last = rest.groupBy(F.lit(0).alias("merge")).applyInPandas(_close, PIECE)

@@ -255,6 +255,21 @@ def test_packing_keeps_every_token(spark, odd):
     assert (packing.WINDOW - used).sum() <= packing.WINDOW + packing.SLIVER * len(used)
 
 
+def test_packing_of_many_mostly_empty_partitions(spark):
+    # Two rows, in the first and the last of 650 partitions.
+    rows = [(i, "word " * 1500) for i in range(2)]
+    schema = documents(spark, rows).schema
+    full = [(i, t, None, None, 0, 0) for i, t in rows]
+    parts = [full[:1], *[[]] * 648, full[1:]]
+    spread = spark.createDataFrame(
+        spark.sparkContext.parallelize(parts, 650).flatMap(lambda x: x), schema
+    )
+    got = packing.pack(spread, packing.default_tokenizer()).toPandas()
+    used = got.groupby("sequence_id")["length"].sum()
+    assert used.sum() == got.groupby("doc_id")["doc_tokens"].first().sum()
+    assert used.max() <= packing.WINDOW and (used < packing.WINDOW).sum() <= 1
+
+
 def test_pieces_match_the_model(spark, odd):
     import sentencepiece
 
