@@ -16,6 +16,7 @@ columns are not read.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,12 +37,10 @@ SLIVER = 16  # gaps below this many tokens are padded instead of filled by a cut
 FAN_IN = 512
 RUN = 2_000  # chunks encoded in one string
 
-# Fixed values of byte-level vocabularies: how text is cut before the merges, and
-# the token that stands for no text.
+# Fixed value of byte-level vocabularies: how text is cut before the merges.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-SPECIAL = ("<|endoftext|>",)
 
 PIECE = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -55,7 +54,8 @@ class Encoder:
 
     The vocabulary splits text before each space that a word follows, so the
     chunks between such spaces are encoded alone.  Texts with a space inside a
-    longer run of white space are encoded whole.
+    longer run of white space are encoded whole.  Added tokens of the file, where a
+    text spells them, are one id each and what lies between them is encoded alone.
     """
 
     EDGE = r"\A\z|\A[\s\pZ\x0b\x1c-\x1f\x{85}]|[\s\pZ\x0b\x1c-\x1f\x{85}]\z"
@@ -65,7 +65,13 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        vocabulary = Tokenizer.from_file(path).get_vocab()
+        tokenizer = Tokenizer.from_file(path)
+        vocabulary = tokenizer.get_vocab()
+        added = tokenizer.get_added_tokens_decoder()
+        self.added = {token.content: i for i, token in added.items()}
+        # The longest first, as one may begin another.
+        names = sorted(self.added, key=len, reverse=True)
+        self.any_added = "|".join(map(re.escape, names)) or r"\A\b\B"
         # Byte-level tokens are written with one character per byte: printable
         # bytes as themselves, the others from 256 on, in order.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -75,7 +81,7 @@ class Encoder:
         ranks = {
             bytes(byte_of[c] for c in token): i
             for token, i in vocabulary.items()
-            if all(c in byte_of for c in token) and token not in SPECIAL
+            if all(c in byte_of for c in token) and token not in self.added
         }
         self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
@@ -89,6 +95,18 @@ class Encoder:
         for text in texts:
             yield np.array(self.encoder.encode_ordinary(text), np.uint32)
 
+    def _whole(self, text: str) -> np.ndarray:
+        """Ids of one text, added tokens included."""
+        parts, at = [], 0
+        for found in re.finditer(self.any_added, text):
+            parts += [text[at : found.start()], found.group()]
+            at = found.end()
+        plain = list(self._encoded([*parts[::2], text[at:]]))
+        out = [plain[0]]
+        for name, ids in zip(parts[1::2], plain[1:], strict=True):
+            out += [np.array([self.added[name]], np.uint32), ids]
+        return np.concatenate(out)
+
     def _ids(self, chunks: pa.Array, alone: list[str]) -> tuple[np.ndarray, ...]:
         """The ids of " " + chunk for each chunk, then of the others as they are.
 
@@ -124,6 +142,8 @@ class Encoder:
         """One id array per text, in order."""
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, self.INSIDE_RUN).to_numpy(zero_copy_only=False)
+        for name in self.added:
+            odd = odd | pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
         # A mark in front of all but the first chunk brings its space back.
         lists = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -147,7 +167,7 @@ class Encoder:
         stop = np.concatenate([[0], stop])
         for i in range(len(counts)):
             if odd[i]:
-                yield next(self._encoded([texts[i].as_py()]))
+                yield self._whole(texts[i].as_py())
             else:
                 yield ids[stop[first[i]] : stop[ends[i]]]
 

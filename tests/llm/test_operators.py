@@ -270,6 +270,19 @@ def test_packing_of_many_mostly_empty_partitions(spark):
     assert used.max() <= packing.WINDOW and (used < packing.WINDOW).sum() <= 1
 
 
+def test_encoder_knows_added_tokens():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [end, f"a {end} b", f"one{end}{end}two  {end} ", "no such <|endof text|>", None, f"é{end}\n x"]
+    wanted = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    got = [ids.tolist() for ids in packing.Encoder(path).encode(pa.array(texts))]
+    assert got == wanted and sum(ids.count(tokenizer.token_to_id(end)) for ids in got) == 6
+
+
 def test_pieces_match_the_model(spark, odd):
     import sentencepiece
 
