@@ -27,10 +27,14 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group.
 
+    Links are three bits of SimHash or a 5-word Jaccard similarity of 0.8 or more.
+
     Rows of one id are one document, the first of them stays.  Rows without an id
     cannot be named and stay.
     """
-    groups = simhash.near_duplicate_groups(docs.where("doc_id is not null"))
+    groups = simhash.near_duplicate_groups(
+        docs.where("doc_id is not null"), radius=simhash.RADIUS, similar=simhash.SIMILAR
+    )
     first = groups.select(F.col("component").alias("doc_id")).distinct()
     # One narrow row per group against one row per id: nothing to be skewed.
     chosen = docs.join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
