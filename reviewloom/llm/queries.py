@@ -5,12 +5,16 @@ from __future__ import annotations
 from reviewloom.llm.multiindex import op4_inverted_multi_index
 from reviewloom.llm.outliers import op3_robust_outliers
 from reviewloom.llm.packing import op5_bounded_packing
+from reviewloom.llm.periodic import op13_periodic_runs
 from reviewloom.llm.pieces import op10_piece_lattice
+from reviewloom.llm.prefixtrie import ORACLE_SQL as PREFIX_TRIE_SQL
+from reviewloom.llm.prefixtrie import op11_prefix_trie
 from reviewloom.llm.sharding import op1_sampled_splitters
 from reviewloom.llm.simhash import op7_simhash_bk_trees
 from reviewloom.llm.sitequality import op8_site_bayes
 from reviewloom.llm.substrings import op6_seed_extend
 from reviewloom.llm.toxicity import op2_noisy_or_toxicity
+from reviewloom.llm.transducer import op12_token_transducer
 from reviewloom.llm.urlrules import op9_url_association_rules
 
 QUERIES = {
@@ -26,9 +30,12 @@ QUERIES = {
         op8_site_bayes,
         op9_url_association_rules,
         op10_piece_lattice,
+        op11_prefix_trie,
+        op12_token_transducer,
+        op13_periodic_runs,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE_SQL}
 
 # Windows of 35 words by text; fit for small tables, as each window is spelled out.
 ORACLE["op6_seed_extend"] = r"""with texts as (
