@@ -15,13 +15,6 @@ together grow with the corpus.
 Inside a shard only links that join two groups are kept, so a dense shard gives
 one link less than it has fingerprints, not all its pairs.
 
-``near_duplicate_groups`` also links texts whose sets of WIDTH-word shingles have a
-Jaccard similarity of SIMILAR or more (``similar=None`` leaves that out), which three
-bits rarely reach.  Candidates share one of COPY_BANDS bands of COPY_ROWS minima; a
-pair at 0.8 shares none once in 20,000.  Every such link is checked on the whole sets.
-First each member of a bucket meets the least and the next one; then all pairs of a
-bucket that are still in different groups.
-
 Null and empty texts have fingerprint zero and are linked like any other.  Equal
 texts share one fingerprint, searched once.  Null ids take no part in naming a
 component; where a component has no other id its name is null.  Empty table: no
@@ -35,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import Words, read_table, slices, staged
@@ -45,10 +38,7 @@ RADIUS = 3
 SEED = 42
 BANDS = 4
 SHARD_LIMIT = 20_000
-WIDTH = 5
-SIMILAR = 0.8
-COPY_BANDS = 25
-COPY_ROWS = 5
+WIDTH = 3  # words of a shingle
 FRONTIER = 1 << 20  # (query, node) pairs looked at together
 
 
@@ -103,48 +93,31 @@ def _shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def fingerprints_of(texts: pa.Array) -> np.ndarray:
     """Fingerprints (uint64) of a batch of texts."""
-    return _fold_bits(*_shingles(texts, 3))
-
-
-def copy_prints_of(texts: pa.Array) -> tuple[list, list, list]:
-    """Per text: a hash of its shingle set, the set, and the keys of its bands; None if empty."""
-    import xxhash
-
-    hashes, starts, ends = _shingles(texts, WIDTH)
-    some = np.flatnonzero(ends > starts)
-    rng = np.random.default_rng(SEED)
-    odd = rng.integers(0, 1 << 63, (2, COPY_BANDS, COPY_ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
-    keys = np.zeros((len(some), COPY_BANDS), np.uint64)
-    for band in range(COPY_BANDS if len(some) else 0):
-        for row in range(COPY_ROWS):
-            least = np.minimum.reduceat(hashes * odd[0, band, row], starts[some])
-            least ^= least >> np.uint64(29)
-            keys[:, band] = (keys[:, band] + least) * odd[1, band, row]
-            keys[:, band] ^= keys[:, band] >> np.uint64(31)
-    copies, sets, bands = ([None] * len(starts) for _ in range(3))
-    for i, own in zip(some.tolist(), keys.view(np.int64), strict=True):
-        sets[i] = np.unique(hashes[starts[i] : ends[i]]).view(np.int64)
-        digest = xxhash.xxh64_intdigest(sets[i].tobytes(), SEED)
-        copies[i] = digest - (1 << 64) if digest >> 63 else digest
-        bands[i] = own
-    return copies, sets, bands
+    return _fold_bits(*_shingles(texts, WIDTH))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of each whole text as a signed bigint."""
+    """(id, fp, text_hash): the fingerprint of each whole text as a signed bigint."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fps = fingerprints_of(part.column("text")).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").cast(pa.int64()), pa.array(fps)], ["id", "fp"]
+                    [part.column("id").cast(pa.int64()), pa.array(fps), part.column("text_hash")],
+                    ["id", "fp", "text_hash"],
                 )
 
+    text = F.col(text_col).cast("string")
     chosen = docs.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("bigint").alias("id"), text.alias("text"), text_hash(text).alias("text_hash")
     )
-    return chosen.mapInArrow(work, "id bigint, fp bigint")
+    return chosen.mapInArrow(work, "id bigint, fp bigint, text_hash bigint")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -313,94 +286,14 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT)
     return shard_links(shards.unionByName(split.select("shard", "fp", "node")), radius)
 
 
-def copy_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, copy, shingles, bands): fingerprint and shingle set of each whole text."""
-    many = pa.list_(pa.int64())
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                fps = fingerprints_of(part.column("text")).view(np.int64)
-                copies, sets, bands = copy_prints_of(part.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id").cast(pa.int64()),
-                        pa.array(fps),
-                        pa.array(copies, pa.int64()),
-                        pa.array(sets, many),
-                        pa.array(bands, many),
-                    ],
-                    ["id", "fp", "copy", "shingles", "bands"],
-                )
-
-    chosen = docs.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    return chosen.mapInArrow(
-        work, "id bigint, fp bigint, copy bigint, shingles array<bigint>, bands array<bigint>"
-    )
-
-
-def copy_links(prints: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links (a, b) of texts by ``copy``, which connect all pairs found at ``similar`` or more."""
-    sets = staged(
-        prints.where("copy is not null").select("copy", "shingles", "bands").dropDuplicates(["copy"]),
-        "shingle_sets",
-    )
-    bands = sets.select("copy", F.size("shingles").alias("n"), F.posexplode("bands"))
-    dealt = bands.select(F.xxhash64("pos", "col").alias("key"), "copy", "n")
-    # Only buckets of two or more; the sum of a bucket is partial before it is dealt.
-    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("copy").alias("least"))
-    held = staged(
-        dealt.join(shared.where("m > 1").hint("merge"), "key").select("key", "copy", "n", "least"),
-        "buckets",
-    )
-
-    def checked(pairs: DataFrame, name: str) -> DataFrame:
-        one = sets.select(F.col("copy").alias("a"), F.col("shingles").alias("sa"))
-        two = sets.select(F.col("copy").alias("b"), F.col("shingles").alias("sb"))
-        both = pairs.distinct().join(one.hint("merge"), "a").join(two.hint("merge"), "b")
-        inside = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - inside
-        return staged(both.where(inside >= F.lit(similar) * union).select("a", "b"), name)
-
-    # Each member with the least of its bucket and with the next one.
-    after = F.lead("copy").over(Window.partitionBy("key").orderBy("copy"))
-    near = held.select("copy", "least", after.alias("after"))
-    near = near.select("copy", F.explode(F.array("least", "after")).alias("other"))
-    near = near.where("copy != other").select(
-        F.least("copy", "other").alias("a"), F.greatest("copy", "other").alias("b")
-    )
-    first = checked(near, "copy_links")
-    groups = staged(components(first), "copy_groups")
-    named = held.join(groups.hint("merge"), held["copy"] == groups["node"], "left").select(
-        "key", "copy", "n", F.coalesce("component", "copy").alias("root")
-    )
-    named = staged(named, "named")
-    open_keys = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    apart = named.join(open_keys.where("r0 != r1").select("key").hint("merge"), "key")
-    x, y = apart.alias("x"), apart.alias("y")
-    # A pair under this ratio of sizes cannot be as similar.
-    pairs = x.join(
-        y,
-        F.expr("x.key = y.key and x.copy < y.copy and x.root != y.root")
-        & (F.least("x.n", "y.n") >= F.lit(similar) * F.greatest("x.n", "y.n")),
-    ).select(F.col("x.copy").alias("a"), F.col("y.copy").alias("b"))
-    return first.unionByName(checked(pairs, "copy_links"))
-
-
 def near_duplicate_groups(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    radius: int = RADIUS,
-    similar: float | None = SIMILAR,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
 ) -> DataFrame:
-    """(id, fp, component): component is the smallest id reachable over links."""
-    if similar is None:
-        prints = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    else:
-        prints = staged(copy_prints(docs, id_col, text_col), "fingerprints")
+    """(id, fp, text_hash, root, component): component is the smallest id reachable over links.
+
+    Two groups may share that id where it has several texts; ``root`` tells them apart.
+    """
+    prints = staged(fingerprints(docs, id_col, text_col), "fingerprints")
     known = prints.where(F.col("id").isNotNull())
     distinct = known.groupBy("fp").agg(F.min("id").alias("least"))
     unnamed = prints.where(F.col("id").isNull()).select("fp").distinct()
@@ -410,25 +303,17 @@ def near_duplicate_groups(
         "nodes",
     )
     links = near_links(nodes.select("fp", "node"), radius)
-    if similar is not None:
-        # Sets are nodes of their own beside fingerprints, under another hash.
-        other = lambda c: F.xxhash64(F.lit("copy"), c)
-        links = links.unionByName(
-            copy_links(prints, similar).select(other("a").alias("a"), other("b").alias("b"))
-        ).unionByName(
-            prints.where("copy is not null").select(F.col("fp").alias("a"), other("copy").alias("b")).distinct()
-        )
     groups = components(links)
     member = nodes.join(groups, "node", "left").select(
         "fp", "least", F.coalesce("component", "node").alias("root")
     )
     named = member.groupBy("root").agg(F.min("least").alias("component"))
-    by_print = member.join(named, "root").select("fp", "component")
-    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    by_print = member.join(named, "root").select("fp", "root", "component")
+    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), "fp", "text_hash", "root", "component")
 
 
 def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = near_duplicate_groups(read_table(spark, sf_dir, "documents"), similar=None)
+    groups = near_duplicate_groups(read_table(spark, sf_dir, "documents"))
     return groups.select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
