@@ -3,21 +3,28 @@
 Vectors are split into two halves.  Each half is quantised by its own centroids,
 fitted on at most SAMPLE vectors; a pair of centroids is a cell of the index, and
 every vector is in it.  A query walks the cells in the order of its summed scores
-for the two centroids (a heap over the two sorted lists) until the cells hold
-PROBE_SHARE of the entries, and all entries of those cells are reranked by the
-exact inner product, in double precision.
+for the two centroids (a heap over the two sorted lists) until the cells hold as many
+entries as the index was found to need, and all entries of those cells are reranked by
+the exact inner product, in double precision.
+
+How many entries that are is measured, at every size alike: for PROBES queries, a
+bounded sample, the true neighbours among all entries are found by brute force, and
+the walk goes so far that it meets AIM of them.  Vectors that lie in clusters need a
+small share of the index, vectors without any structure most of it.
 
 Entries are distinct vectors: of equal vectors at most k + 1 ids can be among any
 k nearest, so an entry carries its k + 1 smallest ids, and a vector that very many
-rows share costs one.  Queries of equal vectors are searched once.  Queries meet
-the cells in blocks: a task holds the entries of a block of cells as one matrix
-and gives each query's best of it.
+rows share costs one.  Queries of equal vectors are searched once.  Cells are dealt to
+blocks of about BLOCK_ENTRIES entries, a large cell to several; queries meet a block in
+groups of at most about QUERY_GROUP, so no task holds more than one block and one group.
+Scores of the entries that may count are summed once more, correctly rounded, so they
+and their ties do not depend on how the entries were dealt.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor
-do rows with a null id; neither as query nor as candidate.  Vectors of another length
-than most take no part either.  Rows repeated with id and vector count once.  Ties go
-to the smaller id.  Fewer candidates than k: all of them.  Empty table: no rows.
-Other columns are not read.
+do rows with a null id; neither as query nor as candidate.  Vectors of different
+lengths have no inner product: each length is searched by itself.  Rows repeated with
+id and vector count once.  Ties go to the smaller id.  Fewer candidates than k: all of
+them.  Empty table: no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +32,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,11 +45,12 @@ K = 20
 QUERY_STEP = 20  # ids divisible by it are queries
 SAMPLE = 20_000  # vectors the centroids are fitted on
 ROUNDS = 12
-PROBE_SHARE = 0.35
-LEAST_PROBED = 2_000  # entries
+PROBES = 256  # queries by which the length of a walk is measured
+AIM = 0.94  # share of their true neighbours that the walk has to meet
 BLOCK_ENTRIES = 4_096
+QUERY_GROUP = 4_096
 QUERY_BLOCK = 512
-MOST_CENTROIDS = 256  # of a half; 65,536 cells at most
+MOST_CENTROIDS = 1_024  # of a half; about a million cells at most
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -54,10 +63,7 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col(id_col).cast("bigint").alias("id"),
         F.col(vector_col).cast("array<double>").alias("vector"),
     ).where(F.col("id").isNotNull() & v.isNotNull())
-    good = own.where(finite & F.exists(v, lambda x: x != 0)).where(F.size("vector") > 1)
-    sizes = good.groupBy(F.size("vector").alias("n")).count()
-    usual = sizes.orderBy(F.desc("count"), "n").first()
-    return good.where(F.size("vector") == (usual["n"] if usual else 0))
+    return own.where(finite & F.exists(v, lambda x: x != 0))
 
 
 def fit_centroids(entries: DataFrame, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +72,7 @@ def fit_centroids(entries: DataFrame, count: int) -> tuple[np.ndarray, np.ndarra
     draw = F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) / float(1 << 30)
     rows = entries.where(draw < share).select("vector").limit(2 * SAMPLE).toArrow()
     x = np.array(rows.column("vector").to_pylist(), np.float64)
-    number = int(min(MOST_CENTROIDS, max(2, round(math.sqrt(count) / 8)), len(x)))
+    number = int(min(MOST_CENTROIDS, max(2, round(math.sqrt(count) / 2)), len(x)))
     halves = np.split(x, [x.shape[1] // 2], axis=1)
     rng = np.random.default_rng(7)
     out = []
@@ -105,6 +111,60 @@ def walk(scores_left: np.ndarray, scores_right: np.ndarray) -> Iterator[int]:
             heapq.heappush(heap, (-(sa[i + 1] + sb[0]), i + 1, 0))
 
 
+def exact(query: np.ndarray, entries: np.ndarray) -> list[float]:
+    """Inner products, correctly rounded sums; of single-precision vectors exact but for that."""
+    return [math.fsum(row) for row in (entries * query).tolist()]
+
+
+def entries_needed(
+    entries: DataFrame,
+    queries: DataFrame,
+    left: np.ndarray,
+    right: np.ndarray,
+    sizes: np.ndarray,
+    k: int,
+) -> int:
+    """Entries a walk has to hold to meet AIM of the true neighbours of sampled queries."""
+    order = F.xxhash64("vector")
+    asked = np.array(
+        [r["vector"] for r in queries.select("vector").orderBy(order).limit(PROBES).collect()]
+    )
+    if not len(asked):
+        return int(sizes.sum())
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The best of a task for each sampled query, with their cells."""
+        score, cell = np.zeros((len(asked), 0)), np.zeros((len(asked), 0), np.int64)
+        for pdf in batches:
+            matrix = np.stack(pdf["vector"].to_numpy())
+            score = np.hstack([score, asked @ matrix.T])
+            cell = np.hstack([cell, np.tile(_cells(matrix, left, right), (len(asked), 1))])
+            keep = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
+            score = np.take_along_axis(score, keep, axis=1)
+            cell = np.take_along_axis(cell, keep, axis=1)
+        if score.shape[1]:
+            number = np.repeat(np.arange(len(asked)), score.shape[1])
+            yield pd.DataFrame({"query": number, "score": score.ravel(), "cell": cell.ravel()})
+
+    found = entries.select("vector").mapInPandas(best, "query bigint, score double, cell bigint")
+    # One row per sampled query: its k + 1 best of all tasks.
+    top = found.groupBy("query").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "cell"))), 1, k + 1).alias("top")
+    )
+    half, needed = left.shape[1], []
+    for r in top.collect():
+        vector, wanted = asked[r["query"]], {x["cell"] for x in r["top"]}
+        seen, at = 0, {}
+        for cell in walk(left @ vector[:half], right @ vector[half:]):
+            seen += int(sizes[cell])
+            if cell in wanted:
+                at[cell] = seen
+                if len(at) == len(wanted):
+                    break
+        needed += [at[x["cell"]] for x in r["top"]]
+    return int(np.quantile(needed, AIM, method="higher"))
+
+
 def nearest(
     rows: DataFrame,
     k: int = K,
@@ -113,9 +173,20 @@ def nearest(
     query_step: int = QUERY_STEP,
 ) -> DataFrame:
     """(query_id, rank, id, score): the k nearest found of each query."""
-    spark = rows.sparkSession
-    result = f"query_id bigint, rank int, {id_col} bigint, score double"
     own = usable(rows, id_col, vector_col)
+    lengths = sorted(r["n"] for r in own.select(F.size("vector").alias("n")).distinct().collect())
+    found = [
+        _nearest(own.where(F.size("vector") == n), k, query_step).withColumnRenamed("id", id_col)
+        for n in lengths
+    ]
+    if not found:
+        schema = f"query_id bigint, rank int, {id_col} bigint, score double"
+        return rows.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(own: DataFrame, k: int, query_step: int) -> DataFrame:
+    """(query_id, rank, id, score) among vectors of one length."""
     # Partial aggregates keep k + 1 ids of a vector, whatever the number of its rows.
     some = own.distinct().withColumn("salt", F.pmod("id", F.lit(64)))
     least = F.slice(F.array_sort(F.collect_set("id")), 1, k + 1)
@@ -127,10 +198,8 @@ def nearest(
         "entries",
     )
     count = entries.count()
-    if not count:
-        return spark.createDataFrame([], result)
     left, right = fit_centroids(entries, count)
-    cells = len(left) * len(right)
+    half, cells = left.shape[1], len(left) * len(right)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -144,10 +213,18 @@ def nearest(
     sizes = np.zeros(cells, np.int64)
     for r in index.groupBy("cell").count().collect():
         sizes[r["cell"]] = r["count"]
-    # Neighbouring cells are dealt to blocks of about BLOCK_ENTRIES entries.
-    block_of = (np.cumsum(sizes) - sizes) // BLOCK_ENTRIES
-    wanted = max(LEAST_PROBED, math.ceil(PROBE_SHARE * count))
-    half = left.shape[1]
+    # Distinct query vectors, with the rows that ask for them.
+    asking = own.where(F.col("id") % query_step == 0).distinct()
+    queries = staged(
+        asking.select("vector", "id").groupBy("vector").agg(F.min("id").alias("query")), "queries"
+    )
+    wanted = entries_needed(index, queries, left, right, sizes, k)
+    # Neighbouring cells share a block; a large cell has several blocks of its own.
+    blocks_of = np.maximum(1, -(-sizes // BLOCK_ENTRIES))
+    small = blocks_of == 1
+    shared = (np.cumsum(sizes * small) - sizes * small) // BLOCK_ENTRIES
+    first_block = np.where(small, shared, shared.max(initial=0) + 1 + np.cumsum(blocks_of * ~small) - blocks_of)
+    groups = max(1, math.ceil(queries.count() / QUERY_GROUP))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -160,23 +237,30 @@ def nearest(
                         seen += sizes[cell]
                     if seen >= wanted:
                         break
-                blocks = block_of[found]
-                for block in np.unique(blocks):
-                    inside = np.array(found)[blocks == block].tolist()
-                    out.append((number, vector, int(block), inside))
+                found = np.array(found)
+                starts, many = first_block[found], blocks_of[found]
+                cell = np.repeat(found, many)
+                block = np.repeat(starts - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                by = np.argsort(block, kind="stable")
+                cuts = np.flatnonzero(np.diff(block[by], prepend=-1))
+                for inside, b in zip(np.split(cell[by], cuts[1:]), block[by][cuts], strict=True):
+                    out.append((number, vector, int(b), inside.tolist()))
             yield pd.DataFrame(out, columns=["query", "vector", "block", "cells"])
 
-    # Distinct query vectors, with the rows that ask for them.
-    asking = own.where(F.col("id") % query_step == 0).distinct()
-    queries = staged(
-        asking.select("vector", "id").groupBy("vector").agg(F.min("id").alias("query")), "queries"
-    )
     probes = queries.mapInPandas(
         probe, "query bigint, vector array<double>, block int, cells array<int>"
+    ).withColumn("part", F.pmod(F.xxhash64("query"), F.lit(groups)))
+
+    def to_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            cell = pdf["cell"].to_numpy()
+            spread = pdf["spread"].to_numpy() % blocks_of[cell]
+            yield pdf.drop(columns="spread").assign(block=(first_block[cell] + spread).astype(np.int32))
+
+    dealt = index.withColumn("spread", F.pmod(F.xxhash64("vector"), F.lit(1 << 30))).mapInPandas(
+        to_block, "vector array<double>, ids array<bigint>, cell int, block int"
     )
-    blocks = index.withColumn(
-        "block", F.element_at(F.lit(block_of.tolist()), F.col("cell") + 1).cast("int")
-    )
+    blocks = dealt.withColumn("part", F.explode(F.sequence(*(F.lit(n).cast("bigint") for n in (0, groups - 1)))))
 
     def rerank(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         columns = ["query", "ids", "scores"]
@@ -185,32 +269,32 @@ def nearest(
         matrix = np.stack(held["vector"].to_numpy())
         cell = held["cell"].to_numpy()
         ids = held["ids"].to_list()
-        first = np.array([i[0] for i in ids])
+        longest = np.sqrt((matrix**2).sum(1).max())
         out = []
         for a in range(0, len(asked), QUERY_BLOCK):
             part = asked.iloc[a : a + QUERY_BLOCK]
-            scores = np.stack(part["vector"].to_numpy()) @ matrix.T
-            for row, number, cells_asked in zip(scores, part["query"], part["cells"], strict=True):
+            vectors = np.stack(part["vector"].to_numpy())
+            rough = vectors @ matrix.T
+            # Rounding of a product of this block is far below this.
+            slack = 1e-9 * longest * np.sqrt((vectors**2).sum(1))
+            for q, row, off, number, cells_asked in zip(
+                vectors, rough, slack, part["query"], part["cells"], strict=True
+            ):
                 at = np.flatnonzero(np.isin(cell, cells_asked))
                 if len(at) > k + 1:
-                    # All entries as good as the k + 1st, so that ties are settled by id.
+                    # All entries that may be as good as the k + 1st.
                     edge = np.partition(row[at], len(at) - k - 1)[len(at) - k - 1]
-                    at = at[row[at] >= edge]
-                order = at[np.lexsort((first[at], -row[at]))]
-                got, value = [], []
-                for entry in order:
-                    got += list(ids[entry])
-                    value += [row[entry]] * len(ids[entry])
-                    # One place more, since the query itself may be among them.
-                    if len(got) > k and row[entry] != row[order[-1]] and len(got) > 4 * k:
-                        break
-                out.append((number, got, value))
+                    at = at[row[at] >= edge - off]
+                score = exact(q, matrix[at])
+                pairs = [(-s, i) for s, e in zip(score, at, strict=True) for i in ids[e]]
+                # One place more, since the query itself may be among them.
+                best = heapq.nsmallest(k + 1, pairs)
+                out.append((number, [i for _, i in best], [-s for s, _ in best]))
         return pd.DataFrame(out, columns=columns)
 
-    # The scores of one pair are summed anew below, in one order for all.
     found = (
-        probes.groupBy("block")
-        .cogroup(blocks.groupBy("block"))
+        probes.groupBy("block", "part")
+        .cogroup(blocks.groupBy("block", "part"))
         .applyInPandas(rerank, "query bigint, ids array<bigint>, scores array<double>")
     )
     found = staged(found, "found")
@@ -234,7 +318,7 @@ def nearest(
     return each.select("query_id", F.posexplode("near").alias("at", "x")).select(
         "query_id",
         (F.col("at") + 1).cast("int").alias("rank"),
-        F.col("x.ids").alias(id_col),
+        F.col("x.ids").alias("id"),
         F.col("x.scores").alias("score"),
     )
 
