@@ -47,6 +47,23 @@ def odd(spark):
     return rows
 
 
+def test_texts_without_id_of_equal_short_hash_stay_apart(spark):
+    """Two texts whose 32-bit hashes are equal; a third row repeats the first."""
+    made = spark.range(1 << 18).select(F.expr("concat('w', id, ' ', repeat('x ', 1))").alias("t"))
+    made = made.select(F.expr("concat_ws(' ', transform(sequence(1, 40), i -> concat(trim(t), i)))").alias("t"))
+    clash = (
+        made.groupBy(F.hash("t", F.lit(True)).alias("h"))
+        .agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .first()
+    )
+    rows = [(None, clash.a), (None, clash.b), (5, clash.a)]
+    got = substrings.remove_repeats(documents(spark, rows)).collect()
+    left = sorted((r.doc_id or 0, r.n_removed) for r in got)
+    n = len(clash.a.split())
+    assert left == [(0, 0), (0, n), (5, n)]
+
+
 def test_shards_are_even_and_gapless(spark, odd):
     got = sharding.shard_by_bytes(documents(spark, odd), shards=4).collect()
     assert len(got) == len(odd)
@@ -225,6 +242,44 @@ def test_neighbours_recall(spark):
     assert set(got) == set(range(0, 3000, 20))
 
 
+def test_recall_on_vectors_without_structure(spark):
+    """20,000 normal vectors of 64 components: the hard case for any index."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(8)
+    got = collections.defaultdict(list)
+    for r in multiindex.nearest(table, query_step=200).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    x, found = x.astype(np.float64), 0
+    for q in range(0, 20_000, 200):
+        score = x @ x[q]
+        score[q] = -np.inf
+        found += len(set(np.argsort(-score)[:20]) & {v for _, v, _ in got[q]})
+    assert found / (100 * 20) >= 0.9
+
+
+def test_products_that_are_equal_go_to_the_smaller_id(spark, monkeypatch):
+    """Different vectors of one product; other lengths, repeated ids and columns beside."""
+    monkeypatch.setattr(multiindex, "BLOCK_ENTRIES", 3)
+    monkeypatch.setattr(multiindex, "QUERY_GROUP", 1)
+    monkeypatch.setattr(multiindex, "entries_needed", lambda *_: 10**9)  # walk to the end
+    rng = np.random.default_rng(5)
+    base = rng.permutation([0.1, 0.3, 0.7, 1.1, 1.3, 1.7, 1.9, 2.3])
+    rows = [(0, [1.0] * 8)] + [(i, rng.permutation(base).tolist()) for i in range(1, 60)]
+    rows += [(7, [9.0] * 8), (20, [2.0] * 3), (21, [1.0] * 3), (22, [5.0]), (40, [4.0])]
+    full = [(i, v, "x", 1.0) for i, v in rows]
+    schema = "vec_id bigint, embedding array<float>, query_id string, score double"
+    got = collections.defaultdict(list)
+    found = multiindex.nearest(spark.createDataFrame(full, schema), k=10)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    # Every permutation has the same sum, which is its product with the ones.
+    assert [v for v, _ in got[0]] == [7, *range(1, 10)]
+    assert len({s for v, s in got[0] if v != 7}) == 1
+    assert (21, 6.0) in got[20] and (22, 20.0) in got[40]
+
+
 def test_walk_is_in_order():
     rng = np.random.default_rng(9)
     a, b = rng.normal(size=6), rng.normal(size=7)
@@ -328,6 +383,61 @@ def test_url_rules(spark):
     assert all((by_id[100 + i].verdict == "block") == (i % 5 == 0) for i in range(400))
 
 
+def mined(spark, urls, bad):
+    """Rules (tokens, confidence) of pages numbered in order."""
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string")
+    labels = spark.createDataFrame(
+        [(i, 0 if b else 1, 0) for i, b in enumerate(bad)], "doc_id bigint, quality int, toxic int"
+    )
+    tokens = urlrules.tokens(urlrules.parsed(pages))
+    return pages, labels, tokens, urlrules.mined_rules(tokens, labels)
+
+
+def test_url_rules_against_brute_force(spark):
+    """All rules of a small table, by trying every set of its tokens."""
+    import itertools
+
+    random.seed(21)
+    urls, bad = [], []
+    for _ in range(500):
+        host = random.choice(["a.com", "b.a.com", "c.org"])
+        names = [n for n in "pqrs" if random.random() < 0.5]
+        urls.append(f"http://{host}/" + random.choice(["x", "y"]) + "?" + "&".join(f"{n}=1" for n in names))
+        bad.append(set("pqr") <= set(names) or (host == "c.org" and random.random() < 0.5))
+    _, _, tokens, rules = mined(spark, urls, bad)
+    sets = [frozenset(r.tokens) for r in tokens.orderBy("page_id").collect()]
+    least = max(urlrules.LEAST_PAGES, int(np.ceil(urlrules.LEAST_SUPPORT * len(urls))))
+    sure = {}
+    for size in range(1, 8):
+        for some in itertools.combinations(sorted(frozenset().union(*sets)), size):
+            hit = [b for s, b in zip(sets, bad, strict=True) if s.issuperset(some)]
+            if sum(hit) >= least and sum(hit) >= 0.8 * len(hit):
+                sure[frozenset(some)] = sum(hit) / len(hit)
+    kept = {s: c for s, c in sure.items() if not any(t < s and sure[t] >= c for t in sure)}
+    got = {frozenset(r.tokens): r.confidence for r in rules.collect()}
+    # Of sets on the very same pages any one may stand for the others.
+    pages_of = lambda s: frozenset(i for i, x in enumerate(sets) if x >= s)
+    assert {pages_of(s): c for s, c in got.items()} == {pages_of(s): c for s, c in kept.items()}
+
+
+def test_url_rules_of_four_tokens_and_of_deep_paths(spark):
+    """Four query names that are bad only together; paths of forty parts; a host of many dots."""
+    random.seed(3)
+    urls, bad = [], []
+    for i in range(400):
+        names = list("abcd") if i < 40 else random.sample("abcd", 3)
+        urls.append("http://h.net/?" + "&".join(f"{n}={i}" for n in names))
+        bad.append(i < 40)
+    deep = "/".join(f"part-{j}x" for j in range(40))
+    urls += [f"http://deep.org/{deep}/{i}" for i in range(60)] + ["http://" + "d." * 3000 + "net/"] * 30
+    bad += [i < 30 for i in range(60)] + [True] * 30
+    pages, labels, _, _ = mined(spark, urls, bad)
+    verdict = {r.page_id: r.verdict for r in urlrules.judge(pages, labels, rules=()).collect()}
+    assert all((verdict[i] == "block") == (i < 40) for i in range(400))
+    assert all(verdict[i] == "allow" for i in range(400, 460))
+    assert all(verdict[i] == "block" for i in range(460, 490))
+
+
 def test_sites_shrink_toward_the_prior(spark):
     rows = [("=big", "=a", int(i % 10 == 0)) for i in range(400)]
     rows += [("=fine", "=a", 1) for _ in range(400)] + [("=tiny", "=a", 0)]

@@ -1,7 +1,5 @@
 """The corpus pipeline: what each stage keeps."""
 
-import pyarrow as pa
-
 import corpus_pipeline as pipeline
 from reviewloom.llm import simhash
 from reviewloom.llm.common import read_table, staged
@@ -34,26 +32,21 @@ def test_near_duplicate_stage_keeps_rows_without_id(spark, sf_dir):
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
 
 
-def test_near_duplicate_stage_drops_copies_beyond_three_bits(spark, sf_dir):
-    rows = [r for r in read_table(spark, sf_dir, "documents").collect() if r.doc_id is not None]
-    rows.sort(key=lambda r: r.doc_id)
+def test_near_duplicate_stage_keeps_another_text_of_an_id(spark, sf_dir):
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "q r s t u v"), (3, "q r s t u v"), (2, None)]
+    docs = spark.createDataFrame(
+        [(i, t, None, None, 0, "x") for i, t in rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, component string",
+    )
+    kept = pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [
+        (1, "a b c d"),
+        (2, ""),
+        (2, "q r s t u v"),
+    ]
 
-    def grams(text):
-        w = (text or "").lower().split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
-    sets = [grams(r.text) for r in rows]
-    prints = simhash.fingerprints_of(pa.array([r.text for r in rows])).tolist()
-    near = [
-        (rows[a].doc_id, rows[b].doc_id, (prints[a] ^ prints[b]).bit_count())
-        for b in range(len(rows))
-        for a in range(b)
-        if sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    ]
-    assert any(bits > 3 for _, _, bits in near)
-    docs = read_table(spark, sf_dir, "documents")
-    groups = simhash.near_duplicate_groups(docs).collect()
-    group = {r.doc_id: r.component for r in groups}
-    assert all(group[a] == group[b] for a, b, _ in near)
-    kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()}
-    assert kept == set(group.values())
+def test_near_duplicate_stage_takes_an_empty_table(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").where("false")
+    assert pipeline.drop_near_duplicates(spark, docs, sf_dir).count() == 0
