@@ -25,20 +25,24 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group.
+    """The document of the smallest id of each group of fingerprints within 3 bits.
 
-    Links are three bits of SimHash or a 5-word Jaccard similarity of 0.8 or more.
-
-    Rows of one id are one document, the first of them stays.  Rows without an id
-    cannot be named and stay.
+    A row repeated with its id and text stays once; of several texts of one id that
+    name the group, the one of the smallest hash stays.  Rows without an id cannot be
+    named and stay.
     """
-    groups = simhash.near_duplicate_groups(
-        docs.where("doc_id is not null"), radius=simhash.RADIUS, similar=simhash.SIMILAR
+    known = docs.where("doc_id is not null")
+    groups = simhash.near_duplicate_groups(known, radius=simhash.RADIUS)
+    first = (
+        groups.groupBy("root")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+        .select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("__hash"))
     )
-    first = groups.select(F.col("component").alias("doc_id")).distinct()
     # One narrow row per group against one row per id: nothing to be skewed.
-    chosen = docs.join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    hashed = known.withColumn("__hash", simhash.text_hash(F.col("text")))
+    chosen = hashed.join(first.hint("merge"), ["doc_id", "__hash"], "left_semi")
+    once = chosen.dropDuplicates(["doc_id", "__hash"])
+    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
