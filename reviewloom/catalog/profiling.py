@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from reviewloom.catalog.registry import query
+from reviewloom.functions import text as X
 from reviewloom.operators import profiling as P
+from reviewloom.operators import sketches as K
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
 
@@ -70,6 +72,81 @@ def vocabulary(spark, sf_dir):
     return P.vocabulary_size(fx.reviews_raw(spark, sf_dir), "review_text")
 
 
+RANK_ERROR = 0.005
+FRACTIONS = (0.05, 0.25, 0.5, 0.75, 0.95)
+FRACTION_ROWS = ", ".join(f"({f}::double)" for f in FRACTIONS)
+
+
+def sized(spark, sf_dir):
+    """Sizes of the review texts by source, and their names."""
+    raw = fx.reviews_raw(spark, sf_dir)
+    sizes = P.text_sizes("review_text")
+    return raw.select("source_dataset", *[v.alias(n) for n, v in sizes.items()]), {n: F.col(n) for n in sizes}
+
+
+@query(
+    "p02b_text_quantiles",
+    sql_over(
+        "reviews_raw",
+        SIZES,
+        ("fractions", f"select * from (values {FRACTION_ROWS}) as f(fraction)"),
+        body="""select measure, fraction, n, low, high, true as within_error from (
+        select 'characters' as measure, count(*) as n, min(characters)::double as low, max(characters)::double as high from sizes
+        union all select 'words', count(*), min(words)::double, max(words)::double from sizes) s cross join fractions""",
+    ),
+)
+def text_quantiles(spark, sf_dir):
+    """Quantiles from per-source sketches united afterwards, held against exact ranks."""
+    sizes, values = sized(spark, sf_dir)
+    united = K.unite_quantiles(
+        K.quantile_sketches(sizes, values, ["source_dataset"], RANK_ERROR), rank_error=RANK_ERROR
+    )
+    gaps = K.rank_gaps(sizes, values, K.quantiles_of(united, FRACTIONS))
+    bounds = united.select("measure", "low", "high")
+    # Uniting costs at most the error of the parts once more.
+    return gaps.join(bounds, "measure").select(
+        "measure", "fraction", "n", "low", "high", (F.col("gap") <= 2 * RANK_ERROR).alias("within_error")
+    )
+
+
+WORD_ROWS = r"""select source_dataset, unnest(regexp_split_to_array(lower(review_text), '\s+')) as word
+  from reviews_raw"""
+
+
+@query(
+    "p03b_vocabulary_sketches",
+    sql_over(
+        "reviews_raw",
+        ("words", WORD_ROWS),
+        body="""select source_dataset, count(distinct word) as vocabulary_size, true as within_error
+        from words where word <> '' group by 1
+        union all select 'all', count(distinct word), true from words where word <> ''""",
+    ),
+)
+def vocabulary_sketches(spark, sf_dir):
+    """Vocabulary per source and of their union from stored sketches, beside exact counts."""
+    raw = fx.reviews_raw(spark, sf_dir)
+    words = raw.select(
+        "source_dataset", F.explode(X.split_words(F.lower("review_text"))).alias("word")
+    )
+    parts = K.distinct_sketches(words, {"word": F.col("word")}, ["source_dataset"])
+    estimates = K.distinct_estimates(parts, ["source_dataset"]).unionByName(
+        K.distinct_estimates(K.unite_distinct(parts)).withColumn("source_dataset", F.lit("all"))
+    )
+    exact = (
+        words.groupBy("source_dataset")
+        .agg(F.count_distinct("word").alias("vocabulary_size"))
+        .unionByName(
+            words.agg(F.lit("all").alias("source_dataset"), F.count_distinct("word").alias("vocabulary_size"))
+        )
+    )
+    return exact.join(estimates, "source_dataset").select(
+        "source_dataset",
+        "vocabulary_size",
+        K.within(F.col("estimate"), F.col("vocabulary_size")).alias("within_error"),
+    )
+
+
 @query("p04_quality_report", sql_over("reviews_raw", body=QUALITY_SQL))
 def quality_report(spark, sf_dir):
     return P.quality_report(fx.reviews_raw(spark, sf_dir).select(*RAW_COLUMNS))
@@ -104,6 +181,36 @@ def distinct(spark, sf_dir):
     return P.distinct_counts(fx.reviews_raw(spark, sf_dir), RAW_COLUMNS)
 
 
+@query(
+    "p06b_distinct_sketches",
+    sql_over(
+        "reviews_raw",
+        body=" union all ".join(
+            f"select '{c}' as measure, count(distinct {c}) as distinct_values, true as within_error, "
+            "true as union_is_whole from reviews_raw"
+            for c in RAW_COLUMNS
+        ),
+    ),
+)
+def distinct_sketches(spark, sf_dir):
+    """Per-source sketches united, against the sketch of the whole table and exact counts."""
+    raw = fx.reviews_raw(spark, sf_dir)
+    values = {c: F.col(c) for c in RAW_COLUMNS}
+    united = K.unite_distinct(K.distinct_sketches(raw, values, ["source_dataset"]))
+    whole = K.unite_distinct(K.distinct_sketches(raw, values))
+    exact = P.distinct_counts(raw, RAW_COLUMNS).withColumnRenamed("column_name", "measure")
+    return (
+        exact.join(K.distinct_estimates(united), "measure")
+        .join(K.distinct_estimates(whole).withColumnRenamed("estimate", "estimate_of_whole"), "measure")
+        .select(
+            "measure",
+            "distinct_values",
+            K.within(F.col("estimate"), F.col("distinct_values")).alias("within_error"),
+            (F.col("estimate") == F.col("estimate_of_whole")).alias("union_is_whole"),
+        )
+    )
+
+
 @query(
     "p07_value_counts",
     sql_over(
@@ -156,6 +263,36 @@ def describe(spark, sf_dir):
     return P.describe_numeric(fx.reviews_labelled(spark, sf_dir), "rating")
 
 
+@query(
+    "p10b_describe_approximate",
+    sql_over(
+        "reviews_raw",
+        ("lengths", "select length(coalesce(review_text, '')) as len from reviews_raw"),
+        body=f"""select count(*) as row_count, round(avg(len), 6) as mean, round(stddev_samp(len), 6) as std,
+        min(len)::double as minimum, max(len)::double as maximum, true as p25_ok, true as p50_ok,
+        true as p75_ok from lengths""",
+    ),
+)
+def describe_approximate(spark, sf_dir):
+    """The sketch's quartiles, each told only by whether its exact rank is close enough."""
+    lengths = fx.reviews_raw(spark, sf_dir).select(
+        F.length(F.coalesce("review_text", F.lit(""))).alias("len")
+    )
+    found = P.describe_numeric(lengths, "len", approximate=RANK_ERROR)
+    quartiles = found.unpivot([], ["p25", "p50", "p75"], "name", "value").select(
+        F.lit("len").alias("measure"),
+        (F.substring("name", 2, 2).cast("double") / 100).alias("fraction"),
+        "value",
+    )
+    gaps = K.rank_gaps(lengths, {"len": F.col("len")}, quartiles)
+    ok = gaps.groupBy("measure").pivot("fraction", [0.25, 0.5, 0.75]).agg(F.max(F.col("gap") <= RANK_ERROR))
+    numbers = found.select(F.lit("len").alias("measure"), "row_count", "mean", "std", "minimum", "maximum")
+    return numbers.join(ok, "measure").select(
+        *["row_count", "mean", "std", "minimum", "maximum"],
+        *[F.col(f"`{f}`").alias(n) for f, n in ((0.25, "p25_ok"), (0.5, "p50_ok"), (0.75, "p75_ok"))],
+    )
+
+
 @query(
     "p11_longest",
     sql_over(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions import text as X
+from reviewloom.operators import sketches as K
 from reviewloom.plans.shapes import col, duplicate_count, weighted_percentiles
 
 
@@ -31,12 +32,30 @@ def overview(df: DataFrame) -> DataFrame:
     return base.unionByName(copies)
 
 
-def text_statistics(df: DataFrame, column: str) -> DataFrame:
-    """Mean, median, minimum and maximum of characters and words."""
+def text_sizes(column: str) -> dict[str, Column]:
+    """Characters and words of a text, NULL as empty."""
     text = F.coalesce(col(column), F.lit(""))
-    sizes = df.select(
-        F.length(text).alias("characters"), X.word_count(text).alias("words")
-    )
+    return {"characters": F.length(text), "words": X.word_count(text)}
+
+
+def text_statistics(df: DataFrame, column: str, approximate: float | None = None) -> DataFrame:
+    """Mean, median, minimum and maximum of characters and words.
+
+    ``approximate`` is the rank error allowed for the medians; they then come from
+    quantile sketches instead of a table of all sizes.
+    """
+    sizes = df.select(*[v.alias(n) for n, v in text_sizes(column).items()])
+    if approximate is not None:
+        parts = {n: F.col(n) for n in ("characters", "words")}
+        means = sizes.agg(*[F.round(F.avg(n), 2).alias(n) for n in parts]).unpivot(
+            [], list(parts), "measure", "average"
+        )
+        summary = K.quantile_sketches(sizes, parts, rank_error=approximate).select(
+            "measure", K.quantile("sketch", 0.5).alias("median"), F.col("low").alias("minimum"), F.col("high").alias("maximum")
+        )
+        return means.join(summary, "measure").unpivot(
+            ["measure"], ["average", "median", "minimum", "maximum"], "statistic", "value"
+        ).select(F.concat_ws("_", "statistic", "measure").alias("metric"), "value")
     # One narrow (measure, size, count) histogram feeds all eight numbers.
     histogram = (
         sizes.unpivot([], ["characters", "words"], "measure", "size")
@@ -129,19 +148,29 @@ def missing_by(df: DataFrame, group: str, column: str) -> DataFrame:
     )
 
 
-def describe_numeric(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, standard deviation, minimum, quartiles and maximum."""
+def describe_numeric(df: DataFrame, column: str, approximate: float | None = None) -> DataFrame:
+    """Count, mean, standard deviation, minimum, quartiles and maximum.
+
+    Exact quartiles gather the distinct values of the column.  ``approximate`` is a rank
+    error instead: quartiles come from a quantile sketch of bounded size.
+    """
     v = col(column)
+    if approximate is None:
+        quartiles = [
+            F.percentile(v, F.lit(f)).alias(n) for n, f in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+        ]
+        names = ["p25", "p50", "p75"]
+    else:
+        quartiles = [F.kll_sketch_agg_double(v.cast("double"), F.lit(K.kll_size(approximate))).alias("__s")]
+        names = [K.quantile("__s", f).alias(n) for n, f in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
     return df.where(v.isNotNull()).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.round(F.avg(v), 6).alias("mean"),
         F.round(F.stddev_samp(v), 6).alias("std"),
         F.min(v).cast("double").alias("minimum"),
-        F.percentile(v, F.lit(0.25)).alias("p25"),
-        F.percentile(v, F.lit(0.5)).alias("p50"),
-        F.percentile(v, F.lit(0.75)).alias("p75"),
+        *quartiles,
         F.max(v).cast("double").alias("maximum"),
-    )
+    ).select("row_count", "mean", "std", "minimum", *names, "maximum")
 
 
 def longest_texts(df: DataFrame, column: str, n: int = 5, keep: Sequence[str] = ("review_id",)) -> DataFrame:
@@ -213,7 +242,11 @@ def length_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
 
 
-def length_quartiles(df: DataFrame, column: str) -> DataFrame:
-    """The five numbers behind a box plot of text length."""
+def length_quartiles(df: DataFrame, column: str, approximate: float | None = None) -> DataFrame:
+    """The five numbers behind a box plot of text length; ``approximate`` is a rank error."""
     lengths = df.select(F.length(F.coalesce(col(column), F.lit(""))).alias("len"))
-    return weighted_percentiles(lengths, "len", (0.0, 0.25, 0.5, 0.75, 1.0))
+    fractions = (0.0, 0.25, 0.5, 0.75, 1.0)
+    if approximate is None:
+        return weighted_percentiles(lengths, "len", fractions)
+    found = K.quantile_sketches(lengths, {"len": F.col("len")}, rank_error=approximate)
+    return found.select(*[K.quantile("sketch", f).alias(f"p{int(f * 100)}") for f in fractions])
