@@ -1,7 +1,7 @@
 """M: sentiment model queries."""
 
-from functools import lru_cache
-
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
@@ -9,9 +9,10 @@ from reviewloom.catalog.registry import query
 from reviewloom.functions import text as X
 from reviewloom.operators import evaluation as E
 from reviewloom.operators import sentiment as M
+from reviewloom.operators import stages
 from reviewloom.plans import fixtures as fx
+from reviewloom.plans import model_store
 from reviewloom.plans.fixtures import sql_over
-from reviewloom.plans.shapes import located_by
 from reviewloom.session import scratch_path
 
 SPLIT = (
@@ -25,9 +26,13 @@ SPLIT = (
 )
 
 
+def reviews_of(spark, sf_dir, spread=False):
+    reviews = fx.reviews_labelled(spark, sf_dir, spread)
+    return reviews.select("review_id", "review_text", "sentiment_label")
+
+
 def classical(spark, sf_dir):
-    reviews = fx.reviews_labelled(spark, sf_dir).select("review_id", "review_text", "sentiment_label")
-    return located_by(reviews, "review_id").select(
+    return reviews_of(spark, sf_dir).select(
         "review_id", X.classical_text(F.col("review_text")).alias("classical_text"), "sentiment_label"
     )
 
@@ -73,31 +78,115 @@ def class_weights(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 6))
 
 
-@lru_cache(maxsize=8)
-def trained(spark, sf_dir):
-    """The classifier fitted on the training split; shared by the queries of one session."""
-    part = M.stratified_split(classical(spark, sf_dir))
-    return M.train_classifier(part.where("split = 'train'"))
+def training_part(spark, sf_dir):
+    """Reviews of the training split; split before any text is cleaned."""
+    return M.stratified_split(reviews_of(spark, sf_dir, spread=True)).where("split = 'train'")
+
+
+def trained(spark, sf_dir) -> str:
+    """Folder of the pipeline fitted on the training split."""
+    return model_store.stored(
+        spark, "sentiment", sf_dir, lambda _: stages.sentiment_pipeline().fit(training_part(spark, sf_dir))
+    )
+
+
+def scored(spark, sf_dir):
+    """All reviews with the predictions of the stored pipeline."""
+    return model_store.load(trained(spark, sf_dir)).transform(reviews_of(spark, sf_dir))
 
 
 @query("m04_train_classifier")
 def train(spark, sf_dir):
-    """Validation metrics of a freshly fitted model."""
-    part = M.stratified_split(classical(spark, sf_dir))
-    model = M.train_classifier(part.where("split = 'train'"))
-    scored = M.predict(part.where("split = 'validation'"), model)
-    return E.metrics(E.prediction_table(scored, "classical_text"))
+    """Validation metrics of a freshly fitted pipeline."""
+    part = M.stratified_split(reviews_of(spark, sf_dir, spread=True))
+    model = stages.sentiment_pipeline().fit(part.where("split = 'train'"))
+    judged = model.transform(part.where("split = 'validation'"))
+    return E.metrics(E.prediction_table(judged, "classical_text"))
+
+
+@query(
+    "m04b_training_facts",
+    sql_over(
+        "reviews_labelled",
+        SPLIT,
+        body="""select count(*) filter (where split = 'train') as training_rows,
+        count(*) filter (where split = 'validation') as validation_rows, true as beats_the_largest_class,
+        true as weights_settled from split_""",
+    ),
+)
+def training_facts(spark, sf_dir):
+    """Is the fitted model any good: macro F1 against always naming the largest class."""
+    part = M.stratified_split(reviews_of(spark, sf_dir))
+    counts = part.agg(
+        F.count_if(F.col("split") == "train").alias("training_rows"),
+        F.count_if(F.col("split") == "validation").alias("validation_rows"),
+    )
+    model = model_store.load(trained(spark, sf_dir))
+    table = E.prediction_table(
+        model.transform(part.where("split = 'validation'")), "classical_text"
+    ).persist()
+    largest = table.groupBy("true_label").count().orderBy(F.desc("count"), "true_label").first()[0]
+    plain = E.metrics(table.withColumn("predicted_label", F.lit(largest))).first()["macro_f1"]
+    found = E.metrics(table).first()["macro_f1"]
+    table.unpersist()
+    fitted = model.stages[-1].fitted.classifier
+    steady = bool(np.isfinite(fitted.coefficientMatrix.toArray()).all())
+    return counts.withColumns(
+        {"beats_the_largest_class": F.lit(found > plain), "weights_settled": F.lit(steady)}
+    )
 
 
 @query("m05_top_features")
 def top_features(spark, sf_dir):
-    return M.top_features(spark, trained(spark, sf_dir), top_n=15)
+    fitted = model_store.load(trained(spark, sf_dir)).stages[-1].fitted
+    return M.top_features(spark, fitted, top_n=15)
+
+
+@query(
+    "m05b_top_feature_facts",
+    f"""select unnest({list(S.SENTIMENT_LABELS)}) as sentiment_class, 15 as features,
+    true as ranked, true as in_order, true as one_or_two_words""",
+)
+def top_feature_facts(spark, sf_dir):
+    """Per class: fifteen features, ranks without gaps, weights falling, words or pairs."""
+    best = top_features(spark, sf_dir)
+    before = F.lag("coefficient").over(Window.partitionBy("sentiment_class").orderBy("rank"))
+    checked = best.withColumn("falls", F.coalesce(before >= F.col("coefficient"), F.lit(True)))
+    return checked.groupBy("sentiment_class").agg(
+        F.count_distinct("feature").cast("int").alias("features"),
+        (F.array_sort(F.collect_list("rank")) == F.sequence(F.lit(1), F.lit(15))).alias("ranked"),
+        F.bool_and("falls").alias("in_order"),
+        F.bool_and(F.size(F.split("feature", " ")) <= 2).alias("one_or_two_words"),
+    )
 
 
 @query("m07_predict")
 def predict(spark, sf_dir):
-    scored = M.predict(classical(spark, sf_dir), trained(spark, sf_dir))
-    return scored.drop("classical_text", "sentiment_label")
+    return scored(spark, sf_dir).drop("review_text", "classical_text", "sentiment_label")
+
+
+def prediction_facts_of(predicted):
+    """Per review: do the probabilities add up, and does the label have the largest?"""
+    probabilities = [F.col(f"probability_{v}") for v in S.SENTIMENT_LABELS]
+    total = sum(probabilities[1:], probabilities[0])
+    named = F.element_at(
+        F.map_from_arrays(F.array(*[F.lit(v) for v in S.SENTIMENT_LABELS]), F.array(*probabilities)),
+        F.col("predicted_sentiment"),
+    )
+    return predicted.select(
+        "review_id",
+        (F.abs(total - 1) < 1e-9).alias("adds_up"),
+        (named == F.greatest(*probabilities)).alias("label_is_likeliest"),
+        (F.col("sentiment_confidence") == F.greatest(*probabilities)).alias("confidence_is_largest"),
+    )
+
+
+FACTS = "true as adds_up, true as label_is_likeliest, true as confidence_is_largest"
+
+
+@query("m07b_prediction_facts", sql_over("reviews_labelled", body=f"select review_id, {FACTS} from reviews_labelled"))
+def prediction_facts(spark, sf_dir):
+    return prediction_facts_of(scored(spark, sf_dir))
 
 
 LOGITS = "list_transform(embedding[1:3]::double[], lambda x: x)"
@@ -161,23 +250,63 @@ def record(spark, sf_dir):
     )
 
 
-@query("m10_enrich")
-def enrich(spark, sf_dir):
+def enriched(spark, sf_dir):
+    """The enriched table, written and read back."""
     reviews = classical(spark, sf_dir).withColumn("rating_source", F.lit("reviews"))
     path = scratch_path(spark, "enriched")
-    M.enrich_reviews(reviews, trained(spark, sf_dir), path=path)
+    fitted = model_store.load(trained(spark, sf_dir)).stages[-1].fitted
+    M.enrich_reviews(reviews, fitted, path=path)
     return spark.read.parquet(path)
 
 
-@query("m11_load_selected")
-def load_selected(spark, sf_dir):
-    """Predictions of the reloaded model that a selection record names."""
-    path = scratch_path(spark, "sentiment")
-    M.save_model(spark, trained(spark, sf_dir), path)
+@query("m10_enrich")
+def enrich(spark, sf_dir):
+    return enriched(spark, sf_dir)
+
+
+@query(
+    "m10b_enriched_facts",
+    sql_over(
+        "reviews_labelled",
+        body=f"select review_id, sentiment_label, 'reviews' as rating_source, {FACTS} from reviews_labelled",
+    ),
+)
+def enriched_facts(spark, sf_dir):
+    """Every review is there with its own columns, and its predictions hold together."""
+    table = enriched(spark, sf_dir)
+    own = table.select("review_id", "sentiment_label", "rating_source")
+    return own.join(prediction_facts_of(table), "review_id")
+
+
+def selected(spark, sf_dir):
+    """The stored pipeline that a selection record names."""
     chosen = spark.createDataFrame(
         [("sentiment_01", "TF-IDF Logistic Regression", 0.5, "only candidate")],
         "model_id string, model_name string, macro_f1 double, reason string",
     )
-    E.selection_record(chosen, path).write.text(f"{path}/selection")
-    model = M.load_selected(spark, f"{path}/selection")
-    return M.predict(classical(spark, sf_dir), model).drop("classical_text", "sentiment_label")
+    record = scratch_path(spark, "selection")
+    E.selection_record(chosen, trained(spark, sf_dir)).write.text(record)
+    return model_store.load(spark.read.json(record).first()["artifact_path"])
+
+
+@query("m11_load_selected")
+def load_selected(spark, sf_dir):
+    """Predictions of the reloaded model that a selection record names."""
+    found = selected(spark, sf_dir).transform(reviews_of(spark, sf_dir))
+    return found.drop("review_text", "classical_text", "sentiment_label")
+
+
+@query(
+    "m11b_reloaded_is_fitted",
+    sql_over("reviews_labelled", body="select review_id, true as same from reviews_labelled"),
+)
+def reloaded_is_fitted(spark, sf_dir):
+    """Per review: does the pipeline saved, named and loaded score as one saved again?"""
+    model = selected(spark, sf_dir)
+    path = scratch_path(spark, "again")
+    model.write().save(path)
+    reviews = reviews_of(spark, sf_dir)
+    names = [f"probability_{v}" for v in S.SENTIMENT_LABELS]
+    one = model.transform(reviews).select("review_id", F.array(*names).alias("before"))
+    two = model_store.load(path).transform(reviews).select("review_id", F.array(*names).alias("after"))
+    return one.join(two, "review_id").select("review_id", (F.col("before") == F.col("after")).alias("same"))
