@@ -164,6 +164,19 @@ def artifact_size(spark, sf_dir):
     return stored.unionByName(absent)
 
 
+@query(
+    "e06b_size_of_known_bytes",
+    "select 'ten bytes a row' as artifact, round(count(*) * 10 / 1048576.0, 9) as size_mb from documents",
+)
+def size_of_known_bytes(spark, sf_dir):
+    """Size of a text artifact whose bytes follow from the number of rows."""
+    ids = fx.table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("value"))
+    path = scratch_path(spark, "ids")
+    ids.write.text(path)
+    size = files.size_mb(spark, path)
+    return size.select(F.lit("ten bytes a row").alias("artifact"), F.round("size_mb", 9).alias("size_mb"))
+
+
 SELECTED = (
     "selected",
     """select w.model_id, w.model_name, w.macro_f1, case when gain >= 0.01 and (neutral > 0 or recall > 0)
@@ -300,7 +313,7 @@ def alignment(spark, sf_dir):
     ),
 )
 def upsert(spark, sf_dir):
-    """Tracking rows after two logged runs, through versioned storage."""
+    """Tracking rows after two logged runs, through a logged table."""
     path = scratch_path(spark, "tracking")
     for features, shift in (("old run", 0.0), ("new run", 1.0)):
         runs = benchmark(spark, sf_dir).withColumn("features", F.lit(features))
@@ -310,10 +323,10 @@ def upsert(spark, sf_dir):
             runs = runs.unionByName(kept)
         else:
             runs = runs.where("model_id = 'sentiment_03'")
-        existing, version = files.read_versioned(spark, path, "model_id string, features string, macro_f1 double")
-        files.write_versioned(K.upsert(existing, runs, "model_id"), path, version + 1)
-    latest, _ = files.read_versioned(spark, path, "model_id string, features string, macro_f1 double")
-    return rounded(latest)
+        files.append_entry(runs, path)
+    return rounded(
+        files.read_logged(spark, path, "model_id string, features string, macro_f1 double", "model_id")
+    )
 
 
 @query(

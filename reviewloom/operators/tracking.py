@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
-from reviewloom.plans.shapes import checked_broadcast, col
-from reviewloom.sources.files import read_versioned, write_versioned
+from reviewloom.plans.shapes import col
+from reviewloom.sources.files import append_entry, read_logged
 
 TRACKING_SCHEMA = ", ".join(f"{n} {t}" for n, t in S.TRACKING_COLUMNS)
 ABLATION_SCHEMA = ", ".join(f"{n} {t}" for n, t in S.ABLATION_COLUMNS)
@@ -22,7 +22,7 @@ def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     if key not in existing.columns:
         fallback = F.col("model_name") if "model_name" in existing.columns else F.lit("")
         existing = existing.withColumn(key, fallback)
-    replaced = checked_broadcast(new.select(col(key).cast("string").alias("__k")).distinct())
+    replaced = new.select(col(key).cast("string").alias("__k")).distinct()
     kept = existing.join(replaced, col(key).cast("string") == F.col("__k"), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
@@ -42,14 +42,17 @@ def experiment_row(
 ) -> DataFrame:
     """One tracking row; hyperparameters become sorted JSON."""
     now = timestamp_utc or datetime.now(timezone.utc).isoformat(timespec="seconds")
+    known = {name for name, _ in S.TRACKING_COLUMNS}
+    # Evaluation calls the accuracy on held-out rows just "accuracy".
+    measured = {"validation_accuracy" if k == "accuracy" else k: v for k, v in metrics.items()}
+    measured.update({k: metrics[k] for k in ("validation_accuracy",) if k in metrics})
     values = {
         **fields,
-        **{k: metrics[k] for k in metrics if k in dict(S.TRACKING_COLUMNS)},
-        "validation_accuracy": metrics.get("validation_accuracy", metrics.get("accuracy")),
+        **{k: v for k, v in measured.items() if k in known},
         "hyperparameters": json.dumps(hyperparameters or {}, sort_keys=True, default=str),
         "timestamp_utc": now,
     }
-    unknown = sorted(set(values) - {n for n, _ in S.TRACKING_COLUMNS})
+    unknown = sorted(set(values) - known)
     if unknown:
         raise ValueError(f"unknown tracking fields {unknown}")
     casts = {"bigint": int, "int": int, "double": float, "string": str}
@@ -60,18 +63,19 @@ def experiment_row(
 
 
 def log_experiment(spark: SparkSession, path: str, row: DataFrame) -> DataFrame:
-    """Add or replace the run of one model in the tracking table below ``path``."""
-    existing, version = read_versioned(spark, path, TRACKING_SCHEMA)
-    write_versioned(upsert(existing, row, "model_id"), path, version + 1)
-    return read_versioned(spark, path, TRACKING_SCHEMA)[0]
+    """Add or replace the run of one model in the tracking table below ``path``.
+
+    Writers at the same time do not lose each other's runs.
+    """
+    append_entry(row, path)
+    return read_logged(spark, path, TRACKING_SCHEMA, "model_id")
 
 
 def record_ablation(spark: SparkSession, path: str, row: dict[str, Any]) -> DataFrame:
     """Add or replace one ablation by experiment_id; fields not given are NULL."""
-    existing, version = read_versioned(spark, path, ABLATION_SCHEMA)
     new = spark.createDataFrame([tuple(row.get(n) for n, _ in S.ABLATION_COLUMNS)], ABLATION_SCHEMA)
-    write_versioned(upsert(existing, new, "experiment_id"), path, version + 1)
-    return read_versioned(spark, path, ABLATION_SCHEMA)[0]
+    append_entry(new, path)
+    return read_logged(spark, path, ABLATION_SCHEMA, "experiment_id")
 
 
 def latest_costs(benchmark: DataFrame, tracking: DataFrame) -> DataFrame:

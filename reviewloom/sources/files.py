@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,26 +15,42 @@ from pyspark.sql import functions as F
 from reviewloom.plans.shapes import col, literal_rows
 
 
+def _fields_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some line of the files at ``path`` has an odd number of quotes.
+
+    If none has, no quoted field holds a line break.  The search is distributed and ends
+    at the first such line.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Iterable[str],
     schema: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     source: str = "file",
 ) -> DataFrame:
     """CSV with a ``source_dataset`` column taken from the file (or folder) name.
 
-    A source_dataset column in the file is kept.  ``multi_line=False`` lets Spark
-    split large files when no field holds a line break.
+    A source_dataset column in the file is kept.  Spark splits large files among tasks
+    unless a field may hold a line break.  ``multi_line`` says whether that is so; left
+    out, each path is looked through first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    df = (reader.schema(schema) if schema else reader).csv(paths)
-    if "source_dataset" in df.columns:
-        return df
+    reader = spark.read.option("header", True).option("escape", '"')
+    reader = reader.schema(schema) if schema else reader
+    whole = [p for p in paths if multi_line or (multi_line is None and _fields_span_lines(spark, p))]
+    parts = [p for p in paths if p not in whole]
+    read = [reader.option("multiLine", kind).csv(some) for kind, some in ((False, parts), (True, whole)) if some]
     pattern = r"([^/]+?)(?:\.[^./]*)?$" if source == "file" else r"([^/]+)/[^/]*$"
-    stem = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return df.select("*", F.url_decode(stem).alias("source_dataset"))
+    stem = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+    named = [
+        df if "source_dataset" in df.columns else df.select("*", stem.alias("source_dataset"))
+        for df in read
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 def read_all(spark: SparkSession, files: Mapping[str, str], **options) -> dict[str, DataFrame]:
@@ -117,22 +135,40 @@ def size_mb(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).agg((F.sum("length") / (1024 * 1024)).alias("size_mb"))
 
 
-# --- append-only versions ------------------------------------------------------------
+# --- logged tables --------------------------------------------------------------------
+# A small table that several writers change at once.  A write adds an entry, a folder of
+# its own name that nobody else touches, and then one record that names the entry, so
+# writers cannot undo each other, none has to wait or try again, and an entry whose writer
+# was lost is never read.  A read folds the entries in order of time.
+
+
+def append_entry(df: DataFrame, path: str, written_at: str | None = None) -> str:
+    """Add the rows as one entry; returns its name, which sorts by time of writing."""
+    now = written_at or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    entry = f"{now}-{uuid.uuid4().hex}"
+    df.coalesce(1).write.mode("errorifexists").parquet(f"{path}/data/entry={entry}")
+    record = df.sparkSession.createDataFrame([(entry,)], "entry string").coalesce(1)
+    record.write.mode("errorifexists").parquet(f"{path}/log/{entry}")
+    return entry
 
 
-def read_versioned(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
-    """Newest version of a small tracked table, and its number (0 when none)."""
+def read_entries(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All rows of all finished entries, with the ``entry`` they came from."""
+    with_entry = f"{schema}, entry string"
     try:
-        versions = spark.read.parquet(path).select("version")
+        log = spark.read.option("recursiveFileLookup", True).schema("entry string").parquet(f"{path}/log")
     except AnalysisException:
-        return spark.createDataFrame([], schema), 0
-    newest = versions.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/version={newest}"), newest
+        return spark.createDataFrame([], with_entry)
+    paths = [f"{path}/data/entry={r['entry']}" for r in log.collect()]
+    return spark.read.schema(with_entry).option("basePath", f"{path}/data").parquet(*paths)
 
 
-def write_versioned(df: DataFrame, path: str, version: int) -> None:
-    """A complete new version beside the old ones, so readers never see half a table."""
-    df.write.mode("errorifexists").parquet(f"{path}/version={version}")
+def read_logged(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """The table as it stands: for each key the rows of the newest entry that has it."""
+    rows = read_entries(spark, path, schema)
+    newest = rows.groupBy(key).agg(F.max("entry").alias("newest"))
+    kept = rows.join(newest.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")))
+    return kept.where("entry = newest").drop("entry", "newest", "__key")
 
 
 def rename_dotted(df: DataFrame, by: str = "_") -> DataFrame:
