@@ -1,6 +1,7 @@
 """V: vectorisation and topic model queries."""
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reviewloom.catalog import sqltext as T
@@ -11,7 +12,6 @@ from reviewloom.operators import topics as P
 from reviewloom.operators import vectorize as V
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
-from reviewloom.plans.shapes import located_by
 
 CLASSICAL = (
     "classical",
@@ -47,21 +47,21 @@ def over_labelled(*parts, body):
 
 
 def classical(spark, sf_dir):
-    reviews = located_by(fx.reviews_labelled(spark, sf_dir).select("review_id", "review_text"), "review_id")
+    reviews = fx.reviews_labelled(spark, sf_dir, spread=True)
     return reviews.select("review_id", X.classical_text(F.col("review_text")).alias("classical_text"))
 
 
 def fitted(spark, sf_dir):
     """Classical texts, their term counts, the vocabulary table and the text count."""
     texts = classical(spark, sf_dir).persist()
-    counts = V.term_counts(texts, located=True)
+    counts = V.term_counts(texts)
     n = fx.reviews_labelled(spark, sf_dir).count()
     return texts, counts, V.vocabulary(counts, n), n
 
 
 @query("v01_ngrams", over_labelled(*CTES[:3], body="select review_id, term, tf from grams"))
 def ngrams(spark, sf_dir):
-    return V.term_counts(classical(spark, sf_dir), located=True)
+    return V.term_counts(classical(spark, sf_dir))
 
 
 @query("v02_vocabulary", over_labelled(*CTES[:4], body="select term, doc_count, total_count from vocab"))
@@ -92,6 +92,30 @@ def svd(spark, sf_dir):
     )
 
 
+@query(
+    "v04b_svd_residuals",
+    f"""select unnest(range(1, {P.S.SVD_COMPONENTS + 1}))::int as component, true as falls, true as apart,
+    true as leading_is_exact""",
+)
+def svd_residuals(spark, sf_dir):
+    """Per component: no larger than the one before, at right angles to the others, and, for
+    the first ten, a singular vector within two percent."""
+    _, basis, projected = P.represent(classical(spark, sf_dir))
+    found = P.svd_residuals(projected, basis)
+    P.release(projected)
+    inner = np.abs(basis.T @ basis - np.eye(basis.shape[1])).max(axis=0)
+    angles = spark.createDataFrame([(i, float(a)) for i, a in enumerate(inner, 1)], "component int, inner double")
+    # One row per component.
+    order = Window.orderBy("component")
+    falls = F.coalesce(F.lag("singular_value").over(order) >= F.col("singular_value") * (1 - 1e-9), F.lit(True))
+    return found.join(angles, "component").select(
+        "component",
+        falls.alias("falls"),
+        (F.col("inner") < 1e-8).alias("apart"),
+        ((F.col("component") > 10) | (F.col("residual") < 0.02)).alias("leading_is_exact"),
+    )
+
+
 def embeddings(spark, sf_dir):
     return fx.table(spark, sf_dir, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"), "label"
@@ -118,12 +142,59 @@ def kmeans(spark, sf_dir):
     )
 
 
+@query(
+    "v06b_kmeans_facts",
+    """select vec_id, 6 as clusters, true as nearest, true as centre_is_mean from embeddings""",
+)
+def kmeans_facts(spark, sf_dir):
+    """Per vector: is its centroid the nearest, and the mean of its members?"""
+    points = embeddings(spark, sf_dir).persist()
+    centres, _ = P.kmeans(points, [6], vector="embedding", key="vec_id")[6]
+    placed = P.assign(points, centres, "embedding")
+    gaps = [
+        F.aggregate(
+            F.zip_with("embedding", F.array(*[F.lit(float(x)) for x in c]), lambda x, y: (x - y) * (x - y)),
+            F.lit(0.0),
+            lambda acc, x: acc + x,
+        )
+        for c in centres
+    ]
+    means = P.group_centroids(placed.select("cluster_id", "embedding"), "embedding", "cluster_id").collect()
+    moved = {r["cluster_id"]: float(np.abs(np.array(r["centre"]) - centres[r["cluster_id"]]).max()) for r in means}
+    still = [k for k, gap in moved.items() if gap < 0.02]
+    own = F.get(F.array(*gaps), F.col("cluster_id"))
+    return placed.select(
+        "vec_id",
+        F.lit(len(means)).alias("clusters"),
+        (own <= F.array_min(F.array(*gaps)) + 1e-9).alias("nearest"),
+        F.col("cluster_id").isin(still).alias("centre_is_mean"),
+    )
+
+
 @query("v07_k_sweep")
 def sweep(spark, sf_dir):
     _, basis, projected = P.represent(classical(spark, sf_dir))
     return P.sweep_cluster_counts(projected, basis)
 
 
+@query(
+    "v07b_sweep_facts",
+    f"""select unnest({list(P.S.CLUSTER_COUNTS)})::int as n_clusters, {P.S.SVD_COMPONENTS} as svd_components,
+    true as inertia_falls, true as silhouette_in_range, true as share_in_range""",
+)
+def sweep_facts(spark, sf_dir):
+    """Per number of clusters: more of them fit closer; scores and shares are possible ones."""
+    rows = sweep(spark, sf_dir)
+    before = F.lag("inertia").over(Window.orderBy("n_clusters"))
+    return rows.select(
+        "n_clusters",
+        "svd_components",
+        F.coalesce(before > F.col("inertia"), F.lit(True)).alias("inertia_falls"),
+        F.col("silhouette_score").between(-1, 1).alias("silhouette_in_range"),
+        ((F.col("svd_explained_variance_ratio") > 0) & (F.col("svd_explained_variance_ratio") <= 1)).alias("share_in_range"),
+    )
+
+
 @query(
     "v08_silhouette",
     """with pairs as (select a.vec_id, a.label as own, b.label as other,
@@ -140,6 +211,22 @@ def silhouette(spark, sf_dir):
     return score.withColumn("silhouette", F.round("silhouette", 6))
 
 
+@query(
+    "v08b_silhouette_of_all",
+    """with pairs as (select a.vec_id, a.label as own, b.label as other,
+      avg(list_distance(a.embedding::double[], b.embedding::double[]) ** 2) as d
+      from embeddings a join embeddings b on a.vec_id <> b.vec_id group by 1, 2, 3),
+    scored as (select vec_id, max(d) filter (where own = other) as a, min(d) filter (where own <> other) as b
+      from pairs group by 1)
+    select (select count(*) from embeddings) as rows,
+      (select count(distinct label) from embeddings) as clusters,
+      round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from scored""",
+)
+def silhouette_of_all(spark, sf_dir):
+    score = P.silhouette_of_all(embeddings(spark, sf_dir), "embedding", "label")
+    return score.withColumn("silhouette", F.round("silhouette", 6))
+
+
 @query(
     "v09_top_terms",
     sql_over(
@@ -218,6 +305,25 @@ def coordinates(spark, sf_dir):
     return plane.withColumns({c: F.round(c, 6) for c in ("component_1", "component_2")})
 
 
+@query(
+    "v13b_coordinate_facts",
+    "select count(*) as points, true as first_is_larger, true as at_right_angles from embeddings",
+)
+def coordinate_facts(spark, sf_dir):
+    """The two axes carry falling shares and do not overlap."""
+    points = embeddings(spark, sf_dir).withColumn("embedding", l2_normalise(F.col("embedding")))
+    plane = P.plane_coordinates(points, "embedding", keep=("vec_id", "label"))
+    a, b = F.col("component_1"), F.col("component_2")
+    sums = plane.agg(
+        F.count(F.lit(1)).alias("points"), F.sum(a * a).alias("aa"), F.sum(b * b).alias("bb"), F.sum(a * b).alias("ab")
+    )
+    return sums.select(
+        "points",
+        (F.col("aa") >= F.col("bb")).alias("first_is_larger"),
+        (F.abs("ab") <= 1e-6 * F.sqrt(F.col("aa") * F.col("bb"))).alias("at_right_angles"),
+    )
+
+
 @query(
     "v15_centroid_distances",
     f"""with {CENTROIDS[0]} as ({CENTROIDS[1]})

@@ -132,10 +132,12 @@ def size_of(df: DataFrame, weight=None) -> tuple[int, int, int]:
 
 
 def fit_partitions(df: DataFrame, parts: int, work: float, per_task: float) -> tuple[DataFrame, int]:
-    """Merge partitions when there is less work than would keep them all busy.
+    """Merge partitions for passes in which every task returns a matrix.
 
-    Small inputs stop paying per-task overhead in every pass; large ones keep
-    their partitions.
+    There are at most as many tasks as slots, each of which adds up its partitions before
+    it returns anything, so what a pass moves does not grow with the number of partitions.
+    Less work than would keep the slots busy takes fewer tasks.
     """
-    wanted = max(1, min(parts, int(work / per_task) + 1))
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, min(parts, slots, int(work / per_task) + 1))
     return (df.coalesce(wanted) if wanted < parts else df), wanted

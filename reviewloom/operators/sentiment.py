@@ -17,7 +17,7 @@ from reviewloom import settings as S
 from reviewloom.functions.blocks import fit_partitions, flatten_sparse, size_of, sum_by
 from reviewloom.functions.vectors import argmax, softmax
 from reviewloom.operators.vectorize import TermWeights, as_vector, fit_terms, vectorise
-from reviewloom.plans.shapes import literal_rows, located_by, require_columns, split_by_hash
+from reviewloom.plans.shapes import literal_rows, require_columns, split_by_hash
 
 
 def stratified_split(
@@ -89,13 +89,13 @@ def train_classifier(
     """TF-IDF (words and pairs) with a multinomial logistic regression, L2 strength 1/C."""
     require_columns(df, [key, text, label], "training table")
     bounds = {**S.CLASSIFIER_VOCABULARY, **bounds}
-    located = located_by(df.select(key, text, label), key).persist(StorageLevel.MEMORY_AND_DISK)
-    terms = fit_terms(located, text, stop_words=(), key=key, located=True, **bounds)
-    weights = {r[label]: r["weight"] for r in class_weights(located, label).collect()}
+    texts = df.select(key, text, label).persist(StorageLevel.MEMORY_AND_DISK)
+    terms = fit_terms(texts, text, stop_words=(), key=key, **bounds)
+    weights = {r[label]: r["weight"] for r in class_weights(texts, label).collect()}
     labels = sorted(weights)
     position = F.create_map(*[F.lit(x) for i, v in enumerate(labels) for x in (v, float(i))])
     weight = F.create_map(*[F.lit(x) for v in labels for x in (v, float(weights[v] if balanced else 1.0))])
-    rows = vectorise(located, terms, text).select(
+    rows = vectorise(texts, terms, text).select(
         "features", position[F.col(label)].alias("label"), weight[F.col(label)].alias("weight")
     )
     entries = F.size("features.indices")
@@ -116,7 +116,7 @@ def train_classifier(
     ).fit(sized)
     sized.unpersist()
     rows.unpersist()
-    located.unpersist()
+    texts.unpersist()
     return SentimentModel(terms, classifier, labels)
 
 

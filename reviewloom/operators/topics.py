@@ -24,7 +24,7 @@ from reviewloom.functions.blocks import (
 from reviewloom.functions.text import strip
 from reviewloom.functions.vectors import sum_vectors
 from reviewloom.operators.vectorize import TermWeights, fit_terms, vectorise
-from reviewloom.plans.shapes import checked_broadcast, located_by, require_columns
+from reviewloom.plans.shapes import col, require_columns
 
 
 # --- truncated SVD -------------------------------------------------------------
@@ -70,25 +70,67 @@ def truncated_svd(
     components: int = S.SVD_COMPONENTS,
     features: str = "features",
     seed: int = S.RANDOM_SEED,
-    passes: int = 6,
+    max_passes: int = 8,
     oversample: int = 10,
+    settled: float = 0.02,
 ) -> np.ndarray:
     """Right singular vectors (n_terms x k) of the uncentred matrix.
 
-    Block power iteration on AᵀA: each pass over the data is one Spark job, and
-    the driver only holds n_terms x (k + oversample) blocks.
+    Block Krylov iteration on AᵀA: a pass over the data, one Spark job, maps the newest
+    block; all blocks so far are kept, and the answer is the best subspace of dimension k
+    inside their span.  Passes end when that subspace has turned by less than ``settled``
+    (mean squared sine of the angles) since the pass before.  The driver holds at most
+    n_terms x (max_passes x block) numbers, a block being half of k and a few more.
     """
     n_rows, n_parts, entries = size_of(df, F.size(f"{features}.indices"))
     k = valid_components(n_rows, n_terms, components)
-    width = min(k + oversample, n_terms)
-    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))
+    width = min(k // 2 + oversample, n_terms)
+    block, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))
     parts, n_parts = fit_partitions(_sparse_parts(df, features), n_parts, entries * width, 2e7)
-    image = _gram_times(parts, q, n_parts)
-    for _ in range(passes - 1):
-        q, _ = np.linalg.qr(image)
-        image = _gram_times(parts, q, n_parts)
-    values, vectors = np.linalg.eigh((q.T @ image + image.T @ q) / 2)
-    return _fix_signs(q @ vectors[:, np.argsort(values)[::-1][:k]])
+    span, image, best = np.zeros((n_terms, 0)), np.zeros((n_terms, 0)), None
+    for _ in range(max_passes):
+        mapped = _gram_times(parts, block, n_parts)
+        span, image = np.hstack([span, block]), np.hstack([image, mapped])
+        inner = span.T @ image
+        values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+        found = span @ vectors[:, np.argsort(values)[::-1][:k]]
+        if best is not None and best.shape == found.shape:
+            turned = 1.0 - ((best.T @ found) ** 2).sum() / found.shape[1]
+            if turned < settled:
+                best = found
+                break
+        best = found
+        room = n_terms - span.shape[1]
+        if room <= 0:
+            break
+        # Twice, as one pass of projection leaves rounding behind.
+        fresh = mapped
+        for _ in range(2):
+            fresh = fresh - span @ (span.T @ fresh)
+        block, triangle = np.linalg.qr(fresh[:, : min(width, room)])
+        alive = np.abs(np.diag(triangle)) > 1e-10 * max(1.0, np.abs(triangle).max(initial=0.0))
+        block = block[:, alive]
+        if not block.shape[1]:
+            break
+    return _fix_signs(best)
+
+
+def svd_residuals(df: DataFrame, basis: np.ndarray, features: str = "features") -> DataFrame:
+    """(component, singular_value, residual): how far each component is from being one.
+
+    The residual is |AᵀA v - s² v| / s², from one pass over the rows.
+    """
+    _, n_parts, _ = size_of(df)
+    image = _gram_times(_sparse_parts(df, features), basis, n_parts)
+    squared = (basis * image).sum(axis=0)
+    gaps = np.linalg.norm(image - basis * squared, axis=0) / np.where(squared > 0, squared, 1.0)
+    rows = [(i, float(np.sqrt(max(s, 0.0))), float(g)) for i, (s, g) in enumerate(zip(squared, gaps), 1)]
+    return df.sparkSession.createDataFrame(rows, "component int, singular_value double, residual double")
+
+
+def release(assigned: DataFrame) -> None:
+    """Forget the cached texts and vectors of a fit whose rows are not needed any more."""
+    assigned.sparkSession.catalog.clearCache()
 
 
 def project(
@@ -375,6 +417,9 @@ def group_centroids(df: DataFrame, vector: str, label: str) -> DataFrame:
     return summed.select(label, count.cast("bigint").alias("n"), centre.alias("centre"))
 
 
+# Labels of a clustering whose statistics (one vector each) are shared with the tasks.
+MOST_CLUSTERS = 10_000
+
 # --- silhouette ------------------------------------------------------------------
 
 
@@ -397,6 +442,57 @@ def silhouette(
     return _silhouette_rows(df.sparkSession, points, {0: labels}).drop("k")
 
 
+def silhouette_of_all(df: DataFrame, vector: str = "lsa", label: str = "cluster_id") -> DataFrame:
+    """Mean silhouette of squared Euclidean distances over all rows, as one row.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size,
+    vector sum and sum of squared lengths, so two passes replace all pairs of rows: one
+    aggregate per label, and one scan that scores each row against those aggregates.
+    Rows without vector or label take no part.  NULL when there are fewer than two
+    labels, or when every row is its own cluster; a row alone in its cluster scores 0.
+    """
+    rows = df.select(label, vector).where(col(vector).isNotNull() & col(label).isNotNull())
+    dense = F.transform(vector, lambda x: x.cast("double"))
+    square = F.aggregate(dense, F.lit(0.0), lambda acc, x: acc + x * x)
+    totals = sum_vectors(
+        rows.select(label, F.concat(F.array(F.lit(1.0), square), dense).alias("sums")), label, "sums"
+    )
+    found = totals.limit(MOST_CLUSTERS + 1).collect()
+    if len(found) > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters")
+    place = {r[label]: i for i, r in enumerate(found)}
+    sums = np.array([r["sums"] for r in found], dtype=float).reshape(len(found), -1)
+    schema = "rows bigint, clusters bigint, silhouette double"
+    n_rows = int(sums[:, 0].sum()) if len(found) else 0
+    if len(found) < 2 or (sums[:, 0] < 2).all():
+        return df.sparkSession.createDataFrame([(n_rows, len(found), None)], schema)
+
+    @F.pandas_udf("double")
+    def scores(labels: pd.Series, vectors: pd.Series) -> pd.Series:
+        own = labels.map(place).to_numpy(dtype=np.int64)
+        x = stack(vectors)
+        if len(x) == 0:
+            return pd.Series([], dtype=float)
+        size, squares, centre = sums[:, 0], sums[:, 1], sums[:, 2:]
+        # Sum of squared distances of each row to all members of each cluster.
+        gaps = (x**2).sum(axis=1)[:, None] * size - 2.0 * (x @ centre.T) + squares
+        gaps = np.maximum(gaps, 0.0)
+        here = np.arange(len(x))
+        a = gaps[here, own] / np.maximum(size[own] - 1, 1)
+        means = gaps / size
+        means[here, own] = np.inf
+        b = means.min(axis=1)
+        peak = np.maximum(a, b)
+        fair = (size[own] > 1) & (peak > 0)
+        return pd.Series(np.where(fair, (b - a) / np.where(peak > 0, peak, 1.0), 0.0))
+
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(len(found)).cast("bigint").alias("clusters"),
+        F.avg(scores(col(label), col(vector))).alias("silhouette"),
+    )
+
+
 def _sampled(df: DataFrame, key: str, sample_size: int, seed: int) -> DataFrame:
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     return df.withColumn("h", order).orderBy("h", key).limit(sample_size)
@@ -484,10 +580,9 @@ def represent(
 ):
     """TF-IDF vectors and their normalised projection, cached, with the fitted parts."""
     require_columns(df, [key, text], "clustering input")
-    # Partitioned once; the fit, the vectors and all later passes reuse it.
-    texts = located_by(df.select(key, text).where(F.length(strip(F.col(text))) > 0), key)
+    texts = df.select(key, text).where(F.length(strip(F.col(text))) > 0)
     texts = texts.persist(StorageLevel.MEMORY_AND_DISK)
-    terms = fit_terms(texts, text, stop_words, key=key, located=True, **bounds)
+    terms = fit_terms(texts, text, stop_words, key=key, **bounds)
     vectors = vectorise(texts, terms, text).persist(StorageLevel.MEMORY_AND_DISK)
     basis = truncated_svd(vectors, len(terms.terms), components, seed=seed)
     projected = project(vectors, basis).persist(StorageLevel.MEMORY_AND_DISK)
@@ -566,7 +661,7 @@ def add_topic_labels(df: DataFrame, names: Mapping[int, str], cluster: str = "cl
 def unnamed_clusters(df: DataFrame, names: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     """Clusters in use that have no entry in the names table."""
     used = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("review_count"))
-    return used.join(checked_broadcast(names), cluster, "left_anti")
+    return used.join(names, cluster, "left_anti")
 
 
 # --- topic tables --------------------------------------------------------------------
@@ -586,7 +681,7 @@ def top_terms_of_weights(
     The mean counts reviews without the term as zero.
     """
     sums = weights.groupBy(cluster, "term").agg(F.sum("weight").alias("total"))
-    means = sums.join(checked_broadcast(sizes.select(cluster, "review_count")), cluster).select(
+    means = sums.join(sizes.select(cluster, "review_count"), cluster).select(
         cluster, "term", F.round(F.col("total") / F.col("review_count"), 9).alias("mean_tfidf")
     )
     order = Window.partitionBy(cluster).orderBy(F.desc("mean_tfidf"), F.asc("term"))

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.functions import text as X
 from reviewloom.functions.blocks import flatten_sparse
-from reviewloom.plans.shapes import BROADCAST_ROWS, located_by, small_table
+from reviewloom.plans.shapes import stored
 
 
 def term_list(text, stop_words: Iterable[str] = (), bigrams: bool = True):
@@ -27,22 +27,42 @@ def term_list(text, stop_words: Iterable[str] = (), bigrams: bool = True):
     return X.with_bigrams(words) if bigrams else words
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def term_frequencies(terms: Column) -> Column:
+    """Array of (term, tf) of an array of terms, by term: runs of the sorted array."""
+
+    def starts_of(ordered: Column) -> Column:
+        # A run starts where a term differs from the one before it.
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        return F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+    def runs(ordered: Column, starts: Column) -> Column:
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(ordered)))
+        return F.zip_with(
+            starts,
+            ends,
+            lambda a, b: F.struct(F.get(ordered, a).alias("term"), (b - a).cast("bigint").alias("tf")),
+        )
+
+    counted = _bound(F.array_sort(terms), lambda s: _bound(starts_of(s), lambda at: runs(s, at)))
+    return F.when(F.size(terms) > 0, counted)
+
+
 def term_counts(
     df: DataFrame,
     text: str = "classical_text",
     stop_words: Iterable[str] | None = None,
     bigrams: bool = True,
     key: str = "review_id",
-    located: bool = False,
 ) -> DataFrame:
-    """(key, term, tf).  Texts are partitioned by key once (not again when the input
-    is already ``located``); counting, and any later per-review window, stay inside
-    those partitions."""
+    """(key, term, tf): terms are counted inside their row, so nothing is dealt."""
     stops = X.topic_stop_words() if stop_words is None else stop_words
-    texts = df.select(key, text)
-    texts = texts if located else located_by(texts, key)
-    terms = texts.select(key, F.explode(term_list(F.col(text), stops, bigrams)).alias("term"))
-    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    listed = df.select(key, term_list(F.col(text), stops, bigrams).alias("__terms"))
+    return listed.select(key, F.inline(term_frequencies(F.col("__terms"))))
 
 
 def vocabulary(
@@ -69,8 +89,7 @@ def vocabulary(
 def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, key: str = "review_id") -> DataFrame:
     """(key, term, weight): sublinear tf, smooth idf, unit length per review."""
     idf = F.ln((1.0 + n_docs) / (F.col("doc_count") + 1)) + 1
-    # Computed once here; broadcast unless its cap was set above BROADCAST_ROWS.
-    known = small_table(vocab.select("term", "doc_count"), BROADCAST_ROWS)
+    known = stored(vocab.select("term", "doc_count"), "vocabulary")
     weighted = counts.join(known, "term").select(
         key, "term", ((F.ln("tf") + 1) * idf).alias("raw")
     )
@@ -98,7 +117,6 @@ def fit_terms(
     stop_words: Iterable[str] | None = None,
     bigrams: bool = True,
     key: str = "review_id",
-    located: bool = False,
     **bounds,
 ) -> TermWeights:
     """Fit the vocabulary; at most ``max_features`` rows come to the driver."""
@@ -106,7 +124,7 @@ def fit_terms(
     n_docs = df.count()
     if n_docs == 0:
         raise ValueError("no texts to fit a vocabulary on")
-    rows = vocabulary(term_counts(df, text, stops, bigrams, key, located), n_docs, **bounds).collect()
+    rows = vocabulary(term_counts(df, text, stops, bigrams, key), n_docs, **bounds).collect()
     if not rows:
         raise ValueError("no term is within the document-frequency bounds")
     counts = np.array([r["doc_count"] for r in rows], dtype=float)
