@@ -102,6 +102,33 @@ def lemmas(spark, sf_dir):
     return reviews.select("review_id", X.classical_text(F.col("review_text")).alias("classical_text"))
 
 
+# A dictionary from the tokens themselves: every other one by length loses its last letter.
+@query(
+    "t06b_dictionary_lemmas",
+    sql_over(
+        "reviews_labelled",
+        (
+            "words",
+            f"""select review_id, generate_subscripts(w, 1) as pos, unnest(w) as token from (
+          select review_id, {T.tokens(T.classical_clean('review_text'))} as w from reviews_labelled) q""",
+        ),
+        body="""select review_id, string_agg(case when length(token) % 2 = 0 and length(token) > 2
+        then left(token, length(token) - 1) else token end, ' ' order by pos) as lemmas from words group by 1""",
+    ),
+)
+def dictionary_lemmas(spark, sf_dir):
+    reviews = fx.reviews_labelled(spark, sf_dir, spread=True)
+    texts = reviews.select(
+        "review_id", X.tokens(X.classical_clean(F.col("review_text"))).alias("w")
+    ).where(F.size("w") > 0)
+    tokens = texts.select(F.explode("w").alias("token")).distinct()
+    dictionary = tokens.where("length(token) % 2 = 0 and length(token) > 2").select(
+        "token", F.expr("left(token, length(token) - 1)").alias("lemma")
+    )
+    plain = texts.select("review_id", F.array_join("w", " ").alias("lemmas"))
+    return P.lemmatise_with_dictionary(plain, dictionary, column="lemmas")
+
+
 FEATURES_SQL = f"""select review_id, rating, normalized_combined_text,
   normalized_combined_text as transformer_text,
   {T.classical_text('normalized_combined_text')} as classical_text from (

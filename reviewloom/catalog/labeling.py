@@ -114,7 +114,51 @@ def names(spark, sf_dir):
     return L.raw_topic_names(lists(spark, sf_dir)).select("cluster_id", "topic_name")
 
 
-@query("l04_disambiguate")
+RAW_NAMES = (
+    "raw_names",
+    f"""select cluster_id, terms[:{S.NAMING_TERMS}] as terms, case when category is null or (hits = 1 and generic)
+      then '{S.UNCATEGORISED}' else category end as topic_name
+      from lists left join matched using (cluster_id) join generic using (cluster_id)""",
+)
+PLACED = (
+    "placed",
+    """select *, row_number() over (partition by topic_name order by cluster_id) as pos,
+      count(*) over (partition by topic_name) as clusters from raw_names""",
+)
+TERM_TOKENS = r"list_filter(regexp_split_to_array(lower(t), '\s+'), lambda w: w <> '')"
+FILLER_ONLY = f"""coalesce(len(list_filter({TERM_TOKENS}, lambda w: list_contains({T.word_list(S.GENERIC_TERMS)}, w)))
+  / nullif(len({TERM_TOKENS}), 0) >= {S.GENERIC_SHARE}, true)"""
+
+
+def marker_sql(used: str) -> str:
+    free = f"list_filter(p.terms, lambda t: not list_contains({used}, t))"
+    return f"coalesce(list_filter({free}, lambda t: not {FILLER_ONLY})[1], {free}[1], 'cluster ' || p.cluster_id)"
+
+
+# The fold as a recursion over the clusters of a name.
+FOLDED = (
+    "folded",
+    f"""select p.cluster_id, p.topic_name, p.pos, p.clusters, {marker_sql("[]::varchar[]")} as marker,
+      [{marker_sql("[]::varchar[]")}] as used from placed p where pos = 1
+    union all
+    select p.cluster_id, p.topic_name, p.pos, p.clusters, {marker_sql("f.used")},
+      list_append(f.used, {marker_sql("f.used")}) from folded f
+      join placed p on p.topic_name = f.topic_name and p.pos = f.pos + 1""",
+)
+
+
+@query(
+    "l04_disambiguate",
+    sql_over(
+        "clustered",
+        *LISTS,
+        RAW_NAMES,
+        PLACED,
+        FOLDED,
+        body="""select cluster_id, case when clusters > 1 then topic_name || ' (' || marker || ')'
+        else topic_name end as topic_name from folded""",
+    ).replace("with ", "with recursive ", 1),
+)
 def disambiguated(spark, sf_dir):
     return L.suggest_topic_names(lists(spark, sf_dir))
 

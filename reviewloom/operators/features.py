@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from reviewloom import settings as S
 from reviewloom.functions import text as X
-from reviewloom.plans.shapes import checked_broadcast, keep_first, located_by, require_columns
+from reviewloom.plans.shapes import keep_first, require_columns
+from reviewloom.session import materialise
 
 
 def combine_review_text(
@@ -45,29 +46,36 @@ def add_classical_text(
     return df.withColumn(output, X.classical_text(F.col(source), stop_words))
 
 
+HEAVY_TOKENS = 1000  # tokens that may each hold more than a thousandth of all tokens
+
+
 def lemmatise_with_dictionary(
     df: DataFrame, dictionary: DataFrame, column: str = "classical_text", key: str = "review_id"
 ) -> DataFrame:
-    """Replace tokens through a (token, lemma) table; unknown tokens stay.
+    """Replace tokens through a (token, lemma) table of any size; unknown tokens stay.
 
-    Rows are partitioned by ``key`` first, so tokens are split, looked up and
-    joined again inside the same partition.
+    A sketch of frequent items names the heavy tokens.  Their lemmas, at most that many
+    rows, are broadcast to the places where they stand; the other tokens, none of which
+    holds more than a small share of all, meet the dictionary by a shuffle.  Of several
+    lemmas of a token the first in order counts.
     """
     require_columns(dictionary, ["token", "lemma"], "lemma dictionary")
-    words = (
-        located_by(df.select(key, column), key)
-        .select(key, F.posexplode(F.split(column, " ")).alias("pos", "token"))
-    )
-    looked_up = words.join(checked_broadcast(dictionary, 500_000), "token", "left").groupBy(key).agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("pos", F.coalesce("lemma", "token").alias("lemma")))),
-                lambda x: x.lemma,
-            ),
-            " ",
-        ).alias(column)
+    words = df.select(key, F.posexplode(F.split(column, " ")).alias("pos", "token"))
+    lemmas = dictionary.groupBy("token").agg(F.min("lemma").alias("lemma"))
+    # Ten counters per reported token keep the sketch's error far below a heavy share.
+    frequent = words.agg(F.expr(f"approx_top_k(token, {HEAVY_TOKENS}, {10 * HEAVY_TOKENS})").alias("top"))
+    heavy = materialise(frequent.select(F.explode("top.item").alias("token")).where("token is not null"))
+    known = heavy.join(lemmas, "token", "left").select("token", F.col("lemma").alias("__heavy"), F.lit(True).alias("__is"))
+    marked = words.join(F.broadcast(known), "token", "left")
+    light = marked.where("__is is null").join(lemmas, "token", "left")
+    looked_up = marked.where("__is").select(
+        key, "pos", F.coalesce("__heavy", "token").alias("lemma")
+    ).unionByName(light.select(key, "pos", F.coalesce("lemma", "token").alias("lemma")))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "lemma")))
+    joined = looked_up.groupBy(key).agg(
+        F.array_join(F.transform(ordered, lambda x: x.lemma), " ").alias(column)
     )
-    return df.drop(column).join(looked_up, key)
+    return df.drop(column).join(joined, key)
 
 
 def model_text_features(

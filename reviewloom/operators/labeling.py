@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
@@ -67,37 +66,54 @@ def is_generic(
     return lists.select(cluster, F.coalesce(share >= threshold, F.lit(True)).alias("generic"))
 
 
-def _add_markers(top_n: int, cluster: str):
-    generic = frozenset(S.GENERIC_TERMS)
+def _filler_only(term: Column) -> Column:
+    """True when most tokens of a term are filler, or there are none."""
+    tokens = F.filter(F.split(F.lower(term), r"\s+"), lambda t: t != "")
+    share = F.try_divide(F.size(F.filter(tokens, lambda t: t.isin(*S.GENERIC_TERMS))), F.size(tokens))
+    return F.coalesce(share >= S.GENERIC_SHARE, F.lit(True))
 
-    def filler_only(term: str) -> bool:
-        tokens = term.lower().split()
-        return not tokens or sum(t in generic for t in tokens) / len(tokens) >= S.GENERIC_SHARE
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(cluster)
-        if len(group) > 1:
-            used: set[str] = set()
-            names = []
-            for cid, name, terms in zip(group[cluster], group["topic_name"], group["terms"]):
-                free = [t for t in list(terms)[:top_n] if t not in used]
-                telling = [t for t in free if not filler_only(t)]
-                marker = (telling or free or [f"cluster {cid}"])[0]
-                used.add(marker)
-                names.append(f"{name} ({marker})")
-            group = group.assign(topic_name=names)
-        return group[[cluster, "topic_name"]]
+def disambiguate(named: DataFrame, top_n: int = S.NAMING_TERMS, cluster: str = "cluster_id") -> DataFrame:
+    """Names shared by several clusters get a marker term.
 
-    return add
+    The clusters of a name are folded in order of their id; the accumulator carries the
+    markers used so far.  A marker is the first unused term that says something, else the
+    first unused term, else the cluster's id.  A name has at most as many clusters as the
+    model has.
+    """
+    kind = dict(named.dtypes)[cluster]
+    members = named.groupBy("topic_name").agg(
+        F.array_sort(F.collect_list(F.struct(col(cluster).alias("id"), F.slice("terms", 1, top_n).alias("terms")))).alias("members")
+    )
+    start = F.struct(
+        F.array().cast("array<string>").alias("used"),
+        F.array().cast(f"array<struct<id:{kind},marker:string>>").alias("marked"),
+    )
 
+    def mark(state: Column, member: Column) -> Column:
+        free = F.filter(member["terms"], lambda t: ~F.array_contains(state["used"], t))
+        telling = F.filter(free, lambda t: ~_filler_only(t))
+        marker = F.coalesce(
+            F.get(telling, F.lit(0)),
+            F.get(free, F.lit(0)),
+            F.concat(F.lit("cluster "), member["id"].cast("string")),
+        )
+        return F.struct(
+            F.array_append(state["used"], marker).alias("used"),
+            F.array_append(
+                state["marked"], F.struct(member["id"].alias("id"), marker.alias("marker"))
+            ).alias("marked"),
+        )
 
-def disambiguate(named: DataFrame, top_n: int = S.NAMING_TERMS, cluster: str = "cluster_id") -> DataFrame:
-    """Names shared by several clusters get a marker term; groups have at most k rows."""
-    kind = dict(named.dtypes)[cluster]
-    return (
-        named.select(cluster, "topic_name", "terms")
-        .groupBy("topic_name")
-        .applyInPandas(_add_markers(top_n, cluster), f"{cluster} {kind}, topic_name string")
+    folded = members.select(
+        "topic_name",
+        (F.size("members") > 1).alias("shared"),
+        F.explode(F.aggregate("members", start, mark)["marked"]).alias("m"),
+    )
+    marked = F.concat("topic_name", F.lit(" ("), "m.marker", F.lit(")"))
+    return folded.select(
+        F.col("m.id").alias(cluster),
+        F.when(F.col("shared"), marked).otherwise(F.col("topic_name")).alias("topic_name"),
     )
 
 
