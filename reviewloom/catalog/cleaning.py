@@ -78,6 +78,22 @@ def normalize_text(spark, sf_dir):
     return pages.select("page_id", X.normalise_text(F.col("html")).alias("text"))
 
 
+@query(
+    "c04c_normal_form",
+    "select page_id, true as one_space, true as trimmed, true as no_entities, true as no_markup from pages",
+)
+def normal_form(spark, sf_dir):
+    """What normalised text never holds."""
+    text = normalize_text(spark, sf_dir)
+    return text.select(
+        "page_id",
+        (~F.col("text").rlike(r"\s\s|[\t\n\r]")).alias("one_space"),
+        (~F.col("text").rlike(r"^\s|\s$")).alias("trimmed"),
+        (~F.col("text").rlike(r"&(amp|lt|gt|quot|nbsp|#[0-9]+);")).alias("no_entities"),
+        (~F.col("text").rlike(r"(?i)</?(div|p|span|script|style|a|html|body)\b[^>]*>")).alias("no_markup"),
+    )
+
+
 @query(
     "c04b_strip_markup",
     f"select page_id, {T.collapse(T.strip_markup('html'))} as text from pages",

@@ -12,7 +12,7 @@ from reviewloom.operators import insights as I
 from reviewloom.operators import recommendations as R
 from reviewloom.operators import reports as P
 from reviewloom.plans import fixtures as fx
-from reviewloom.plans.shapes import small_table
+from reviewloom.plans.shapes import stored
 
 GENERATED_AT = "2024-01-31T00:00:00"
 CTES = (*SUMMARY_CTES, METRICS, BUILT, RANKED)
@@ -84,7 +84,7 @@ METRICS_SQL = f"""select '{GENERATED_AT}' as generated_at, total_reviews as revi
 
 @query("q05_report_metrics", over_clustered(*CTES, body=METRICS_SQL))
 def report_metrics(spark, sf_dir):
-    counted = small_table(IQ.base(spark, sf_dir))
+    counted = stored(IQ.base(spark, sf_dir))
     recommendations = R.ranked(R.metrics_from_base(counted))
     return P.report_metrics(
         I.topic_facts(counted), recommendations, GENERATED_AT, I.overview_summary(counted)
@@ -94,12 +94,12 @@ def report_metrics(spark, sf_dir):
 def report_inputs(spark, sf_dir):
     """The four small tables every report form is made of, from one pass over the reviews."""
     reviews = fx.clustered(spark, sf_dir)
-    counted = small_table(I.topic_base(reviews))
+    counted = stored(I.topic_base(reviews))
     return (
-        small_table(I.topic_summaries(reviews, base=counted)),
-        small_table(I.topic_facts(counted)),
-        small_table(R.ranked(R.metrics_from_base(counted))),
-        small_table(I.overview_summary(counted)),
+        stored(I.topic_summaries(reviews, base=counted)),
+        stored(I.topic_facts(counted)),
+        stored(R.ranked(R.metrics_from_base(counted))),
+        stored(I.overview_summary(counted)),
     )
 
 
@@ -109,6 +109,35 @@ def report(spark, sf_dir):
     return payload.select(F.to_json(F.struct("*")).alias("report"))
 
 
+@query(
+    "q06b_report_facts",
+    over_clustered(
+        *CTES,
+        body=f"""select '{GENERATED_AT}' as generated_at, total_reviews as reviews, total_topics as topics,
+        total_topics as topic_records, (select count(*) from ranked) as recommendations, true as largest_first
+        from summary_""",
+    ),
+)
+def report_facts(spark, sf_dir):
+    """What the nested report says of itself, read back from its JSON."""
+    whole = report(spark, sf_dir)
+    record = "struct<review_count:bigint,topic_id:int>"
+    parsed = F.from_json(
+        "report",
+        "generated_at string, metrics struct<reviews:bigint,topics:bigint>, "
+        f"topics array<{record}>, recommendations array<struct<rank:int>>",
+    )
+    counts = F.transform("r.topics", lambda t: t["review_count"])
+    return whole.select(parsed.alias("r")).select(
+        "r.generated_at",
+        "r.metrics.reviews",
+        "r.metrics.topics",
+        F.size("r.topics").cast("bigint").alias("topic_records"),
+        F.size("r.recommendations").cast("bigint").alias("recommendations"),
+        (counts == F.sort_array(counts, asc=False)).alias("largest_first"),
+    )
+
+
 @query(
     "q07_percent",
     over_clustered(

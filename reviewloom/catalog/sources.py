@@ -5,16 +5,15 @@ from pyspark.sql import functions as F
 from reviewloom.catalog import insights as IQ
 from reviewloom.catalog.registry import ORACLE, query
 from reviewloom.catalog.reports import GENERATED_AT, report_inputs
-from reviewloom.catalog.topic_models import fitted_topics
+from reviewloom.catalog.topic_models import fitted_topics, reviews_of
 from reviewloom.operators import insights as I
 from reviewloom.operators import reports as P
-from reviewloom.operators import topics as topic_ops
 from reviewloom.plans import fixtures as fx
+from reviewloom.plans import model_store
 from reviewloom.plans import workflows as W
 from reviewloom.plans.fixtures import sql_over
 from reviewloom.session import scratch_path
 from reviewloom.sources import files
-from reviewloom.sources.models import load_topic_model, save_topic_model
 from reviewloom.sources.reviews import ReviewStore
 
 CSV_COLUMNS = (
@@ -141,12 +140,13 @@ def read_json(spark, sf_dir):
 @query("s09_model_roundtrip", sql_over("reviews_labelled", body="select review_id, true as same from reviews_labelled"))
 def model_roundtrip(spark, sf_dir):
     """Per review: whether the saved and reloaded model assigns as the fitted one does."""
-    texts, model, _ = fitted_topics(spark, sf_dir)
-    loaded = load_topic_model(spark, save_topic_model(spark, model, scratch_path(spark, "topic_model")))
-    before = topic_ops.predict_topics(texts, model).select("review_id", F.col("cluster_id").alias("before"))
-    after = topic_ops.predict_topics(texts, loaded).select("review_id", F.col("cluster_id").alias("after"))
-    both = texts.select("review_id").join(before, "review_id", "left").join(after, "review_id", "left")
-    return both.select("review_id", F.equal_null("before", "after").alias("same"))
+    model = model_store.load(fitted_topics(spark, sf_dir))
+    path = scratch_path(spark, "topic_model")
+    model.write().save(path)
+    reviews = reviews_of(spark, sf_dir)
+    before = model.transform(reviews).select("review_id", F.col("cluster_id").alias("before"))
+    after = model_store.load(path).transform(reviews).select("review_id", F.col("cluster_id").alias("after"))
+    return before.join(after, "review_id").select("review_id", F.equal_null("before", "after").alias("same"))
 
 
 @query(
@@ -169,3 +169,25 @@ def export_all(spark, sf_dir):
         part = files.read_text(spark, row["path"]).withColumn("artifact", F.lit(row["artifact"]))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query(
+    "q09b_export_facts",
+    sql_over(
+        "clustered",
+        body=f"""select artifact, topic_name, true as named from (select distinct topic_name from clustered) t
+        cross join (select unnest({list(W.ARTIFACTS)}) as artifact) a""",
+    ),
+)
+def export_facts(spark, sf_dir):
+    """Per artifact and topic: is the topic named in it?"""
+    reviews = fx.clustered(spark, sf_dir)
+    paths = W.export_all(reviews, scratch_path(spark, "export"), GENERATED_AT)
+    text = None
+    for row in paths.collect():  # five artifacts
+        part = files.read_text(spark, row["path"]).withColumn("artifact", F.lit(row["artifact"]))
+        text = part if text is None else text.unionByName(part)
+    whole = text.groupBy("artifact").agg(F.array_join(F.collect_list("value"), "\n").alias("text"))
+    names = reviews.groupBy("topic_name").agg(F.lit(1).alias("one"))
+    pairs = whole.withColumn("one", F.lit(1)).join(names, "one")
+    return pairs.select("artifact", "topic_name", F.contains("text", "topic_name").alias("named"))

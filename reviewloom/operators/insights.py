@@ -19,7 +19,7 @@ from reviewloom.plans.shapes import (
     first_present,
     literal_rows,
     require_columns,
-    small_table,
+    stored,
 )
 
 
@@ -183,7 +183,7 @@ def representative_reviews(
     chosen = distinct.withColumn("position", F.row_number().over(order)).where(
         F.col("position") <= limit
     )
-    chosen = small_table(chosen.select("review_id", *groups, "position"))
+    chosen = stored(chosen.select("review_id", *groups, "position"))
     texts = df.select("review_id", trimmed.alias(text))
     return texts.join(chosen, "review_id").select(*groups, "position", "review_id", text)
 
@@ -347,10 +347,12 @@ def topic_summary(df: DataFrame, topic: int | str, limit: int = 3) -> DataFrame:
     """The summary of one topic; an unknown topic is an error."""
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    found = topic_summaries(df, limit=limit).where(_is_topic(topic, "topic_id", "topic_name"))
-    if found.isEmpty():
+    # Shares need all topics, one row each; texts are looked for in this topic alone.
+    base = stored(topic_base(df), "topics")
+    if base.where(_is_topic(topic, "cluster_id", "topic_name")).isEmpty():
         raise ValueError(f"topic {topic!r} was not found")
-    return found
+    own = topic_summaries(topic_reviews(df, topic), base=base, limit=limit)
+    return own.where(_is_topic(topic, "topic_id", "topic_name"))
 
 
 def overview_summary(base: DataFrame, brand: str = S.REPORT_BRAND) -> DataFrame:

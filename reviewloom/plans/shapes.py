@@ -1,4 +1,4 @@
-"""Plan shapes used by many operators: keep-first, checked broadcast, exact cuts."""
+"""Plan shapes used by many operators: keep-first, stored tables, exact cuts."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.session import materialise
+from reviewloom.session import materialise, scratch_path
 
 # A side is only hinted for broadcast when it is known to have at most this
 # many (narrow) rows; anything bigger keeps the shuffle join Spark would pick.
@@ -45,12 +45,8 @@ def row_digest(names: Sequence[str]) -> Column:
     return F.unhex(F.sha2(F.to_json(F.struct(*[col(n) for n in names]), exact), 256))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") -> DataFrame:
-    """One full row per key: the one with the smallest ``order`` value.
-
-    An aggregate rather than ``row_number``: copies collapse on the map side,
-    so a key that holds a third of the table never lands in one task.
-    """
+def _keep_first_by_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key by an aggregate over whole rows; needs nothing of ``order``."""
     rest = [n for n in df.columns if n not in keys and n != order]
     picked = (
         df.groupBy(row_digest(keys).alias("__digest"))
@@ -70,44 +66,112 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") ->
     )
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str], alias: str = "duplicate_rows") -> DataFrame:
-    """Rows beyond the first of each key, as a one-row table."""
-    return (
-        df.groupBy(row_digest(keys).alias("__digest"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias(alias))
-    )
+def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") -> DataFrame:
+    """One full row per key: the one with the smallest ``order`` value.
 
+    Two phases, the first of which runs when this is called.  It reduces (digest,
+    order) pairs to the first order of each digest and stores the orders that lose, so
+    only 40 bytes a row are dealt, and a key that holds a third of the table collapses
+    on the map side.  The second reads the rows again and leaves out the losers where
+    they stand: wide rows are neither dealt nor sorted, except those a Bloom filter of
+    the losers points at when these are too many to broadcast.
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the side; otherwise leave the plan alone."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    Values of ``order`` that repeat or are missing cannot name a row; tables with such
+    values take the aggregate over whole rows instead, with the same result.
+    """
+    kind = dict(df.dtypes)[order]
+    narrow = df.select(row_digest(keys).alias("__digest"), col(order).alias("__order"))
+    narrow = materialise(narrow)
+    firsts = narrow.groupBy("__digest").agg(F.min("__order").alias("__first"))
+    named = narrow.groupBy("__order").agg(F.count(F.lit(1)).alias("__n"))
+    marks = named.join(
+        firsts.select(F.col("__first").alias("__order"), F.lit(True).alias("__stays")), "__order", "left"
+    )
+    odd = (F.col("__n") > 1) | F.col("__order").isNull()
+    marks = materialise(
+        marks.where(odd | F.col("__stays").isNull()).select("__order", odd.alias("__odd"))
+    )
+    found = marks.agg(F.count(F.lit(1)).alias("n"), F.max("__odd").alias("odd")).first()
+    if found["odd"] or kind in ("float", "double"):
+        return _keep_first_by_rows(df, keys, order)
+    losers = marks.select(F.col("__order").alias(order))
+    if found["n"] == 0:
+        return df
+    if found["n"] <= BROADCAST_ROWS:
+        return df.join(F.broadcast(losers), order, "left_anti").select(*[col(n) for n in df.columns])
+    suspect = bloom_test(losers, order, found["n"])
+    held = df.where(suspect).join(losers, order, "left_anti")
+    return df.where(~suspect).unionByName(held.select(*[col(n) for n in df.columns]))
 
 
-LOCAL_ROWS = 10_000
+BLOOM_HASHES = 4
+MOST_BLOOM_BITS = 1 << 26  # 8 MB
 
 
-def small_table(df: DataFrame, limit: int = LOCAL_ROWS) -> DataFrame:
-    """A reduced table (per topic, label or model) computed once.
+def bloom_test(keys: DataFrame, name: str, n: int) -> Column:
+    """A condition on column ``name`` that holds for every value in ``keys`` (a one-column
+    table of about ``n`` rows) and for few others.
 
-    Up to ``limit`` rows it becomes a local relation, so whatever is built on it
-    needs no further scan or shuffle and is safe to broadcast.  A larger one is
-    checkpointed instead and left to the planner.
+    The filter is one array of at most 8 MB whatever ``n`` is; beyond some ten million
+    keys it lets more of the others through.
     """
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return materialise(df)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1))
+    bits = 1 << 12
+    while bits < 10 * n and bits < MOST_BLOOM_BITS:
+        bits *= 2
+
+    def positions(value: Column) -> list[Column]:
+        return [
+            F.pmod(F.xxhash64(F.lit(i), value), F.lit(bits)).cast("bigint") for i in range(BLOOM_HASHES)
+        ]
 
+    def word(position: Column) -> Column:
+        return F.floor(position / 64).cast("int")
+
+    def mask(position: Column) -> Column:
+        return F.shiftleft(F.lit(1).cast("bigint"), F.pmod(position, F.lit(64)).cast("int"))
+
+    set_words = (
+        keys.select(F.explode(F.array(*positions(col(name)))).alias("p"))
+        .groupBy(word(F.col("p")).alias("w"))
+        .agg(F.bit_or(mask(F.col("p"))).alias("bits"))
+    )
+    # At most MOST_BLOOM_BITS / 64 rows by construction.
+    every = keys.sparkSession.range(bits // 64).select(
+        F.col("id").cast("int").alias("w"), F.lit(0).cast("bigint").alias("bits")
+    )
+    dense = set_words.unionByName(every).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    filter_ = materialise(
+        dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "bits"))), lambda x: x.bits).alias("words"))
+    )
+    words = filter_.scalar()
+    tests = [
+        F.get(words, word(p)).bitwiseAND(mask(p)) != 0 for p in positions(F.col(f"`{name}`"))
+    ]
+    held = tests[0]
+    for test in tests[1:]:
+        held = held & test
+    return F.coalesce(held, F.lit(True))
 
-def located_by(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by key into exactly spark.sql.shuffle.partitions parts.
 
-    The explicit number keeps adaptive execution from merging the parts, whose
-    work (text rules, vectors) is far heavier than their bytes suggest.
+def duplicate_count(df: DataFrame, keys: Sequence[str], alias: str = "duplicate_rows") -> DataFrame:
+    """Rows beyond the first of each key, as a one-row table."""
+    return (
+        df.groupBy(row_digest(keys).alias("__digest"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias(alias))
+    )
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """A reduced table (per topic, label or model) computed once, in the shared folder.
+
+    What reads it sees its size in bytes, so Spark broadcasts it where it is small and
+    shuffles it where it is not; nothing passes through the driver, and the plan is made
+    the same way at every size.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, key)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_small(df: DataFrame, key: str) -> DataFrame:
@@ -144,6 +208,60 @@ def weighted_percentiles(
     return counts.groupBy(*by).agg(*aggs) if by else counts.agg(*aggs)
 
 
+SMALL_BUCKET = 10_000  # rows among which a boundary is found by ranking them
+PREFIX_STEP = 3  # hex digits more in each round: 4,096 counts per boundary
+
+
+def _boundaries(narrow: DataFrame, targets: list[tuple]) -> list[tuple]:
+    """(group, cut, hash, order) of the row at each target's position.
+
+    ``narrow`` has (__g, __h, __k); a target is (group, cut, prefix, position, rows): the
+    position counts within the rows of the group whose hash starts with the prefix.
+    Each round counts rows by a longer prefix, until few rows share it.
+    """
+    spark = narrow.sparkSession
+    kind = dict(narrow.dtypes)["__g"]
+    schema = f"__g {kind}, cut int, prefix string, position bigint, n bigint"
+    done = []
+    while targets:
+        length = len(targets[0][2])
+        large = [t for t in targets if t[4] > SMALL_BUCKET and length < 32]
+        small = [t for t in targets if not (t[4] > SMALL_BUCKET and length < 32)]
+        if small:
+            # A bucket of one full hash holds one order value, so any of its rows will do.
+            side = F.broadcast(spark.createDataFrame(small, schema).alias("t"))
+            same = F.col("t.__g").eqNullSafe(narrow["__g"]) & (
+                F.substring("__h", 1, length) == F.col("t.prefix")
+            )
+            held = narrow.join(side, same)
+            if length < 32:
+                rank = F.row_number().over(Window.partitionBy("t.__g", "cut").orderBy("__h", "__k"))
+                held = held.withColumn("rank", rank).where("rank = position")
+            chosen = held.groupBy("t.__g", "cut").agg(F.max(F.struct("__h", "__k")).alias("b"))
+            done += [(r[0], r["cut"], r["b"]["__h"], r["b"]["__k"]) for r in chosen.collect()]
+        if not large:
+            break
+        step = min(32, length + PREFIX_STEP)
+        side = F.broadcast(spark.createDataFrame(large, schema).alias("t"))
+        same = F.col("t.__g").eqNullSafe(narrow["__g"]) & (
+            F.substring("__h", 1, length) == F.col("t.prefix")
+        )
+        counts = (
+            narrow.join(side, same)
+            .groupBy(F.col("t.__g").alias("__g"), "cut", "position", F.substring("__h", 1, step).alias("longer"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        upto = F.sum("rows").over(Window.partitionBy("__g", "cut").orderBy("longer"))
+        hit = counts.withColumn("upto", upto).where(
+            (F.col("upto") >= F.col("position")) & (F.col("upto") - F.col("rows") < F.col("position"))
+        )
+        targets = [
+            (r["__g"], r["cut"], r["longer"], r["position"] - (r["upto"] - r["rows"]), r["rows"])
+            for r in hit.collect()
+        ]
+    return done
+
+
 def split_by_hash(
     df: DataFrame,
     group: str,
@@ -153,50 +271,49 @@ def split_by_hash(
     order: str = "review_id",
     output: str = "split",
 ) -> DataFrame:
-    """Exact seeded quotas inside every group, without one task per group.
+    """Exact seeded quotas inside every group, told by two comparisons per row.
 
     Rows are ordered by (md5(seed:id), id); ``cuts`` maps a group's total to
-    [(name, end position), ...] and rows past the last cut get ``rest``.  Counts
-    per (group, first 4 hex digits) give each of the 65,536 buckets its offset.
-    A bucket without a cut inside is decided by its offset alone, so only the
-    rows of the few buckets holding a cut are shuffled and ranked.
+    [(name, end position), ...] and rows past the last cut get ``rest``.  The row at each
+    end is searched for when this is called: rounds of counts per hash prefix over
+    (group, id) pairs narrow the search to a few thousand rows, which are ranked.  The
+    result reads ``df`` once and shuffles nothing.  Rows of one id cannot be parted, so
+    repeated ids may exceed a quota; rows without id come first.
     """
-    hashed = df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}:"), col(order).cast("string"))))
-    hashed = hashed.withColumn("__b", F.substring("__h", 1, 4))
-    buckets = hashed.groupBy(group, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.partitionBy(group).orderBy("__b")
-    offsets = buckets.select(
-        F.col(group).alias("__g"),
-        F.col("__b").alias("__gb"),
-        F.sum("__n").over(running).alias("__end"),
-        (F.sum("__n").over(running) - F.col("__n")).alias("__start"),
-        F.sum("__n").over(Window.partitionBy(group)).alias("__total"),
-    )
-    offsets = materialise(offsets)
-
-    def named(position: Column) -> Column:
-        chosen = None
-        for name, end in cuts(F.col("__total")):
-            test = position <= end
-            chosen = F.when(test, name) if chosen is None else chosen.when(test, name)
-        return chosen.otherwise(rest)
-
-    holds_cut = F.lit(False)
-    for _, end in cuts(F.col("__total")):
-        holds_cut = holds_cut | ((end > F.col("__start")) & (end < F.col("__end")))
-    same = (F.col(group) == F.col("__g")) & (F.col("__b") == F.col("__gb"))
-    keep = [col(n) for n in df.columns]
-    # At most 65,536 narrow rows per label; checked, since labels are data.
-    limit = 1_000_000
-    small = offsets.limit(limit + 1).count() <= limit
-    side = F.broadcast if small else (lambda table: table)
-    whole = hashed.join(side(offsets.where(~holds_cut)), same).select(
-        *keep, named(F.col("__end")).alias(output)
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), col(order).cast("string")))
+    key = F.coalesce(hashed, F.lit(""))
+    narrow = materialise(df.select(col(group).alias("__g"), key.alias("__h"), col(order).alias("__k")))
+    totals = narrow.groupBy("__g").agg(F.count(F.lit(1)).alias("n"))
+    ends = cuts(F.col("n"))
+    names = [name for name, _ in ends]
+    found = totals.select(
+        "__g", "n", *[end.cast("bigint").alias(f"end{i}") for i, (_, end) in enumerate(ends)]
+    ).limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} groups to split")
+    targets = [
+        (r["__g"], i, "", r[f"end{i}"], r["n"])
+        for r in found
+        for i in range(len(names))
+        if r[f"end{i}"] > 0
+    ]
+    bounds: dict = {r["__g"]: [None] * (2 * len(names)) for r in found}
+    for g, cut, h, k in _boundaries(narrow, targets):
+        bounds[g][2 * cut : 2 * cut + 2] = [h, k]
+    types = dict(narrow.dtypes)
+    fields = "".join(f", __h{i} string, __k{i} {types['__k']}" for i in range(len(names)))
+    side = df.sparkSession.createDataFrame(
+        [(g, *b) for g, b in bounds.items()], f"__g {types['__g']}{fields}"
     )
-    inside = Window.partitionBy(group, "__b").orderBy("__h", col(order))
-    mixed = (
-        hashed.join(side(offsets.where(holds_cut)), same)
-        .withColumn("__p", F.row_number().over(inside) + F.col("__start"))
-        .select(*keep, named(F.col("__p")).alias(output))
+    # One row per group, counted above.
+    joined = df.withColumn("__h", key).join(
+        F.broadcast(side), F.col("__g").eqNullSafe(col(group)), "left"
     )
-    return whole.unionByName(mixed)
+    chosen = None
+    for i, name in enumerate(names):
+        before = (F.col("__h") < F.col(f"__h{i}")) | (
+            (F.col("__h") == F.col(f"__h{i}"))
+            & F.coalesce(col(order) <= F.col(f"__k{i}"), F.lit(True))
+        )
+        chosen = F.when(before, name) if chosen is None else chosen.when(before, name)
+    return joined.select(*[col(n) for n in df.columns], chosen.otherwise(rest).alias(output))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewloom import settings as S
 from reviewloom.operators import features, insights, labeling, recommendations, reports, topics
 from reviewloom.operators.cleaning import clean_dataset
-from reviewloom.plans.shapes import small_table
+from reviewloom.plans.shapes import stored
 from reviewloom.sources import files
 
 ARTIFACTS = {
@@ -31,7 +31,7 @@ def discover_topics(reviews: DataFrame, n_clusters: int = S.N_CLUSTERS, **fit_op
     """(model with names, reviews with cluster and topic name, top terms, representatives)."""
     usable = reviews.transform(features.drop_low_content)
     model, assigned = topics.fit_topic_model(usable, n_clusters, **fit_options)
-    terms = small_table(topics.top_terms(assigned, model.terms))
+    terms = stored(topics.top_terms(assigned, model.terms))
     named = labeling.suggest_topic_names(labeling.terms_list(terms))
     model.topic_names = {r["cluster_id"]: r["topic_name"] for r in named.collect()}  # k rows
     placed = assigned.select("review_id", "cluster_id", "distance_to_centroid")
@@ -48,11 +48,11 @@ def export_all(reviews: DataFrame, root: str, generated_at: str, brand: str = S.
     The reviews are read once for the counts and once for the example texts; all
     five artifacts are built from those two small tables.
     """
-    base = small_table(insights.topic_base(reviews))
-    summaries = small_table(insights.topic_summaries(reviews, base=base))
-    facts = small_table(insights.topic_facts(base))
-    ranked = small_table(recommendations.ranked(recommendations.metrics_from_base(base)))
-    overview = small_table(insights.overview_summary(base, brand))
+    base = stored(insights.topic_base(reviews))
+    summaries = stored(insights.topic_summaries(reviews, base=base))
+    facts = stored(insights.topic_facts(base))
+    ranked = stored(recommendations.ranked(recommendations.metrics_from_base(base)))
+    overview = stored(insights.overview_summary(base, brand))
     payload = recommendations.payload(ranked)
     parts = (
         overview.select(F.struct("*").alias("overview")),

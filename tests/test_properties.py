@@ -6,13 +6,16 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from reviewloom.functions import blocks
 from reviewloom.functions.text import classical_text
 from reviewloom.operators import sentiment as M
+from reviewloom.operators import sketches, stages
 from reviewloom.operators import topics as T
+from reviewloom.operators import tracking as K
 from reviewloom.operators import vectorize as V
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans import shapes, workflows
@@ -288,14 +291,181 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_deduplication_has_no_window_and_combines_early(spark, sf_dir):
-    plan = physical(QUERIES["c11_exact_dedup"](spark, sf_dir))
-    assert "Window" not in plan and "partial_min_by" in plan
+@pytest.mark.parametrize("key", ["c11_exact_dedup", "c13_clean_dataset", "t02_normalized_dedup", "t07_text_features"])
+def test_deduplication_deals_no_texts(spark, sf_dir, key, monkeypatch):
+    monkeypatch.setattr(shapes, "spread_small", lambda df, key: df)
+    monkeypatch.setattr(fx, "spread_small", lambda df, key: df)
+    plan = physical(QUERIES[key](spark, sf_dir))
+    assert "SortAggregate" not in plan and "Window" not in plan
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert not any("digest" in x or "text" in x for x in dealt)
+
+
+def test_keep_first_agrees_with_the_row_aggregate(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, int(rng.integers(0, 40)) if i % 3 else 7, f"text {i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, "review_id bigint, a bigint, b string").repartition(5)
+    wanted = sorted(tuple(r) for r in shapes._keep_first_by_rows(df, ["a", "b"], "review_id").collect())
+    assert sorted(tuple(r) for r in shapes.keep_first(df, ["a", "b"]).collect()) == wanted
+    # Too many losers to broadcast: the Bloom filter parts suspects from the rest.
+    monkeypatch.setattr(shapes, "BROADCAST_ROWS", 10)
+    two_ways = shapes.keep_first(df, ["a", "b"])
+    assert sorted(tuple(r) for r in two_ways.collect()) == wanted
+    monkeypatch.setattr(shapes, "MOST_BLOOM_BITS", 1 << 6)
+    assert sorted(tuple(r) for r in shapes.keep_first(df, ["a", "b"]).collect()) == wanted
+
+
+@pytest.mark.parametrize("odd", [None, 3])
+def test_keep_first_with_ids_that_repeat_or_are_missing(spark, odd):
+    rows = [(1, "x"), (2, "x"), (odd, "y"), (odd, "y"), (3, "z")]
+    df = spark.createDataFrame(rows, "review_id bigint, b string")
+    got = shapes.keep_first(df, ["b"]).collect()
+    assert sorted(r.b for r in got) == ["x", "y", "z"]
+    assert [r.review_id for r in got if r.b == "x"] == [1]
+
+
+def test_bloom_filter_holds_all_its_keys(spark):
+    keys = spark.range(0, 3000, 3).withColumnRenamed("id", "k")
+    test = shapes.bloom_test(keys, "k", 1000)
+    found = spark.range(3000).withColumnRenamed("id", "k").withColumn("hit", test).collect()
+    assert all(r.hit for r in found if r.k % 3 == 0)
+    assert sum(r.hit for r in found if r.k % 3) < 200
+
+
+@pytest.mark.parametrize("small", [5, 10_000])
+def test_split_has_exact_quotas_and_one_scan(spark, monkeypatch, small):
+    import hashlib
+
+    monkeypatch.setattr(shapes, "SMALL_BUCKET", small)
+    rows = [(i, "ab"[i % 7 == 0]) for i in range(2000)] + [(5000 + i, None) for i in range(9)]
+    df = spark.createDataFrame(rows, "review_id bigint, sentiment_label string")
+    split = M.stratified_split(df)
+    assert "Exchange hashpartitioning" not in physical(split) and "SortMergeJoin" not in physical(split)
+    got = {r.review_id: r.split for r in split.collect()}
+    assert len(got) == len(rows)
+    for label in ("a", "b", None):
+        ids = [i for i, l in rows if l == label]
+        ids.sort(key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+        test = int(len(ids) * 0.2 + 0.5)
+        validation = int((len(ids) - test) * 0.2 + 0.5)
+        wanted = ["test"] * test + ["validation"] * validation
+        wanted += ["train"] * (len(ids) - len(wanted))
+        assert [got[i] for i in ids] == wanted
+
+
+def test_silhouette_of_all_rows_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    points, labels = rng.normal(size=(70, 3)), rng.integers(0, 4, 70)
+    labels[0] = 11
+    rows = [(p.tolist(), int(c)) for p, c in zip(points, labels)] + [(None, 1), ([1.0, 1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "v array<double>, c int")
+    gaps = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    scores = []
+    for i in range(70):
+        same = (labels == labels[i]) & (np.arange(70) != i)
+        a = gaps[i, same].mean() if same.any() else 0.0
+        b = min(gaps[i, labels == c].mean() for c in set(labels) - {labels[i]})
+        scores.append((b - a) / max(a, b) if same.any() else 0.0)
+    row = T.silhouette_of_all(df, "v", "c").first()
+    assert (row["rows"], row["clusters"]) == (70, 5)
+    assert row["silhouette"] == pytest.approx(np.mean(scores))
+    assert T.silhouette_of_all(df.withColumn("c", F.lit(1)), "v", "c").first()["silhouette"] is None
+    assert T.silhouette_of_all(df.where("false"), "v", "c").first()["rows"] == 0
+
+
+def test_quantile_sketches_of_parts_are_united_within_their_error(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i % 3, float(v)) for i, v in enumerate(rng.lognormal(size=20_000))]
+    df = spark.createDataFrame(rows, "part int, v double").repartition(4)
+    parts = sketches.quantile_sketches(df, {"v": F.col("v")}, ["part"], rank_error=0.01)
+    assert parts.count() == 3
+    united = sketches.unite_quantiles(parts, rank_error=0.01)
+    found = sketches.quantiles_of(united, (0.1, 0.5, 0.99)).collect()
+    values = np.sort([v for _, v in rows])
+    for r in found:
+        assert abs(np.searchsorted(values, r["value"]) / len(values) - r["fraction"]) < 0.02
+    assert max(len(r["sketch"]) for r in parts.collect()) < 20_000
+    with pytest.raises(ValueError):
+        sketches.kll_size(1e-9)
+
+
+def test_distinct_sketches_do_not_depend_on_the_parts(spark):
+    df = spark.range(60_000).selectExpr("id % 4 as part", "id % 20000 as v", "cast(null as string) as none")
+    values = {"v": F.col("v"), "none": F.col("none")}
+    parts = sketches.distinct_sketches(df, values, ["part"])
+    united = sketches.distinct_estimates(sketches.unite_distinct(parts)).collect()
+    whole = sketches.distinct_estimates(sketches.unite_distinct(sketches.distinct_sketches(df, values))).collect()
+    assert [(r["measure"], r["estimate"]) for r in united] == [(r["measure"], r["estimate"]) for r in whole]
+    assert abs(united[0]["estimate"] / 20_000 - 1) < 0.07
+    shared = {(r["left"], r["right"]): r["shared"] for r in sketches.overlap_estimates(parts, "part").collect()}
+    assert len(shared) == 6 and all(v >= 0 for v in shared.values())
+
+
+def test_writers_at_once_lose_no_run(spark):
+    import threading
+
+    path = scratch_path(spark, "shared_runs")
+    failed = []
+
+    def write(name):
+        try:
+            K.log_experiment(spark, path, K.experiment_row(spark, {"macro_f1": 0.5}, model_id=name))
+        except Exception as error:  # noqa: BLE001
+            failed.append(error)
+
+    writers = [threading.Thread(target=write, args=(f"m{i}",)) for i in range(6)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert not failed
+    table = files.read_logged(spark, path, K.TRACKING_SCHEMA, "model_id")
+    assert sorted(r["model_id"] for r in table.collect()) == [f"m{i}" for i in range(6)]
+    # An entry whose writer was lost before it was recorded is not read.
+    table.coalesce(1).write.parquet(f"{path}/data/entry=99999999T000000000000-lost")
+    assert files.read_logged(spark, path, K.TRACKING_SCHEMA, "model_id").count() == 6
+
+
+def test_pipelines_survive_saving(spark, texts):
+    small = texts.select("review_id", "review_text", "sentiment_label").limit(120)
+    topics = stages.topic_pipeline(k=3, components=5).fit(small)
+    path = scratch_path(spark, "pipeline")
+    topics.write().save(path)
+    loaded = PipelineModel.load(path)
+    assert [type(s).__name__ for s in loaded.stages] == ["ClassicalText", "TopicFinderModel"]
+    one = {r["review_id"]: r["cluster_id"] for r in topics.transform(small).collect()}
+    two = {r["review_id"]: r["cluster_id"] for r in loaded.transform(small).collect()}
+    assert one == two and set(one.values()) <= {0, 1, 2}
+    assert loaded.stages[1].uid == topics.stages[1].uid
+
+
+def test_heavy_tokens_meet_the_dictionary_apart(spark, monkeypatch):
+    from reviewloom.operators import features
+
+    monkeypatch.setattr(features, "HEAVY_TOKENS", 2)
+    rows = [(i, "same " * 50 + f"w{i} the cats") for i in range(30)] + [(99, "")]
+    df = spark.createDataFrame(rows, "review_id int, classical_text string")
+    words = [("same", "one"), ("cats", "cat"), ("w3", "third"), ("w3", "zzz"), ("unused", "x")]
+    lemmas = spark.createDataFrame(words, "token string, lemma string")
+    out = {r[0]: r[1] for r in features.lemmatise_with_dictionary(df, lemmas).select("review_id", "classical_text").collect()}
+    assert out[3] == ("one " * 50 + "third the cat").strip() and out[4].endswith("w4 the cat") and out[99] == ""
+
+
+def test_krylov_subspace_holds_as_much_as_the_exact_one(represented):
+    terms, basis, projected = represented
+    rows = projected.select("features").collect()
+    dense = np.zeros((len(rows), len(terms.terms)))
+    for i, r in enumerate(rows):
+        dense[i, r["features"]["indices"]] = r["features"]["values"]
+    best = (np.linalg.svd(dense, compute_uv=False)[: basis.shape[1]] ** 2).sum()
+    assert (np.linalg.norm(dense @ basis) ** 2) > 0.99 * best
 
 
-def test_term_counts_shuffle_once(spark, sf_dir):
-    plan = physical(QUERIES["v01_ngrams"](spark, sf_dir))
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_term_counts_are_row_local(spark, sf_dir):
+    texts = fx.reviews_labelled(spark, sf_dir).selectExpr("review_id", "review_text as classical_text")
+    assert "Exchange" not in physical(V.term_counts(texts)).split("BroadcastExchange")[0]
+    vocabulary = physical(V.vocabulary(V.term_counts(texts), 10))
+    assert "review_text" not in "".join(x for x in vocabulary.splitlines() if "Exchange hash" in x)
 
 
 def test_ranking_queries_trim_before_the_shuffle(spark, sf_dir):
