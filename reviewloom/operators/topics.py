@@ -461,9 +461,9 @@ def silhouette_of_all(df: DataFrame, vector: str = "lsa", label: str = "cluster_
     if len(found) > MOST_CLUSTERS:
         raise ValueError(f"more than {MOST_CLUSTERS} clusters")
     place = {r[label]: i for i, r in enumerate(found)}
-    sums = np.array([r["sums"] for r in found], dtype=float).reshape(len(found), -1)
+    sums = np.array([r["sums"] for r in found] or [[0.0]], dtype=float)
     schema = "rows bigint, clusters bigint, silhouette double"
-    n_rows = int(sums[:, 0].sum()) if len(found) else 0
+    n_rows = int(sums[:, 0].sum())
     if len(found) < 2 or (sums[:, 0] < 2).all():
         return df.sparkSession.createDataFrame([(n_rows, len(found), None)], schema)
 

@@ -52,7 +52,9 @@ def _keep_first_by_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataF
         df.groupBy(row_digest(keys).alias("__digest"))
         .agg(
             F.min_by(
-                F.struct(*[col(n) for n in keys], *[col(n) for n in rest]), col(order)
+                F.struct(*[col(n) for n in keys], *[col(n) for n in rest]),
+                # A missing order value comes last, not nowhere.
+                F.struct(col(order).isNull(), col(order)),
             ).alias("__row"),
             F.min(col(order)).alias(order),
         )
@@ -128,7 +130,9 @@ def bloom_test(keys: DataFrame, name: str, n: int) -> Column:
         return F.floor(position / 64).cast("int")
 
     def mask(position: Column) -> Column:
-        return F.shiftleft(F.lit(1).cast("bigint"), F.pmod(position, F.lit(64)).cast("int"))
+        return F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), F.pmod(position, F.lit(64)).cast("int")
+        )
 
     set_words = (
         keys.select(F.explode(F.array(*positions(col(name)))).alias("p"))
