@@ -84,9 +84,14 @@ def content_columns(df: DataFrame, ignore: Iterable[str] = NOT_CONTENT) -> list[
     return [n for n in df.columns if n not in set(ignore)]
 
 
-def drop_exact_duplicates(df: DataFrame, ignore: Iterable[str] = NOT_CONTENT) -> DataFrame:
-    """One row per distinct content: the one with the smallest review_id."""
-    return keep_first(df, content_columns(df, ignore))
+def drop_exact_duplicates(
+    df: DataFrame, ignore: Iterable[str] = NOT_CONTENT, dear: bool = False
+) -> DataFrame:
+    """One row per distinct content: the one with the smallest review_id.
+
+    ``dear`` says that the rows cost more to compute than to store once.
+    """
+    return keep_first(df, content_columns(df, ignore), dear=dear)
 
 
 def clean_violations(df: DataFrame) -> DataFrame:
@@ -130,10 +135,11 @@ def require_clean_rows(df: DataFrame) -> DataFrame:
 
 
 def clean_dataset(df: DataFrame) -> DataFrame:
-    """The whole cleaning chain as one lazy plan.
+    """The whole cleaning chain.
 
-    It ends with the row rules of the cleaned table; copies cannot be left after
-    the last step but one.
+    Cleaned rows are stored once and searched for copies when this is called; the result
+    is lazy from there on.  It ends with the row rules of the cleaned table; copies cannot
+    be left after the last step but one.
     """
     return (
         df.transform(rename_columns)
@@ -145,7 +151,7 @@ def clean_dataset(df: DataFrame) -> DataFrame:
         .transform(add_sentiment_label)
         .transform(parse_dates)
         .transform(drop_empty_reviews)
-        .transform(drop_exact_duplicates)
+        .transform(drop_exact_duplicates, dear=True)
         .transform(require_clean_rows)
     )
 

@@ -34,7 +34,7 @@ def drop_normalised_duplicates(
     """First review (smallest review_id) per normalised text, or text and rating."""
     keys = [text, rating] if include_rating else [text]
     require_columns(df, keys, "review table")
-    return keep_first(df, keys)
+    return keep_first(df, keys, dear=True)
 
 
 def add_classical_text(

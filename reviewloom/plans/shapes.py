@@ -68,7 +68,9 @@ def _keep_first_by_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataF
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: str = "review_id", dear: bool = False
+) -> DataFrame:
     """One full row per key: the one with the smallest ``order`` value.
 
     Two phases, the first of which runs when this is called.  It reduces (digest,
@@ -78,9 +80,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: str = "review_id") ->
     they stand: wide rows are neither dealt nor sorted, except those a Bloom filter of
     the losers points at when these are too many to broadcast.
 
+    As rows are read twice, ``dear`` stores them first, where they are: for rows that cost
+    more to compute than to write.
+
     Values of ``order`` that repeat or are missing cannot name a row; tables with such
     values take the aggregate over whole rows instead, with the same result.
     """
+    df = stored(df, "rows") if dear else df
     kind = dict(df.dtypes)[order]
     narrow = df.select(row_digest(keys).alias("__digest"), col(order).alias("__order"))
     narrow = materialise(narrow)
