@@ -72,7 +72,7 @@ def fit_centroids(entries: DataFrame, count: int) -> tuple[np.ndarray, np.ndarra
     draw = F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) / float(1 << 30)
     rows = entries.where(draw < share).select("vector").limit(2 * SAMPLE).toArrow()
     x = np.array(rows.column("vector").to_pylist(), np.float64)
-    number = int(min(MOST_CENTROIDS, max(2, round(math.sqrt(count) / 2)), len(x)))
+    number = int(min(MOST_CENTROIDS, max(2, round(math.sqrt(count) / 4)), len(x)))
     halves = np.split(x, [x.shape[1] // 2], axis=1)
     rng = np.random.default_rng(7)
     out = []
