@@ -5,15 +5,16 @@ windows), all of them DataFrame expressions over the whole text.  Two fixed rule
 fail a text outright.  For the others the statistics become a vector of DIMENSIONS
 transformed numbers, and per language and source a minimum-covariance-determinant
 estimate is made: from two starts, concentration steps keep the SUBSET of the rows
-that lie nearest and estimate mean and covariance again; the start that ends with
-the smaller determinant counts.  A text is rejected when its Mahalanobis distance,
-scaled so that the median fits a normal sample, is over CUTOFF.
+that lie nearest and estimate mean and covariance again; after FIRST_STEPS the start
+with the smaller determinant goes on until its determinant settles.  Covariances are
+scaled so that the median distance fits a normal sample.  A text is rejected when its
+squared Mahalanobis distance is over CUTOFF.
 
-A language and source with fewer than LEAST_ROWS rows use their language's
-estimate, a language with too few the estimate of all rows, and where even those
-are too few nothing is rejected by distance.  The nearest rows are found by
-percentile_approx (rank error 1 in 10,000), so a group of any size is reduced by
-partial aggregates.
+The same is done per language and for all rows.  Each estimate is drawn toward the
+next coarser one by its number of rows, n / (n + STRENGTH), and the one of all rows
+toward a wide prior, so a rare source is judged mostly by its language and no size of
+group is treated in another way.  The nearest rows are found by percentile_approx
+(rank error 1 in 10,000), so a group of any size is reduced by partial aggregates.
 
 Null and empty texts have no words and fail the word count.  Null language or
 source are values of their own.  Null ids and repeated rows keep their rows; ties in
@@ -31,21 +32,24 @@ from reviewloom.llm.common import read_table, staged
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
 SUBSET = 0.75
-STEPS = 4
-LEAST_ROWS = 100
+FIRST_STEPS = 2
+SETTLED = 0.01  # fall of the log determinant that asks for no further step
+STRENGTH = 20.0  # rows that the next coarser estimate is worth
 SALTS = 64  # parts of a frequent language and source in joins
-DIMENSIONS = 4
+DIMENSIONS = 5
 # Spread that counts as none, by dimension: keeps a constant statistic from
-# rejecting every text that differs a little.
-FLOORS = (0.05, 0.05, 0.10, 0.10)
-MEDIAN = 3.357  # of chi-square with 4 degrees of freedom
-# Squared distance that a normal vector passes once in 10^12: text statistics have
+# rejecting every text that differs a little.  Shares of lines and words are of small
+# numbers and vary more than shares of characters.
+FLOORS = (0.05, 0.03, 0.03, 0.10, 0.10)
+PRIOR = 0.3  # spread of every dimension where nothing is known
+MEDIAN = 4.351  # of chi-square with 5 degrees of freedom
+# Squared distance that a normal vector passes once in 10^11: text statistics have
 # heavier tails than a normal sample, and clean texts are to stay.
 CUTOFF = 60.0
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bars")
 AXES = range(1, DIMENSIONS + 1)
 
 
@@ -84,6 +88,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lines.alias("__lines"),
         F.length(F.translate(text, SPACES, "")).alias("__chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("__symbols"),
+        (F.length(text) - F.length(F.translate(text, "|", ""))).alias("__bars"),
     )
     w = F.col("__words")
     windows = F.when(
@@ -93,7 +98,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
             lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
         ),
     )
-    rest = ["__lines", "__chars", "__symbols"]
+    rest = ["__lines", "__chars", "__symbols", "__bars"]
     second = first.select(*keep, *rest, F.size(w).alias("__n"), windows.alias("__h"))
     h = F.col("__h")
     # Only texts with a window found twice need their windows in order.
@@ -110,6 +115,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": F.coalesce(_repeat_words(F.col("__w")), F.lit(0)),
         "n_lines": F.size(lines),
+        "n_bars": F.col("__bars"),
     }
     return third.select(
         *keep, F.struct(*[values[n].cast("bigint").alias(n) for n in STATS]).alias("__s")
@@ -123,14 +129,15 @@ def base_failed(s: Column) -> Column:
 
 
 def vector(s: Column) -> list[Column]:
-    """The transformed statistics: word length, and shares of symbols and repeats."""
+    """The transformed statistics: word length, and shares of bars, other symbols, repeats."""
 
-    def share(part: str, whole: str) -> Column:
-        return F.sqrt(s[part] / F.greatest(s[whole], F.lit(1)))
+    def share(part: str, whole: str, less: Column = F.lit(0)) -> Column:
+        return F.sqrt((s[part] - less) / F.greatest(s[whole], F.lit(1)))
 
     return [
         F.log((s["word_chars"] + 1) / (s["n_words"] + 1)),
-        share("n_symbols", "word_chars"),
+        share("n_symbols", "word_chars", s["n_bars"]),
+        share("n_bars", "word_chars"),
         share("n_dup_lines", "n_lines"),
         share("n_repeat_words", "n_words"),
     ]
@@ -164,8 +171,7 @@ def _factored(moments: DataFrame) -> DataFrame:
             out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - cross) / F.col(f"l{j}{j}"))
     det = sum((F.log(f"l{i}{i}") for i in AXES), F.lit(0.0))
     factors = [f"l{i}{j}" for i in AXES for j in AXES if i >= j]
-    kept = [c for c in moments.columns if not (len(c) == 3 and c[0] == "c")]
-    return out.select(*kept, *factors, det.alias("det"))
+    return out.select(*moments.columns, *factors, det.alias("det"))
 
 
 def _with_distance(rows: DataFrame) -> DataFrame:
@@ -181,58 +187,64 @@ def _with_distance(rows: DataFrame) -> DataFrame:
 
 
 def _salted(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """rows joined to a table with one row per key; a frequent key is spread over SALTS."""
-    salt = F.pmod(F.xxhash64(*[f"x{i}" for i in AXES]), F.lit(SALTS)).cast("int")
+    """rows (with ``salt``) joined to a table with one row per key, repeated for every salt."""
     spread = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", salt).join(spread, [*keys, "salt"]).drop("salt")
+    return rows.join(spread, [*keys, "salt"])
 
 
-def fit(rows: DataFrame) -> DataFrame:
-    """Estimates by (lang, source) key; input columns lang, source (keys), __s.
+def _salt() -> Column:
+    """Deals the rows of a stored table evenly, equal ones too."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def _concentrated(grouped: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimates of the SUBSET of the rows that lie nearest by the given estimates.
 
-    One row for each pair of keys: m, l, ``scale`` (median distance over that of a
-    normal sample), or nulls where too few rows exist.
+    keys: level, g1, g2, and the start where the estimates have two.
     """
+    xs = [f"x{i}" for i in AXES]
+    far = _with_distance(_salted(grouped, state, keys[:3])).select(*keys, "salt", *xs, "d")
+    far = staged(far, "distances")
+    cut = far.groupBy(*keys).agg(F.percentile_approx("d", SUBSET, 10_000).alias("cut"))
+    near = _salted(far, cut, keys).where("d <= cut")
+    return staged(_factored(_moments(near, keys)), "state")
+
+
+def _drawn(own: dict[str, Column], coarse: dict[str, Column], n: Column) -> dict[str, Column]:
+    """Means and covariances of a mixture of n own rows and STRENGTH of the coarser estimate."""
+    w = n / (n + STRENGTH)
+    out = {f"m{i}": w * own[f"m{i}"] + (1 - w) * coarse[f"m{i}"] for i in AXES}
+    apart = {i: own[f"m{i}"] - coarse[f"m{i}"] for i in AXES}
+    for i in AXES:
+        for j in range(1, i + 1):
+            c = f"c{i}{j}"
+            out[c] = w * own[c] + (1 - w) * coarse[c] + w * (1 - w) * apart[i] * apart[j]
+    return out
+
+
+def fit(rows: DataFrame) -> DataFrame:
+    """Estimates m and l by (lang, source); input columns lang, source (keys), __s."""
     s = F.col("__s")
+    xs = [f"x{i}" for i in AXES]
+    pairs = [(i, j) for i in AXES for j in AXES if i >= j]
     points = staged(
         rows.where(~base_failed(s)).select(
-            "lang", "source", *[x.alias(f"x{i}") for i, x in zip(AXES, vector(s), strict=True)]
+            "lang", "source", *[x.alias(n) for n, x in zip(xs, vector(s), strict=True)], _salt()
         ),
         "points",
     )
-    counts = points.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = counts.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    whole = counts.agg(F.sum("n").alias("n_all")).first()["n_all"] or 0
-    level = (
-        F.when(F.col("n") >= LEAST_ROWS, F.lit(2))
-        .when(F.col("n_lang") >= LEAST_ROWS, F.lit(1))
-        .when(F.lit(whole >= LEAST_ROWS), F.lit(0))
-    )
-    # Which estimate each pair uses; a coarser one is made of all rows of its level.
-    sites = staged(
-        counts.join(by_lang, "lang").select("lang", "source", level.alias("level")), "sites"
-    )
-    used = {r["level"] for r in sites.select("level").distinct().collect()}
     none = F.lit("")
-    levels = {
-        2: (F.col("lang"), F.col("source")),
-        1: (F.col("lang"), none),
-        0: (none, none),
-    }
-    xs = [f"x{i}" for i in AXES]
-    parts = [
-        points.select(
-            F.lit(k).alias("level"), levels[k][0].alias("g1"), levels[k][1].alias("g2"), *xs
+    levels = [(none, none), (F.col("lang"), none), (F.col("lang"), F.col("source"))]
+    level = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(k).alias("level"), a.alias("g1"), b.alias("g2"))
+                for k, (a, b) in enumerate(levels)
+            ]
         )
-        for k in sorted(used - {None})
-    ]
+    )
+    grouped = points.select("salt", *xs, level.alias("k")).select("k.*", "salt", *xs)
     key = ["level", "g1", "g2"]
-    if not parts:
-        empty = points.limit(0).select(F.lit(2).alias("level"), "lang", "source", *xs)
-        parts = [empty.toDF(*key, *xs)]
-    grouped = parts[0]
-    for part in parts[1:]:
-        grouped = grouped.unionByName(part)
     # Start 0: medians and quartile ranges.  Start 1: plain mean and covariance.
     quartiles = grouped.groupBy(*key).agg(
         *[F.percentile_approx(x, [0.25, 0.5, 0.75]).alias(x) for x in xs]
@@ -247,55 +259,78 @@ def fit(rows: DataFrame) -> DataFrame:
                 if i == j
                 else F.lit(0.0)
             ).alias(f"c{i}{j}")
-            for i in AXES
-            for j in AXES
-            if i >= j
+            for i, j in pairs
         ],
     )
     plain = _moments(grouped, key).withColumn("start", F.lit(1))
     state = staged(_factored(robust.unionByName(plain)), "state")
-    both = [*key, "start"]
-    for _ in range(STEPS):
-        far = staged(_with_distance(_salted(grouped, state, key)).select(*both, *xs, "d"), "distances")
-        cut = far.groupBy(*both).agg(F.percentile_approx("d", SUBSET, 10_000).alias("cut"))
-        near = _salted(far, cut, both).where("d <= cut")
-        state = staged(_factored(_moments(near, both)), "state")
-    final = _with_distance(_salted(grouped, state, key))
-    median = final.groupBy(*both).agg(F.percentile_approx("d", 0.5, 10_000).alias("median"))
-    estimates = state.join(median, both).withColumn(
-        "scale", F.greatest(F.col("median") / MEDIAN, F.lit(1.0))
+    for _ in range(FIRST_STEPS):
+        state = _concentrated(grouped, state, [*key, "start"])
+    rest = [c for c in state.columns if c not in (*key, "start")]
+    best = state.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct("det", "start")).alias("e"))
+    active = staged(best.select(*key, "e.*"), "state")
+    done = None
+    # Every round lowers some determinant, and the floors bound them from below.
+    while not active.isEmpty():
+        before = active.select(*key, F.col("det").alias("before"))
+        step = _concentrated(grouped, active, key).join(before, key)
+        falls = F.col("det") < F.col("before") - SETTLED
+        settled = active.join(step.where(~falls).select(*key), key, "left_semi")
+        done = settled if done is None else done.unionByName(settled)
+        active = staged(step.where(falls).drop("before"), "state")
+    if done is None:
+        names = [f"m{i}" for i in AXES] + [f"l{i}{j}" for i, j in pairs]
+        return points.select("lang", "source", *[F.lit(0.0).alias(n) for n in names])
+    final = staged(done, "settled")
+    median = _with_distance(_salted(grouped, final, key)).groupBy(*key).agg(
+        F.percentile_approx("d", 0.5, 10_000).alias("median"), F.count(F.lit(1)).alias("n")
+    )
+    scale = F.greatest(F.col("median") / MEDIAN, F.lit(1.0))
+    own = staged(
+        final.join(median, key).select(
+            *key,
+            "n",
+            *[f"m{i}" for i in AXES],
+            *[(scale * F.col(f"c{i}{j}")).alias(f"c{i}{j}") for i, j in pairs],
+        ),
+        "scaled",
     )
-    chosen = estimates.groupBy(*key).agg(
-        F.min_by(
-            F.struct(*[c for c in estimates.columns if c not in key]), F.struct("det", "start")
-        ).alias("e")
+    names = [f"m{i}" for i in AXES] + [f"c{i}{j}" for i, j in pairs]
+    # One row: the estimate of all rows.
+    top = own.where("level = 0").first()
+    wide = {n: F.lit(PRIOR**2 if n[0] == "c" and n[1] == n[2] else 0.0) for n in names}
+    wide.update({f"m{i}": F.lit(top[f"m{i}"]) for i in AXES})
+    whole = _drawn({n: F.lit(top[n]) for n in names}, wide, F.lit(top["n"]))
+    columns = {n: F.col(n) for n in names}
+    by_lang = own.where("level = 1").select(
+        "g1", *[c.alias(f"__{n}") for n, c in _drawn(columns, whole, F.col("n")).items()]
     )
-    chosen = chosen.select(*key, "e.*").drop("start", "det", "median")
-    wanted = sites.select(
-        "lang",
-        "source",
-        "level",
-        F.when(F.col("level") >= 1, F.col("lang")).otherwise("").alias("g1"),
-        F.when(F.col("level") >= 2, F.col("source")).otherwise("").alias("g2"),
+    drawn = _drawn(columns, {n: F.col(f"__{n}") for n in names}, F.col("n"))
+    moments = own.where("level = 2").join(by_lang, "g1").select(
+        F.col("g1").alias("lang"), F.col("g2").alias("source"), *[c.alias(n) for n, c in drawn.items()]
     )
-    return staged(wanted.join(chosen, key, "left").drop("g1", "g2"), "estimates")
+    used = ["lang", "source"] + [f"m{i}" for i in AXES] + [f"l{i}{j}" for i, j in pairs]
+    return staged(_factored(staged(moments, "drawn")).select(*used), "estimates")
 
 
 def judge(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``base_failed``, ``distance`` and ``kept`` beside the columns of ``rows``."""
+    """``base_failed``, ``distance`` and ``kept`` beside the columns of ``rows``, a stored table."""
     s = F.col("__s")
     xs = [x.alias(f"x{i}") for i, x in zip(AXES, vector(s), strict=True)]
     sites = estimates.withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    joined = rows.select("*", *xs).join(
-        sites, (F.col("lang") == F.col("__lang")) & (F.col("source") == F.col("__source")), "left"
+    sites = sites.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = (
+        (F.col("lang") == F.col("__lang"))
+        & (F.col("source") == F.col("__source"))
+        & (F.col("salt") == F.col("__salt"))
     )
-    far = _with_distance(joined).withColumn("distance", F.col("d") / F.col("scale"))
+    far = _with_distance(rows.select("*", *xs, _salt()).join(sites, same, "left"))
     failed = base_failed(s)
     return far.select(
         *[f"`{c}`" for c in rows.columns],
         failed.alias("base_failed"),
-        "distance",
-        (~failed & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))).alias("kept"),
+        F.col("d").alias("distance"),
+        (~failed & F.coalesce(F.col("d") <= CUTOFF, F.lit(True))).alias("kept"),
     )
 
 

@@ -168,6 +168,7 @@ def test_statistics(spark, odd):
             len(lines) - len(set(lines)),
             len(again),
             len(lines),
+            text.count("|"),
         )
 
 
@@ -188,6 +189,78 @@ def test_outliers_cases(spark, odd):
     assert all(not r.kept for r in got if r["__s"].n_words < outliers.LEAST_WORDS)
 
 
+def _plain_estimate(x):
+    """Mean, scaled covariance and rows of the minimum-covariance-determinant estimate."""
+    rank = lambda v, p: np.sort(v)[max(0, int(np.ceil(p * len(v))) - 1)]
+    floors = np.diag(np.square(outliers.FLOORS))
+
+    def far(m, c):
+        z = np.linalg.solve(np.linalg.cholesky(c), (x - m).T)
+        return (z * z).sum(axis=0)
+
+    def step(m, c):
+        d = far(m, c)
+        near = x[d <= rank(d, outliers.SUBSET)]
+        return near.mean(axis=0), np.cov(near.T, bias=True) + floors
+
+    quarters = [[rank(v, p) for v in x.T] for p in (0.25, 0.5, 0.75)]
+    spread = (np.array(quarters[2]) - quarters[0]) / 1.349
+    starts = [
+        (np.array(quarters[1]), np.diag(spread**2) + floors),
+        (x.mean(axis=0), np.cov(x.T, bias=True) + floors),
+    ]
+    for _ in range(outliers.FIRST_STEPS):
+        starts = [step(*s) for s in starts]
+    log_det = lambda s: np.linalg.slogdet(s[1])[1] / 2
+    best = min(starts, key=log_det)
+    while log_det(after := step(*best)) < log_det(best) - outliers.SETTLED:
+        best = after
+    scale = max(1.0, rank(far(*best), 0.5) / outliers.MEDIAN)
+    return best[0], scale * best[1], len(x)
+
+
+def _plain_drawn(own, coarse):
+    (m, c, n), (m0, c0) = own, coarse
+    w = n / (n + outliers.STRENGTH)
+    apart = np.outer(m - m0, m - m0)
+    return w * m + (1 - w) * m0, w * c + (1 - w) * c0 + w * (1 - w) * apart
+
+
+def test_outlier_distances_against_plain_estimates(spark):
+    """Groups of 400, 60, 9 and 1 rows, one of copies, null languages and sources."""
+    rng = random.Random(8)
+    sizes = {("en", "a"): 400, ("en", "b"): 60, (None, "a"): 9, ("de", None): 1, ("de", "c"): 40}
+    rows = []
+    for (lang, source), n in sizes.items():
+        for i in range(n):
+            word = lambda: "w" * rng.randrange(1, 12)
+            text = " ".join(word() + rng.choice(["", "", "|", "#"]) + str(rng.random()) for _ in range(60))
+            if i % 7 == 0:
+                text += "\nsame line here" * rng.randrange(1, 5)
+            rows.append((len(rows), "copy " + "a b c d e f " * 4 + text if (lang, i) == ("en", 3) else text, lang, source))
+    rows += [(1000 + i, rows[400][1], "en", "b") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = outliers.robust_outliers(docs).withColumns(
+        {f"v{i}": x for i, x in enumerate(outliers.vector(F.col("__s")))}
+    )
+    got = [r for r in got.collect() if not r.base_failed]
+    assert len(got) > 500
+    x = np.array([[r[f"v{i}"] for i in range(outliers.DIMENSIONS)] for r in got])
+    lang = np.array([r.lang for r in got])
+    source = np.array([r.source for r in got])
+    prior = np.eye(outliers.DIMENSIONS) * outliers.PRIOR**2
+    everything = _plain_estimate(x)
+    whole = _plain_drawn(everything, (everything[0], prior))
+    for one in set(lang):
+        spoken = _plain_drawn(_plain_estimate(x[lang == one]), whole)
+        for other in set(source[lang == one]):
+            here = (lang == one) & (source == other)
+            m, c = _plain_drawn(_plain_estimate(x[here]), spoken)
+            z = np.linalg.solve(np.linalg.cholesky(c), (x[here] - m).T)
+            found = [r.distance for r, h in zip(got, here, strict=True) if h]
+            assert np.allclose(found, (z * z).sum(axis=0), rtol=1e-6)
+
+
 def test_toxicity_held_out(spark):
     random.seed(7)
     rows, labels = [], []
