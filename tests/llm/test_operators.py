@@ -520,6 +520,134 @@ def test_sites_shrink_toward_the_prior(spark):
     assert share["=big"] < share["=tiny"] < everywhere < share["=fine"]
 
 
+def _plain_statistics(text):
+    n = len(text)
+    share = lambda marks: sum(c in marks for c in text) / max(n, 1)
+    words, lines = text.split(" "), text.split("\n")
+    return [
+        np.log1p(n), share("#*$%&<>") ** 0.5, share("|") ** 0.5, share("!") ** 0.5,
+        share(sitequality.LETTERS), share(sitequality.DIGITS), share(" "),
+        len(set(words)) / len(words), len(set(lines)) / len(lines),
+    ]
+
+
+def _plain_strength(counts):
+    """counts: (n, good, prior) of each site."""
+    n = np.array(counts, float)
+    chance = n[:, 2] * (1 - n[:, 2])
+    total, squares = n[:, 0].sum(), (n[:, 0] ** 2).sum()
+    if total**2 <= squares:
+        return sitequality.MOST_STRENGTH
+    spread = (n[:, 0] * (n[:, 1] / n[:, 0] - n[:, 2]) ** 2).sum()
+    between = (spread - chance.sum()) / (total - squares / total)
+    if between <= 0:
+        return sitequality.MOST_STRENGTH
+    return min(sitequality.MOST_STRENGTH, max(sitequality.LEAST_STRENGTH, chance.mean() / between - 1))
+
+
+def test_site_scores_against_plain_model(spark):
+    """Evidence by Newton steps, posteriors by the formulas; sites by page, else by source."""
+    rng = random.Random(31)
+    rows, labels, pages = [], [], []
+    sites = [(f"h{i % 7}.net", f"p{i % 3}") for i in range(21)]
+    taste = {site: rng.uniform(0.1, 0.9) for site in sites}
+    site_of = {}
+    for i in range(1200):
+        host, path = rng.choice(sites)
+        good = rng.random() < taste[host, path]
+        text = "".join(rng.choice("ab AB9!\n |#" if not good or rng.random() < 0.3 else "abcd ") for _ in range(rng.randrange(0, 90)))
+        if i % 3:
+            pages.append((i, f"http://{host}/{path}/{i}?x"))
+            site_of[i] = (host, path)
+        else:
+            site_of[i] = ("=" + host, "" if path == "p0" else "=" + path)
+        rows.append((i, text, None if path == "p0" else path, host))
+        if i % 4:
+            labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    tables = (
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"),
+        spark.createDataFrame(pages, "page_id bigint, url string"),
+    )
+    got = {r.doc_id: r for r in sitequality.score_sites(docs, *tables).collect()}
+    assert len(got) == len(rows)
+
+    learn = [(i, g) for i, g, _ in labels if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([_plain_statistics(t) for _, t, _, _ in rows])
+    at, y = np.array([i for i, _ in learn]), np.array([g for _, g in learn], float)
+    ones = np.column_stack([np.ones(len(at)), x[at]])
+    ridge = np.diag([0.0, *(0.001 * x[at].var(axis=0, ddof=1))])
+    beta = np.zeros(ones.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-ones @ beta))
+        slope = ones.T @ (p - y) / len(y) + ridge @ beta
+        bend = (ones * (p * (1 - p))[:, None]).T @ ones / len(y) + ridge
+        beta -= np.linalg.lstsq(bend, slope, rcond=None)[0]
+    evidence = np.column_stack([np.ones(len(x)), x]) @ beta - np.log(y.mean() / (1 - y.mean()))
+
+    by_path = collections.defaultdict(list)
+    by_host = collections.defaultdict(list)
+    for i, g in learn:
+        by_path[site_of[i]].append(g)
+        by_host[site_of[i][0]].append(g)
+    everywhere = (y.sum() + 1) / (len(y) + 2)
+    k = _plain_strength([(len(v), sum(v), everywhere) for v in by_host.values()])
+    host_share = {h: (sum(v) + k * everywhere) / (len(v) + k) for h, v in by_host.items()}
+    k = _plain_strength([(len(v), sum(v), host_share[s[0]]) for s, v in by_path.items()])
+    for i, r in got.items():
+        host, path = site_of[i]
+        assert (r.host, r.path) == (host, path)
+        labelled = by_path.get((host, path), [])
+        prior = host_share.get(host, everywhere)
+        share = (sum(labelled) + k * prior) / (len(labelled) + k) if labelled else prior
+        assert abs(r.site_share - share) < 1e-9
+        assert abs(r.evidence - evidence[i]) < 0.02
+        wanted = 1 / (1 + np.exp(-(r.evidence + np.log(share / (1 - share)))))
+        assert abs(r.score - wanted) < 1e-9 and r.kept == (r.score >= 0.5)
+
+
+def test_toxicity_of_a_very_long_text(spark):
+    """The one toxic sentence at the very end of a text of two million characters counts."""
+    random.seed(17)
+    plain = lambda n: " ".join(f"w{random.randrange(200)}" for _ in range(n)) + "."
+    rows = [(i, plain(20) + (" You scum moron." if i % 4 == 0 else "")) for i in range(400)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(400)]
+    long_text = " ".join(plain(20) for _ in range(20_000))
+    rows += [(1000, long_text + " You scum moron."), (None, plain(5))]
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert got[1000].score >= 0.5 and len(long_text) > 1_500_000
+    assert max(s.sentence for s in got[1000].offending) == 20_000
+
+
+def test_pieces_of_very_long_words(spark):
+    """Words around and over the length from which merges come from a heap."""
+    import sentencepiece
+
+    path = pieces.default_model()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    random.seed(23)
+    sizes = [pieces.LONG - 1, pieces.LONG, pieces.LONG + 1, 500, 3_000, 20_000]
+    texts = ["".join(random.choice("abcdeinrst") for _ in range(n)) for n in sizes]
+    texts += ["a" * 5_000, "é日🙂" * 400, " " * 700 + "x", "ab " * 5 + "the" * 900 + " end"]
+    docs = documents(spark, list(enumerate(texts)))
+    for r in pieces.encode(docs, path).collect():
+        assert r.ids == model.encode(texts[r.doc_id]) and r.round_trip
+
+
+def test_longest_given_rule_wins_beside_clashing_columns(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://x.example.org/es/", "r", 1), (2, "http://example.org/en/1", "s", 2), (3, None, "t", 3)],
+        "page_id bigint, url string, host string, verdict int",
+    )
+    labels = spark.createDataFrame(
+        [(1, 1, 0, "q")], "doc_id bigint, quality int, toxic int, url string"
+    )
+    got = {r.page_id: (r.rule, r.verdict) for r in urlrules.judge(pages, labels).collect()}
+    assert got == {1: ("example.org/es/", "block"), 2: ("example.org/en/1", "block"), 3: (None, "allow")}
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

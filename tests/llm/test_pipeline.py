@@ -50,3 +50,22 @@ def test_near_duplicate_stage_keeps_another_text_of_an_id(spark, sf_dir):
 def test_near_duplicate_stage_takes_an_empty_table(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").where("false")
     assert pipeline.drop_near_duplicates(spark, docs, sf_dir).count() == 0
+
+
+def test_stages_take_null_and_long_texts_and_clashing_columns(spark, sf_dir):
+    words = " ".join(f"w{i}x" for i in range(60))
+    texts = [None, "", " \n", words, words, "long " * 50_000, "é日🙂 " * 70]
+    rows = [(i if i % 5 else None, t, None, None, 0, i, "k", True) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(
+        rows,
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+        "row bigint, kept string, base_failed boolean",
+    )
+    for name, stage in pipeline.STAGES[:-1]:
+        out = staged(stage(spark, docs, sf_dir), name)
+        assert out.columns == docs.columns, name
+        empty = stage(spark, docs.where("false"), sf_dir)
+        assert empty.columns == docs.columns and empty.count() == 0, name
+    packed = pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    # Every row has one id at least, that of its end.
+    assert packed.select("doc_id").distinct().count() == len({r[0] for r in rows})
