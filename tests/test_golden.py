@@ -356,3 +356,69 @@ def test_spread_of_large_values(spark):
     assert describe_numeric(wide, "v").first()["std"] == 0.816497
     huge = spark.createDataFrame([(5 * 10**9 + i,) for i in range(3)], "v bigint")
     assert describe_numeric(huge, "v").first()["std"] == 1.0
+
+
+def test_validated_labels_pass_through_or_fail(spark):
+    fine = spark.createDataFrame(
+        [("positive", 1), (None, 2), ("neutral", 3)], "sentiment_label string, review_id bigint"
+    )
+    assert C.validate_labels(fine, ["sentiment_label"]).count() == 3
+    wrong = fine.unionByName(
+        spark.createDataFrame([("mixed", 4), ("mixed", 5), ("Positive", 6)], fine.schema)
+    )
+    assert sorted(values(C.unexpected_labels(wrong), "sentiment_label", "row_count")) == [
+        ("Positive", 1), ("mixed", 2),
+    ]
+    with pytest.raises(ValueError, match="2 unexpected sentiment labels, such as 'Positive'"):
+        C.validate_labels(wrong, ["sentiment_label"])
+    with pytest.raises(ValueError, match="rating"):
+        C.validate_labels(fine, ["sentiment_label", "rating"])
+    assert C.validate_labels(fine.where("false"), ["sentiment_label"]).isEmpty()
+
+
+def test_result_rows_share_the_comparison_layout(spark):
+    df = spark.createDataFrame(
+        [("positive", "positive"), ("negative", "positive"), ("negative", "negative"), ("neutral", "neutral")],
+        "true_label string, predicted_label string",
+    )
+    rows = E.result_row(E.metrics(df), "first", 2.5).unionByName(
+        E.result_row(E.metrics(df.limit(0)), "none")
+    )
+    assert tuple(rows.columns) == E.RESULT_COLUMNS
+    first = rows.where("model_name = 'first'").first()
+    assert first["accuracy"] == 0.75 and first["training_time_seconds"] == 2.5
+    # Per label: F1 of 2/3, 2/3 and 1, with 1, 2 and 1 rows.
+    assert first["macro_f1"] == pytest.approx(7 / 9) and first["weighted_f1"] == pytest.approx(0.75)
+    assert first["inference_time_ms"] is None and dict(rows.dtypes)["inference_time_ms"] == "double"
+
+
+def test_clusters_without_a_name(spark):
+    used = spark.createDataFrame([(0,), (0,), (1,), (2,), (None,)], "cluster_id int")
+    names = spark.createDataFrame([(0, "Batteries"), (7, "Unused")], "cluster_id int, topic_name string")
+    got = T.unnamed_clusters(used, names)
+    assert sorted(values(got, "cluster_id", "review_count"), key=str) == [(1, 1), (2, 1), (None, 1)]
+    assert T.unnamed_clusters(used.where("cluster_id = 0"), names).isEmpty()
+
+
+def test_error_subsets_are_written_by_subset(spark):
+    rows = [
+        ("good but dull", "positive", "negative", 0.99),
+        ("fine", "positive", "neutral", 0.2),
+        ("right", "neutral", "neutral", 0.99),
+        ("no label", None, "neutral", None),
+    ]
+    schema = "text string, true_label string, predicted_label string, probability_negative double"
+    analysis = E.error_columns(spark.createDataFrame(rows, schema))
+    path = scratch_path(spark, "subsets")
+    errors = E.error_subsets(analysis, path)
+    expected = [
+        ("all_errors", "fine"), ("all_errors", "good but dull"), ("all_errors", "no label"),
+        ("contrast_errors", "good but dull"), ("high_confidence_errors", "good but dull"),
+    ]
+    assert sorted(values(errors, "subset", "text")) == expected
+    assert sorted(values(spark.read.parquet(path), "subset", "text")) == expected
+    # One subset is read without the others.
+    one = spark.read.parquet(path).where("subset = 'contrast_errors'")
+    assert one.count() == 1 and len(one.inputFiles()) >= 1
+    E.error_subsets(analysis.where("is_correct"), path)
+    assert spark.read.schema(errors.schema).parquet(path).isEmpty()
