@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom import settings as S
-from reviewloom.functions.blocks import fit_partitions, flatten_sparse, size_of, sum_by
+from reviewloom.functions.blocks import (
+    fit_partitions,
+    flat_lists,
+    lists_of,
+    row_slices,
+    size_of,
+    sum_by,
+)
 from reviewloom.functions.vectors import argmax, softmax
 from reviewloom.operators.vectorize import TermWeights, as_vector, fit_terms, vectorise
 from reviewloom.plans.shapes import literal_rows, require_columns, split_by_hash
@@ -159,11 +167,18 @@ def predict(df: DataFrame, model: SentimentModel, text: str = "classical_text")
     matrix = model.classifier.coefficientMatrix.toArray()
     shared = df.sparkSession.sparkContext.broadcast((matrix, np.asarray(model.classifier.interceptVector)))
 
-    @F.pandas_udf("array<double>")
-    def logits(indices: pd.Series, values: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<double>")
+    def logits(indices: pa.Array, values: pa.Array) -> pa.Array:
         weights, intercept = shared.value
-        rows, cols, entries, sizes = flatten_sparse(indices, values)
-        return pd.Series(list(sum_by(rows, entries[:, None] * weights.T[cols], len(sizes)) + intercept))
+        cols, entries, ends = flat_lists(indices, values)
+        sums = np.zeros((len(ends), len(intercept)))
+        done = 0
+        for first, last, rows in row_slices(ends):
+            here = int(np.searchsorted(ends, last, side="right"))
+            products = entries[first:last, None] * weights.T[cols[first:last]]
+            sums[done:here] = sum_by(rows, products, here - done)
+            done = here
+        return lists_of((sums + intercept).ravel(), len(intercept) * np.arange(1, len(sums) + 1))
 
     vectors = vectorise(df, model.terms, text, "__features")
     scored = vectors.withColumn("__logits", logits("__features.indices", "__features.values"))
