@@ -8,6 +8,7 @@ from reviewloom.operators import profiling as P
 from reviewloom.operators import sketches as K
 from reviewloom.plans import fixtures as fx
 from reviewloom.plans.fixtures import sql_over
+from reviewloom.plans.shapes import stored
 
 RAW_COLUMNS = (
     "review_id",
@@ -129,15 +130,17 @@ def vocabulary_sketches(spark, sf_dir):
     words = raw.select(
         "source_dataset", F.explode(X.split_words(F.lower("review_text"))).alias("word")
     )
-    parts = K.distinct_sketches(words, {"word": F.col("word")}, ["source_dataset"])
+    # The texts are split twice, once for the sketches and once for the exact counts.
+    parts = stored(K.distinct_sketches(words, {"word": F.col("word")}, ["source_dataset"]), "sketches")
     estimates = K.distinct_estimates(parts, ["source_dataset"]).unionByName(
         K.distinct_estimates(K.unite_distinct(parts)).withColumn("source_dataset", F.lit("all"))
     )
+    pairs = stored(words.distinct(), "words")
     exact = (
-        words.groupBy("source_dataset")
-        .agg(F.count_distinct("word").alias("vocabulary_size"))
+        pairs.groupBy("source_dataset")
+        .agg(F.count(F.lit(1)).alias("vocabulary_size"))
         .unionByName(
-            words.agg(F.lit("all").alias("source_dataset"), F.count_distinct("word").alias("vocabulary_size"))
+            pairs.agg(F.lit("all").alias("source_dataset"), F.count_distinct("word").alias("vocabulary_size"))
         )
     )
     return exact.join(estimates, "source_dataset").select(

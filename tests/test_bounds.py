@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.util import PythonEvalType
 
 from reviewloom import settings as S
+from reviewloom.catalog import profiling
 from reviewloom.functions import blocks
 from reviewloom.functions import text as X
 from reviewloom.operators import topics as P
@@ -63,3 +64,24 @@ def test_texts_go_to_python_a_hundred_at_a_time():
 def test_partial_matrices_of_twelve_slots_are_added_before_the_driver():
     width = S.SVD_COMPONENTS // 2 + 10
     assert 12 * S.TOPIC_VOCABULARY["max_features"] * width * 8 > blocks.DIRECT_BYTES
+
+
+def test_vocabulary_sketches_split_the_texts_twice(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def dear(value):
+        made.add(1)
+        return value
+
+    rows = [(f"s{i % 3}" if i % 7 else None, f"One two  w{i % 11} W{i % 5}" if i else None) for i in range(30)]
+    raw = spark.createDataFrame(rows, "source_dataset string, review_text string").withColumn(
+        "review_text", dear("review_text")
+    )
+    monkeypatch.setattr(profiling.fx, "reviews_raw", lambda *_: raw)
+    found = {r[0]: (r[1], r[2]) for r in profiling.vocabulary_sketches(spark, "").collect()}
+    words = [(s, w) for s, text in rows for w in (text or "").lower().split()]
+    names = {s for s, _ in words if s}
+    expected = {n: (len({w for s, w in words if s == n}), True) for n in names}
+    assert found == {**expected, "all": (len({w for _, w in words}), True)}
+    assert made.value == 2 * len(rows)
