@@ -109,10 +109,14 @@ def train_classifier(
     entries = F.size("features.indices")
     rows = rows.withColumn("entries", entries).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.agg(F.sum("weight")).first()[0]
+    # The iterations keep blocks of their own, so what they do not read is dropped at once.
+    texts.unpersist()
     _, n_parts, n_entries = size_of(rows, F.col("entries"))
     # Every iteration returns a gradient per partition, so small data uses few.
     sized, _ = fit_partitions(rows, n_parts, n_entries, 1e6)
     sized = as_vector(sized, len(terms.terms)).select("label", "weight", "features").persist()
+    sized.count()
+    rows.unpersist()
     classifier = LogisticRegression(
         family="multinomial",
         weightCol="weight",
@@ -123,8 +127,6 @@ def train_classifier(
         tol=tol,
     ).fit(sized)
     sized.unpersist()
-    rows.unpersist()
-    texts.unpersist()
     return SentimentModel(terms, classifier, labels)
 
 

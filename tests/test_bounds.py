@@ -9,6 +9,7 @@ from reviewloom import settings as S
 from reviewloom.catalog import profiling
 from reviewloom.functions import blocks
 from reviewloom.functions import text as X
+from reviewloom.operators import sentiment as M
 from reviewloom.operators import topics as P
 
 
@@ -85,3 +86,21 @@ def test_vocabulary_sketches_split_the_texts_twice(spark, monkeypatch):
     expected = {n: (len({w for s, w in words if s == n}), True) for n in names}
     assert found == {**expected, "all": (len({w for _, w in words}), True)}
     assert made.value == 2 * len(rows)
+
+
+def test_a_fit_keeps_one_copy_of_the_training_rows(spark, monkeypatch):
+    cached = []
+    fit = M.LogisticRegression.fit
+
+    def watched(self, dataset):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(M.LogisticRegression, "fit", watched)
+    rows = [(i, "red sky" if i % 2 else "blue sea", "negative" if i % 2 else "positive") for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id bigint, classical_text string, sentiment_label string")
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = M.train_classifier(df, min_df=1, max_df=1.0)
+    assert model.labels == ["negative", "positive"]
+    assert cached[0] - before == 1
