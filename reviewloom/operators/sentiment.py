@@ -24,7 +24,14 @@ from reviewloom.functions.blocks import (
     sum_by,
 )
 from reviewloom.functions.vectors import argmax, softmax
-from reviewloom.operators.vectorize import TermWeights, as_vector, fit_terms, vectorise
+from reviewloom.operators.vectorize import (
+    TermWeights,
+    as_vector,
+    counted_terms,
+    fit_terms,
+    unit_weights,
+    vectorise,
+)
 from reviewloom.plans.shapes import literal_rows, require_columns, split_by_hash
 
 
@@ -164,27 +171,30 @@ def _with_scores(df: DataFrame, probabilities: Column, labels: Iterable[str]) ->
 def predict(df: DataFrame, model: SentimentModel, text: str = "classical_text") -> DataFrame:
     """Label, probability per class and confidence, from coefficients shared with the tasks.
 
-    NULL text scores as empty.  Rows are never moved.
+    NULL text scores as empty.  Rows are never moved, and weights and scores are one step in
+    Python: vectors that went back to Spark would come to a second worker of the task.
     """
     matrix = model.classifier.coefficientMatrix.toArray()
-    shared = df.sparkSession.sparkContext.broadcast((matrix, np.asarray(model.classifier.interceptVector)))
+    intercepts = np.asarray(model.classifier.interceptVector)
+    shared = df.sparkSession.sparkContext.broadcast((matrix, intercepts, model.terms.idf))
 
     @F.arrow_udf("array<double>")
-    def logits(indices: pa.Array, values: pa.Array) -> pa.Array:
-        weights, intercept = shared.value
-        cols, entries, ends = flat_lists(indices, values)
+    def logits(indices: pa.Array, counts: pa.Array) -> pa.Array:
+        weights, intercept, idf = shared.value
+        cols, tf, ends = flat_lists(indices, counts)
         sums = np.zeros((len(ends), len(intercept)))
         done = 0
         for first, last, rows in row_slices(ends):
             here = int(np.searchsorted(ends, last, side="right"))
-            products = entries[first:last, None] * weights.T[cols[first:last]]
+            at = cols[first:last]
+            products = unit_weights(at, tf[first:last], rows, idf)[:, None] * weights.T[at]
             sums[done:here] = sum_by(rows, products, here - done)
             done = here
         return lists_of((sums + intercept).ravel(), len(intercept) * np.arange(1, len(sums) + 1))
 
-    vectors = vectorise(df, model.terms, text, "__features")
-    scored = vectors.withColumn("__logits", logits("__features.indices", "__features.values"))
-    return _with_scores(scored, softmax(F.col("__logits")), model.labels).drop("__features", "__logits")
+    counted = counted_terms(df, model.terms, text, "__counts")
+    scored = counted.withColumn("__logits", logits("__counts.indices", "__counts.values"))
+    return _with_scores(scored, softmax(F.col("__logits")), model.labels).drop("__counts", "__logits")
 
 
 def predict_with(df: DataFrame, load: Callable[[], Callable], text: str, key: str = "review_id") -> DataFrame:

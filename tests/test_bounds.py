@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from pyspark.util import PythonEvalType
 
@@ -11,6 +12,7 @@ from reviewloom.functions import blocks
 from reviewloom.functions import text as X
 from reviewloom.operators import sentiment as M
 from reviewloom.operators import topics as P
+from reviewloom.operators import vectorize as V
 
 
 def test_texts_are_made_once_for_a_topic_model(spark):
@@ -104,3 +106,25 @@ def test_a_fit_keeps_one_copy_of_the_training_rows(spark, monkeypatch):
     model = M.train_classifier(df, min_df=1, max_df=1.0)
     assert model.labels == ["negative", "positive"]
     assert cached[0] - before == 1
+
+
+def test_scores_are_one_step_in_python(spark):
+    rows = [(i, "red sky" if i % 2 else "blue sea", "negative" if i % 2 else "positive") for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id bigint, classical_text string, sentiment_label string")
+    model = M.train_classifier(df, min_df=1, max_df=1.0)
+    odd = spark.createDataFrame([(1, "red red sky"), (2, None), (3, "unknown"), (4, "sea blue")], "review_id bigint, classical_text string")
+    scored = M.predict(odd, model)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    library = M.probabilities_of(model, V.vectorise(odd, model.terms)).select("review_id", "probabilities")
+    both = scored.join(library, "review_id").collect()
+    assert len(both) == 4
+    for r in both:
+        assert np.allclose([r["probability_negative"], r["probability_positive"]], r["probabilities"], atol=1e-12)
+
+
+def test_vectors_are_wrapped_without_a_copy_per_row(spark):
+    df = spark.createDataFrame([(([0, 3], [1.0, 2.0]),), (([], []),)], f"features struct<{V.SPARSE}>")
+    wrapped = V.as_vector(df.coalesce(1), 5)
+    assert "wrap(" in (plan := wrapped._jdf.queryExecution().executedPlan().toString())
+    assert int(plan.split("ArrowEvalPython", 1)[1].split("], ")[2].split("\n")[0]) == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    assert [r[0] for r in wrapped.collect()] == [Vectors.sparse(5, [0, 3], [1.0, 2.0]), Vectors.sparse(5, [], [])]
