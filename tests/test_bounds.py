@@ -128,3 +128,11 @@ def test_vectors_are_wrapped_without_a_copy_per_row(spark):
     assert "wrap(" in (plan := wrapped._jdf.queryExecution().executedPlan().toString())
     assert int(plan.split("ArrowEvalPython", 1)[1].split("], ")[2].split("\n")[0]) == PythonEvalType.SQL_SCALAR_ARROW_UDF
     assert [r[0] for r in wrapped.collect()] == [Vectors.sparse(5, [0, 3], [1.0, 2.0]), Vectors.sparse(5, [], [])]
+
+
+def test_pairs_are_joined_by_plain_concatenation(spark):
+    pairs = X.with_bigrams(X.word_tokens(F.col("t")))
+    df = spark.createDataFrame([("One two  three",), ("alone",), ("",), (None,)], "t string").coalesce(1)
+    made = df.select(pairs.alias("p"))
+    assert "concat_ws" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [r[0] for r in made.collect()] == [["one", "two", "three", "one two", "two three"], ["alone"], [], None]
