@@ -34,7 +34,7 @@ def discover_topics(reviews: DataFrame, n_clusters: int = S.N_CLUSTERS, **fit_op
     terms = stored(topics.top_terms(assigned, model.terms))
     named = labeling.suggest_topic_names(labeling.terms_list(terms))
     model.topic_names = {r["cluster_id"]: r["topic_name"] for r in named.collect()}  # k rows
-    placed = assigned.select("review_id", "cluster_id", "distance_to_centroid")
+    placed = stored(assigned.select("review_id", "cluster_id", "distance_to_centroid"))
     labelled = topics.add_topic_labels(usable.join(placed, "review_id"), model.topic_names)
     nearest = topics.nearest_to_centroid(
         labelled.select("review_id", "cluster_id", "review_text", "distance_to_centroid")

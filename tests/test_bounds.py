@@ -136,3 +136,69 @@ def test_pairs_are_joined_by_plain_concatenation(spark):
     made = df.select(pairs.alias("p"))
     assert "concat_ws" not in made._jdf.queryExecution().executedPlan().toString()
     assert [r[0] for r in made.collect()] == [["one", "two", "three", "one two", "two three"], ["alone"], [], None]
+
+
+def made_reviews(spark, n=400):
+    """(review_id, classical_text): two kinds of text, one without a known word, one blank."""
+    rows = [(i, f"{'red' if i % 2 else 'blue'} {'sky' if i % 3 else 'sea'} w{i % 5}x w{i % 7}y") for i in range(n)]
+    return spark.createDataFrame([*rows, (n, " ")], "review_id bigint, classical_text string").coalesce(2)
+
+
+def cached_tables(spark):
+    return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_texts_vectors_and_points_of_a_topic_model_are_not_cached(spark):
+    df = made_reviews(spark)
+    spark.catalog.clearCache()
+    before = cached_tables(spark)
+    _, basis, projected = P.represent(df, components=3, min_df=1, max_df=1.0)
+    assert cached_tables(spark) == before
+    assert "InMemoryTableScan" not in projected._jdf.queryExecution().executedPlan().toString()
+    P.sweep_cluster_counts(projected, basis, [2, 3], restarts=2)
+    assert cached_tables(spark) == before
+    _, assigned = P.fit_topic_model(df, 2, components=3, restarts=2, min_df=1, max_df=1.0)
+    assert cached_tables(spark) == before
+    assert assigned.columns == ["review_id", "classical_text", "features", "lsa", "cluster_id", "distance_to_centroid"]
+    assert assigned.count() == 400
+
+
+def test_points_that_do_not_fit_in_memory_are_not_written_by_the_cache(spark, monkeypatch):
+    levels = []
+    kmeans = P.kmeans
+
+    def watched(df, *args, **kw):
+        levels.append(df.storageLevel)
+        return kmeans(df, *args, **kw)
+
+    monkeypatch.setattr(P, "kmeans", watched)
+    _, basis, projected = P.represent(made_reviews(spark), components=3, min_df=1, max_df=1.0)
+    P.sweep_cluster_counts(projected, basis, [2], restarts=1)
+    assert [(x.useMemory, x.useDisk) for x in levels] == [(True, False)]
+
+
+def test_passes_over_vectors_take_small_batches(spark):
+    name = blocks.ARROW_ROWS
+    before = spark.conf.get(name)
+    df = spark.range(2 * blocks.BATCH_ROWS + 500, numPartitions=1)
+
+    def work(batches):
+        return np.array([[max(len(b) for b in batches)]], dtype=float)
+
+    try:
+        for given, expected in (("0", blocks.BATCH_ROWS), ("10000", blocks.BATCH_ROWS), ("300", 300)):
+            spark.conf.set(name, given)
+            assert blocks.add_matrices(df, work, 1, 1, 1)[0, 0] == expected
+            assert spark.conf.get(name) == given
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_distances_to_many_centroids_come_in_few_rows():
+    rows = blocks.pd.Series(list(np.random.default_rng(2).standard_normal((3000, 4))))
+    for n in (2, 1080, 8820, 10 * blocks.CELLS):
+        slices = list(P._dense_slices(rows, n))
+        assert all(len(x) == 1 or len(x) * n <= blocks.CELLS for _, x in slices)
+        assert all(len(x) <= blocks.DENSE_ROWS for _, x in slices)
+        assert [at for at, _ in slices] == list(np.cumsum([0] + [len(x) for _, x in slices])[:-1])
+        assert sum(len(x) for _, x in slices) == len(rows)
