@@ -202,3 +202,27 @@ def test_distances_to_many_centroids_come_in_few_rows():
         assert all(len(x) <= blocks.DENSE_ROWS for _, x in slices)
         assert [at for at, _ in slices] == list(np.cumsum([0] + [len(x) for _, x in slices])[:-1])
         assert sum(len(x) for _, x in slices) == len(rows)
+
+
+def test_topics_are_predicted_in_one_step_in_python(spark):
+    df = made_reviews(spark)
+    model, assigned = P.fit_topic_model(df, 3, components=4, restarts=2, min_df=1, max_df=1.0)
+    odd = df.unionByName(
+        spark.createDataFrame([(1000, None), (1001, "unknown"), (1002, "sea sea blue")], df.schema)
+    ).coalesce(2)
+    predicted = P.predict_topics(odd, model)
+    for made in (predicted, assigned):
+        assert made._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert predicted.columns == ["review_id", "classical_text", "cluster_id", "distance_to_centroid"]
+    steps = P.project(V.vectorise(odd, model.terms), model.components)
+    plain = {r["review_id"]: np.array(r["lsa"]) for r in steps.collect()}
+    found = {r["review_id"]: r for r in predicted.collect()}
+    assert found.keys() == plain.keys() and len(found) == 404
+    for i, x in plain.items():
+        gaps = np.sqrt(((model.centres - x) ** 2).sum(axis=1))
+        assert np.isclose(found[i]["distance_to_centroid"], gaps.min(), atol=1e-9)
+        assert np.isclose(gaps[found[i]["cluster_id"]], gaps.min(), atol=1e-9)
+    assert np.allclose(plain[1000], 0.0) and np.allclose(plain[1001], 0.0)
+    for r in assigned.collect():
+        assert np.allclose(r["lsa"], plain[r["review_id"]], atol=1e-9)
+        assert r["cluster_id"] == found[r["review_id"]]["cluster_id"]
